@@ -252,3 +252,172 @@ FROM nation""",
 SELECT CAST(event_id AS VARCHAR) AS event_id, strftime(ts, {ISO_MS}) AS ts,
        CAST(user_id AS VARCHAR) AS user_id, event_type FROM events""",
 }
+
+
+# ------------------------------------------------------------ batch two
+DIM = 768
+TOKENS = rf"""tok AS (
+  SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\pL\pN]+')) AS t FROM documents),
+cnt AS (
+  SELECT doc_id, CAST(CAST('0x' || substr(md5(t), 1, 8) AS BIGINT) % {DIM} AS BIGINT) AS bucket,
+         count(*) AS c
+  FROM tok WHERE t <> '' GROUP BY 1, 2),
+w AS (
+  SELECT doc_id, bucket, c / sqrt(sum(c * c) OVER (PARTITION BY doc_id)) AS weight FROM cnt)"""
+
+QUERY_TOKENS = rf"""qtok AS (
+  SELECT unnest(regexp_split_to_array(lower((SELECT text FROM benchmark ORDER BY item_id LIMIT 1)),
+                                      '[^\pL\pN]+')) AS t),
+qcnt AS (
+  SELECT CAST(CAST('0x' || substr(md5(t), 1, 8) AS BIGINT) % {DIM} AS BIGINT) AS bucket, count(*) AS c
+  FROM qtok WHERE t <> '' GROUP BY 1),
+qw AS (SELECT bucket, c / sqrt(sum(c * c) OVER ()) AS weight FROM qcnt)"""
+
+
+def _vector_topk(fn: str, extra: str = "") -> str:
+    return f"""
+WITH q AS (SELECT CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id = 0),
+d AS (
+  SELECT e.vec_id, e.label, {fn}(CAST(e.embedding AS DOUBLE[]), q.v) AS dist
+  FROM embeddings e, q
+  WHERE e.embedding IS NOT NULL AND len(e.embedding) = len(q.v) {extra})
+SELECT vec_id, label, round(dist, 6) AS distance, round(1 - dist, 4) AS similarity
+FROM d WHERE dist IS NOT NULL
+ORDER BY round(dist, 6), vec_id LIMIT 10"""
+
+
+HTML_TEXT = r"""trim(regexp_replace(
+  replace(replace(replace(replace(replace(replace(
+    regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
+      '(?is)<script\b.*?</script\s*>', ' ', 'g'),
+      '(?is)<style\b.*?</style\s*>', ' ', 'g'),
+      '(?s)<!--.*?-->', ' ', 'g'),
+      '(?s)<[^>]*>', ' ', 'g'),
+    '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'),
+  '\s+', ' ', 'g'))"""
+
+CATALOG_SQL = {"region": 2, "nation": 3, "supplier": 4, "customer": 5}
+
+
+def _catalog_rows(skip: tuple = ()) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, count(*) AS rows, {n} AS columns FROM {t}"
+        for t, n in CATALOG_SQL.items() if t not in skip)
+
+
+def _oracle_batch_two() -> dict[str, str]:
+    from shoreline.plans.queries import EXTERNAL_TEST_THRESHOLD as EXT, SQL_JOIN_AGG
+    merge_final = ORACLE["merge_occ"]
+    return {
+        "vector_topk_cosine": _vector_topk("list_cosine_distance"),
+        "vector_topk_euclidean": _vector_topk("list_distance"),
+        "vector_filter_topk": _vector_topk("list_cosine_distance", "AND (e.label = 3)"),
+        "vector_batch_knn": """
+WITH q AS (
+  SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IN (SELECT min(vec_id) FROM embeddings GROUP BY label) AND embedding IS NOT NULL),
+d AS (
+  SELECT q.query_id, e.vec_id, e.label,
+         list_cosine_distance(CAST(e.embedding AS DOUBLE[]), q.v) AS dist
+  FROM embeddings e CROSS JOIN q
+  WHERE e.embedding IS NOT NULL AND len(e.embedding) = len(q.v)),
+r AS (
+  SELECT query_id, vec_id, label, round(dist, 6) AS distance, round(1 - dist, 4) AS similarity,
+         row_number() OVER (PARTITION BY query_id ORDER BY round(dist, 6), vec_id) AS rank
+  FROM d WHERE dist IS NOT NULL)
+SELECT * FROM r WHERE rank <= 5""",
+        "hash_embed": f"WITH {TOKENS}\nSELECT doc_id, bucket, round(weight, 6) AS weight FROM w",
+        "vector_text_query": f"""WITH {TOKENS}, {QUERY_TOKENS},
+dots AS (SELECT w.doc_id, sum(w.weight * q.weight) AS s FROM w JOIN qw q ON w.bucket = q.bucket GROUP BY 1),
+docs AS (SELECT DISTINCT doc_id FROM w),
+d AS (SELECT docs.doc_id, 1 - COALESCE(dots.s, 0) AS dist FROM docs LEFT JOIN dots ON docs.doc_id = dots.doc_id)
+SELECT doc_id, round(dist, 6) AS distance, round(1 - dist, 4) AS similarity
+FROM d ORDER BY round(dist, 6), doc_id LIMIT 10""",
+        "insert_with_embedding": f"""WITH {TOKENS},
+agg AS (SELECT doc_id, count(*) AS n, max(weight) AS mx FROM w GROUP BY 1)
+SELECT d.doc_id, CASE WHEN agg.n IS NOT NULL THEN CAST({DIM} AS BIGINT) END AS dims,
+       agg.n AS nonzero, round(agg.mx, 6) AS max_weight
+FROM documents d LEFT JOIN agg ON d.doc_id = agg.doc_id""",
+        "asset_ingest": f"""
+SELECT CAST(doc_id AS VARCHAR) AS id, '' AS file_id, 'doc_' || CAST(doc_id AS VARCHAR) AS name,
+       'text/plain' AS mime_type, CAST(strlen(text) AS BIGINT) AS size,
+       CAST(json_object('lang', lang, 'source', source) AS VARCHAR) AS metadata,
+       strlen(text) > 0 AS has_data, {T1} AS updated_at
+FROM documents""",
+        "asset_column_map": """
+SELECT CAST(doc_id AS VARCHAR) AS doc_key, 'doc_' || CAST(doc_id AS VARCHAR) AS title,
+       'text/plain' AS content_type, CAST(strlen(text) AS BIGINT) AS size, lang AS category,
+       CAST(json_object('id', CAST(doc_id AS VARCHAR), 'lang', lang, 'source', source) AS VARCHAR) AS metadata
+FROM documents""",
+        "asset_metadata": """
+SELECT CAST(doc_id AS VARCHAR) AS id, lang AS category,
+       CASE WHEN lang = 'en' THEN 'doc'
+            ELSE CAST(json_object('summary', source, 'metadata', 'doc') AS VARCHAR) END AS metadata
+FROM documents""",
+        "asset_externalize": f"""
+SELECT CAST(page_id AS VARCHAR) AS id, CAST(strlen(html) AS BIGINT) AS size,
+       CASE WHEN strlen(html) > {EXT} THEN 'external' ELSE 'inline' END AS route,
+       CASE WHEN strlen(html) > {EXT} THEN md5(html) END AS object_key,
+       strlen(html) <= {EXT} AND strlen(html) > 0 AS has_data
+FROM pages""",
+        "asset_checksum": """
+SELECT doc_id, CAST(strlen(text) AS BIGINT) AS size, to_base64(unhex(md5(text))) AS md5_base64
+FROM documents""",
+        "mime_harmonize": """
+WITH p AS (
+  SELECT 'page' AS kind, page_id AS id, 'page_' || CAST(page_id AS VARCHAR) AS name,
+         CASE page_id % 3 WHEN 0 THEN 'application/octet-stream' WHEN 2 THEN 'text/html' END AS mime,
+         CASE page_id % 3 WHEN 0 THEN 'application/vnd.google-apps.document' WHEN 1 THEN 'text/plain'
+              ELSE 'text/html' END AS source_mime
+  FROM pages
+  UNION ALL
+  SELECT 'document', doc_id,
+         CASE WHEN lang = 'en' THEN 'doc_' || CAST(doc_id AS VARCHAR) || '.TXT'
+              ELSE 'doc_' || CAST(doc_id AS VARCHAR) END,
+         'text/plain', 'text/plain'
+  FROM documents),
+v AS (
+  SELECT *, CASE WHEN mime IS NULL OR trim(mime) = '' OR mime = 'application/octet-stream'
+                 THEN CASE WHEN starts_with(source_mime, 'application/vnd.google-apps.') THEN 'application/pdf'
+                           ELSE COALESCE(CASE WHEN trim(source_mime) <> '' THEN source_mime END,
+                                         'application/octet-stream') END
+                 ELSE mime END AS vm
+  FROM p)
+SELECT kind, id, vm AS mime_type, source_mime AS source_mime_type,
+       CASE WHEN vm = 'application/pdf' AND NOT ends_with(lower(name), '.pdf') THEN name || '.pdf'
+            WHEN vm = 'text/plain' AND NOT ends_with(lower(name), '.txt') THEN name || '.txt'
+            ELSE name END AS name
+FROM v""",
+        "html_to_text": f"SELECT page_id, {HTML_TEXT} AS text FROM pages",
+        "embed_source": """
+WITH c AS (
+  SELECT doc_id,
+         CASE WHEN lang = 'de' AND trim(source) <> '' THEN 'caption'
+              WHEN lang IN ('en', 'fr') AND trim(text) <> '' THEN 'data' END AS chosen,
+         CASE WHEN lang = 'de' AND trim(source) <> '' THEN source
+              WHEN lang IN ('en', 'fr') AND trim(text) <> '' THEN text END AS t
+  FROM documents)
+SELECT doc_id, chosen, md5(t) AS text_md5, CAST(length(t) AS BIGINT) AS n_chars FROM c""",
+        "folder_ingest": """
+SELECT 'lang=' || lang AS folder, 'text/plain' AS mime_type,
+       CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes, 'folder' AS ingestion_source
+FROM documents WHERE lang <> 'de' GROUP BY lang""",
+        "catalog_tables": _catalog_rows(),
+        "table_columns": """
+SELECT CAST(ordinal_position AS INTEGER) AS position, column_name,
+       CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+                      WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+                      ELSE lower(data_type) END AS data_type,
+       (SELECT count(*) FROM lineitem) AS rows
+FROM information_schema.columns WHERE table_name = 'lineitem'""",
+        "drop_table": _catalog_rows(skip=("supplier",)),
+        "sql_join_agg": SQL_JOIN_AGG,
+        "stream_merge": merge_final,
+        "stream_assets": """
+SELECT 'lang=' || lang AS folder, 'text/plain' AS mime_type,
+       CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes
+FROM documents GROUP BY lang""",
+    }
+
+
+ORACLE.update(_oracle_batch_two())

@@ -268,3 +268,334 @@ def writeback_flow(spark, sf_dir):
     changes = cdc.diff(baseline, FX.edited_products(baseline), now=FX.COMMIT_TIME)
     M.merge(t, changes, key="id", version_col="updated_at", mode="strict", now=FX.COMMIT_TIME)
     return t.read()
+
+
+# -------------------------------------------------------- vector search
+def _first_vector(spark, sf_dir, vec_id: int = 0):
+    """The query vector: one row of ``embeddings`` fetched by key."""
+    row = (load(spark, sf_dir, "embeddings").where(F.col("vec_id") == vec_id)
+           .select(F.col("embedding").cast("array<double>").alias("v")).first())
+    return list(row["v"])
+
+
+def vector_topk_cosine(spark, sf_dir):
+    _prep(spark)
+    emb = load(spark, sf_dir, "embeddings")
+    return VS.search(emb, _first_vector(spark, sf_dir), k=10, columns=["vec_id", "label"],
+                     metric="COSINE", key="vec_id")
+
+
+def vector_topk_euclidean(spark, sf_dir):
+    _prep(spark)
+    emb = load(spark, sf_dir, "embeddings")
+    return VS.search(emb, _first_vector(spark, sf_dir), k=10, columns=["vec_id", "label"],
+                     metric="EUCLIDEAN", key="vec_id")
+
+
+def vector_filter_topk(spark, sf_dir):
+    _prep(spark)
+    emb = load(spark, sf_dir, "embeddings")
+    return VS.search(emb, _first_vector(spark, sf_dir), k=10, columns=["vec_id", "label"],
+                     where="label = 3", key="vec_id")
+
+
+def vector_batch_knn(spark, sf_dir):
+    """One query per label (its lowest vec_id), top 5 each over the corpus."""
+    _prep(spark)
+    emb = load(spark, sf_dir, "embeddings")
+    firsts = emb.groupBy("label").agg(F.min("vec_id").alias("vec_id"))
+    queries = emb.join(firsts.select("vec_id"), "vec_id", "left_semi").select(
+        F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    out = VS.search_batch(emb, queries, k=5, key="vec_id", columns=["label"], metric="COSINE")
+    return out.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+def _doc_embeddings(spark, sf_dir) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return docs.select("doc_id", E.embed_column(F.col("text")).alias("embedding"))
+
+
+def hash_embed(spark, sf_dir):
+    """Hashed-term embedding of every document, as its non-zero entries."""
+    _prep(spark)
+    emb = _doc_embeddings(spark, sf_dir)
+    return (emb.select("doc_id", F.explode(E.sparse_weights(F.col("embedding"))).alias("e"))
+            .select("doc_id", F.col("e.bucket").cast("bigint").alias("bucket"),
+                    F.round(F.col("e.weight"), 6).alias("weight")))
+
+
+def vector_text_query(spark, sf_dir):
+    """A text query (the first benchmark passage) embedded with the same model,
+    top 10 documents by cosine distance."""
+    _prep(spark)
+    text = (load(spark, sf_dir, "benchmark").orderBy("item_id").select("text").first()["text"])
+    return VS.search(_doc_embeddings(spark, sf_dir), text, k=10, columns=["doc_id"], key="doc_id")
+
+
+def insert_with_embedding(spark, sf_dir):
+    _prep(spark)
+    from shoreline.operators.embedding import insert_with_embedding as insert_emb
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    schema = T.StructType([T.StructField("doc_id", T.LongType(), False),
+                           T.StructField("text", T.StringType()),
+                           T.StructField("embedding", T.ArrayType(T.DoubleType()))])
+    t = VersionedTable.create(spark, scratch_path(spark, "docs_emb"), schema, now=FX.COMMIT_TIME)
+    insert_emb(t, docs, source_col="text", target_col="embedding")
+    e = F.col("embedding")
+    return t.read().select(
+        "doc_id",
+        F.when(e.isNotNull(), F.size(e)).cast("bigint").alias("dims"),
+        F.when(e.isNotNull(), F.size(F.filter(e, lambda x: x != 0))).cast("bigint").alias("nonzero"),
+        F.round(F.array_max(e), 6).alias("max_weight"))
+
+
+# --------------------------------------------------------------- assets
+def _asset_table(spark, name, schema=None) -> VersionedTable:
+    return VersionedTable.create(spark, scratch_path(spark, name), schema or A.asset_schema(),
+                                 cluster_by=list(A.ASSET_CLUSTER), name=name, now=FX.COMMIT_TIME)
+
+
+def asset_ingest(spark, sf_dir):
+    _prep(spark)
+    t = _asset_table(spark, "assets")
+    rows = A.to_assets(FX.document_blobs(spark, sf_dir), t.schema, now=FX.COMMIT_TIME)
+    t.insert(rows, now=FX.COMMIT_TIME)
+    return t.read().select("id", "file_id", "name", "mime_type", "size", "metadata",
+                           F.col("data").isNotNull().alias("has_data"), "updated_at")
+
+
+def asset_column_map(spark, sf_dir):
+    """A narrower table with its own names: doc_key, title, content_type and a
+    ``category`` column filled from metadata."""
+    _prep(spark)
+    schema = T.StructType([
+        T.StructField("doc_key", T.StringType(), False), T.StructField("file_id", T.StringType()),
+        T.StructField("title", T.StringType()), T.StructField("content_type", T.StringType()),
+        T.StructField("size", T.LongType()), T.StructField("metadata", T.StringType()),
+        T.StructField("data", T.BinaryType()), T.StructField("updated_at", T.TimestampNTZType()),
+        T.StructField("category", T.StringType())])
+    t = VersionedTable.create(spark, scratch_path(spark, "knowledge"), schema, now=FX.COMMIT_TIME)
+    blobs = FX.document_blobs(spark, sf_dir).withColumn(
+        "meta", F.map_concat(F.col("meta"), F.create_map(F.lit("category"), F.element_at("meta", F.lit("lang")))))
+    cmap = {"id": "doc_key", "name": "title", "mimeType": "content_type"}
+    t.insert(A.to_assets(blobs, t.schema, column_map=cmap, now=FX.COMMIT_TIME), now=FX.COMMIT_TIME)
+    return t.read().select("doc_key", "title", "content_type", "size", "category", "metadata")
+
+
+def asset_metadata(spark, sf_dir):
+    """Promoted keys (``category``) and bundled keys (``summary``, and a given
+    ``metadata`` value kept under its own key)."""
+    _prep(spark)
+    schema = A.asset_schema(extra=[("category", "string", True)])
+    t = _asset_table(spark, "assets_meta", schema)
+    d = load(spark, sf_dir, "documents")
+    meta = F.map_filter(F.create_map(
+        F.lit("id"), F.col("doc_id").cast("string"),
+        F.lit("category"), F.col("lang"),
+        F.lit("summary"), F.when(F.col("lang") != "en", F.col("source")),
+        F.lit("metadata"), F.lit("doc")), lambda k, v: v.isNotNull())
+    blobs = d.select(F.encode("text", "UTF-8").alias("data"), F.lit("text/plain").alias("content_type"),
+                     F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("name"), meta.alias("meta"))
+    t.insert(A.to_assets(blobs, t.schema, now=FX.COMMIT_TIME), now=FX.COMMIT_TIME)
+    return t.read().select("id", "category", "metadata")
+
+
+EXTERNAL_TEST_THRESHOLD = 8192
+
+
+def asset_externalize(spark, sf_dir):
+    """Pages as HTML assets; those above a low threshold go to the object
+    store (size kept, bytes dropped from the row)."""
+    _prep(spark)
+    pages = load(spark, sf_dir, "pages")
+    blobs = pages.select(F.encode("html", "UTF-8").alias("data"), F.lit("text/html").alias("content_type"),
+                         F.concat(F.lit("page_"), F.col("page_id").cast("string")).alias("name"),
+                         F.create_map(F.lit("id"), F.col("page_id").cast("string")).alias("meta"))
+    assets = A.to_assets(blobs, A.asset_schema(), now=FX.COMMIT_TIME)
+    store = scratch_path(spark, "object_store")
+    out = A.externalize(assets, store, threshold=EXTERNAL_TEST_THRESHOLD)
+    return out.select("id", "size", F.col("_route").alias("route"),
+                      F.col("_object_key").alias("object_key"),
+                      F.col("data").isNotNull().alias("has_data"))
+
+
+def asset_checksum(spark, sf_dir):
+    _prep(spark)
+    b = FX.document_blobs(spark, sf_dir)
+    return b.select("doc_id", F.octet_length("data").cast("bigint").alias("size"),
+                    A.content_md5_base64(F.col("data")).alias("md5_base64"))
+
+
+def mime_harmonize(spark, sf_dir):
+    _prep(spark)
+    pages = load(spark, sf_dir, "pages")
+    m = F.col("page_id") % 3
+    p = pages.select(
+        F.lit("page").alias("kind"), F.col("page_id").alias("id"),
+        F.concat(F.lit("page_"), F.col("page_id").cast("string")).alias("name"),
+        F.when(m == 0, F.lit(A.OCTET_STREAM)).when(m == 2, F.lit("text/html")).alias("mime"),
+        F.when(m == 0, F.lit("application/vnd.google-apps.document")).when(m == 1, F.lit("text/plain"))
+         .otherwise(F.lit("text/html")).alias("source_mime"))
+    d = load(spark, sf_dir, "documents").select(
+        F.lit("document").alias("kind"), F.col("doc_id").alias("id"),
+        F.when(F.col("lang") == "en", F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".TXT")))
+         .otherwise(F.concat(F.lit("doc_"), F.col("doc_id").cast("string"))).alias("name"),
+        F.lit("text/plain").alias("mime"), F.lit("text/plain").alias("source_mime"))
+    rows = p.unionByName(d)
+    verified = A.verified_mime(F.col("mime"), F.col("source_mime"))
+    return rows.select("kind", "id", verified.alias("mime_type"), F.col("source_mime").alias("source_mime_type"),
+                       A.harmonized_name(F.col("name"), verified).alias("name"))
+
+
+def html_to_text(spark, sf_dir):
+    _prep(spark)
+    pages = load(spark, sf_dir, "pages")
+    return pages.select("page_id", TX.html_to_text(F.col("html")).alias("text"))
+
+
+def embed_source(spark, sf_dir):
+    """Text chosen to embed each document asset: caption for German
+    documents, decoded bytes for English and French (text/plain), nothing
+    for the rest (sent as octet-stream)."""
+    _prep(spark)
+    d = load(spark, sf_dir, "documents")
+    mime = F.when(F.col("lang").isin("en", "fr"), F.lit("text/plain")).otherwise(F.lit(A.OCTET_STREAM))
+    caption = F.when(F.col("lang") == "de", F.col("source"))
+    data = F.encode(F.col("text"), "UTF-8")
+    names = ["entry", "option", "description", "caption", "summary", "name"]
+    none = F.lit(None).cast("string")
+    cands = [none, none, none, caption, none, none]
+    chosen = TX.embedding_text(cands, data, mime)
+    return d.select("doc_id",
+                    TX.embedding_text_source(names, cands, data, mime).alias("chosen"),
+                    F.md5(chosen).alias("text_md5"),
+                    F.length(chosen).cast("bigint").alias("n_chars"))
+
+
+def _write_doc_tree(spark, sf_dir) -> str:
+    """Documents written as a folder tree of text files (one folder per
+    language), the input of the file-tree ingest."""
+    root = scratch_path(spark, "doc_tree")
+    load(spark, sf_dir, "documents").select("lang", "text").write.partitionBy("lang").text(root)
+    return root
+
+
+def folder_ingest(spark, sf_dir):
+    """Recursive folder read, MIME list and folder predicate filter, common
+    metadata, one commit; summary per folder."""
+    _prep(spark)
+    root = _write_doc_tree(spark, sf_dir)
+    blobs = SF.as_blobs(SF.read_files(spark, root, recursive=True), root)
+    blobs = SF.mime_filter(blobs, ["text/plain"])
+    blobs = SF.mime_filter(blobs, F.element_at("meta", F.lit("folder")) != "lang=de")
+    t = _asset_table(spark, "folder_assets")
+    t.insert(A.to_assets(blobs, t.schema, common_metadata={"ingestion_source": "folder"},
+                         now=FX.COMMIT_TIME), now=FX.COMMIT_TIME)
+    a = t.read()
+    return (a.groupBy(F.regexp_extract("file_id", r"^([^/]+)/", 1).alias("folder"), "mime_type")
+            .agg(F.sum("size").cast("bigint").alias("bytes"),
+                 F.max(F.get_json_object("metadata", "$.ingestion_source")).alias("ingestion_source")))
+
+
+# -------------------------------------------------------------- catalog
+CATALOG_TABLES = ("region", "nation", "supplier", "customer")
+
+
+def _catalog(spark, sf_dir) -> Catalog:
+    cat = Catalog(spark, scratch_path(spark, "warehouse"), "sales").ensure("test catalog")
+    for name in CATALOG_TABLES:
+        df = load(spark, sf_dir, name)
+        cat.create(name, df.schema, data=df, now=FX.COMMIT_TIME)
+    return cat
+
+
+def catalog_tables(spark, sf_dir):
+    _prep(spark)
+    return _catalog(spark, sf_dir).tables().select("table_name", "rows", "columns")
+
+
+def table_columns(spark, sf_dir):
+    _prep(spark)
+    cat = Catalog(spark, scratch_path(spark, "warehouse"), "lake").ensure()
+    li = load(spark, sf_dir, "lineitem")
+    t = cat.create("lineitem", li.schema, data=li, now=FX.COMMIT_TIME)
+    rows = [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(t.schema.fields)]
+    n = t.row_count()
+    return spark.createDataFrame(rows, "position int, column_name string, data_type string").withColumn(
+        "rows", F.lit(n).cast("bigint"))
+
+
+def drop_table(spark, sf_dir):
+    _prep(spark)
+    cat = _catalog(spark, sf_dir)
+    cat.drop("supplier")
+    return cat.tables().select("table_name", "rows", "columns")
+
+
+SQL_JOIN_AGG = """
+WITH rev AS (
+  SELECT r.r_name AS region, n.n_name AS nation, o.o_orderkey AS orderkey,
+         l.l_extendedprice * (1 - l.l_discount) AS revenue
+  FROM lineitem l
+  JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN region r ON n.n_regionkey = r.r_regionkey
+  WHERE o.o_orderdate >= DATE '1996-01-01' AND o.o_orderdate < DATE '1998-01-01'),
+rolled AS (
+  SELECT region, nation, ROUND(SUM(revenue), 2) AS revenue, COUNT(DISTINCT orderkey) AS orders
+  FROM rev GROUP BY ROLLUP (region, nation)),
+quiet AS (
+  SELECT n_name FROM nation
+  EXCEPT
+  SELECT n.n_name FROM nation n JOIN supplier s ON s.s_nationkey = n.n_nationkey),
+ranked AS (
+  SELECT region, nation, revenue, orders,
+         RANK() OVER (PARTITION BY region ORDER BY revenue DESC, nation) AS rnk
+  FROM rolled WHERE region IS NOT NULL AND nation IS NOT NULL)
+SELECT k.region, k.nation, k.revenue, k.orders, CAST(k.rnk AS BIGINT) AS rnk,
+       q.n_name IS NOT NULL AS no_suppliers
+FROM ranked k LEFT JOIN quiet q ON k.nation = q.n_name
+UNION ALL
+SELECT region, nation, revenue, orders, CAST(NULL AS BIGINT) AS rnk, CAST(NULL AS BOOLEAN) AS no_suppliers
+FROM rolled WHERE nation IS NULL
+"""
+
+
+def sql_join_agg(spark, sf_dir):
+    """Raw SQL over versioned tables registered as views: joins, rollup,
+    except, rank."""
+    _prep(spark)
+    cat = Catalog(spark, scratch_path(spark, "warehouse"), "star").ensure()
+    for name in ("region", "nation", "supplier", "customer", "orders", "lineitem"):
+        df = load(spark, sf_dir, name)
+        cat.create(name, df.schema, data=df, now=FX.COMMIT_TIME)
+    cat.register_views()
+    return spark.sql(SQL_JOIN_AGG)
+
+
+# ------------------------------------------------------------ streaming
+def stream_merge(spark, sf_dir):
+    """The event change set arrives as a stream of files; each micro-batch
+    goes through the guarded merge (partial mode), replay-safe."""
+    _prep(spark)
+    from shoreline.streaming.writeback import stream_merge as run
+    t = _events_table(spark, sf_dir, "events_stream")
+    src = scratch_path(spark, "change_stream")
+    changes = FX.event_changes(spark, sf_dir)
+    changes.repartition(4, "event_id").write.parquet(src)
+    run(spark, src, changes.schema, t, scratch_path(spark, "stream_ckpt"), key="event_id",
+        version_col="ts", files_per_batch=1)
+    return t.read()
+
+
+def stream_assets(spark, sf_dir):
+    _prep(spark)
+    from shoreline.streaming.assets import stream_assets as run
+    root = _write_doc_tree(spark, sf_dir)
+    t = _asset_table(spark, "stream_assets")
+    run(spark, root, t, scratch_path(spark, "asset_ckpt"), files_per_batch=8, glob="*.txt",
+        common_metadata={"ingestion_source": "stream"}, now=FX.COMMIT_TIME)
+    a = t.read()
+    return (a.groupBy(F.regexp_extract("file_id", r"^([^/]+)/", 1).alias("folder"), "mime_type")
+            .agg(F.sum("size").cast("bigint").alias("bytes")))
