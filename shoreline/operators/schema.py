@@ -47,6 +47,11 @@ def to_struct(columns) -> T.StructType:
     "mode"}`` dicts; the error names the offending index."""
     if isinstance(columns, T.StructType):
         return columns
+    if isinstance(columns, str):
+        parsed = T._parse_datatype_string(columns)
+        if not isinstance(parsed, T.StructType):
+            raise SchemaError(f"not a column list: {columns!r}")
+        return parsed
     if not columns:
         raise SchemaError("schema must be a non-empty list of columns")
     fields, seen = [], set()
