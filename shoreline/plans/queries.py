@@ -535,7 +535,7 @@ def drop_table(spark, sf_dir):
 SQL_JOIN_AGG = """
 WITH rev AS (
   SELECT r.r_name AS region, n.n_name AS nation, o.o_orderkey AS orderkey,
-         l.l_extendedprice * (1 - l.l_discount) AS revenue
+         CAST(l.l_extendedprice AS DECIMAL(15, 2)) * (1 - CAST(l.l_discount AS DECIMAL(15, 2))) AS revenue
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN customer c ON o.o_custkey = c.c_custkey
@@ -543,7 +543,8 @@ WITH rev AS (
   JOIN region r ON n.n_regionkey = r.r_regionkey
   WHERE o.o_orderdate >= DATE '1996-01-01' AND o.o_orderdate < DATE '1998-01-01'),
 rolled AS (
-  SELECT region, nation, ROUND(SUM(revenue), 2) AS revenue, COUNT(DISTINCT orderkey) AS orders
+  SELECT region, nation, CAST(ROUND(SUM(revenue), 2) AS DOUBLE) AS revenue,
+         COUNT(DISTINCT orderkey) AS orders
   FROM rev GROUP BY ROLLUP (region, nation)),
 quiet AS (
   SELECT n_name FROM nation
