@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shoreline.functions import embed as E
 from shoreline.functions.text import blank_to_null
+from shoreline.operators.partitioning import spread
 from shoreline.operators.table import VersionedTable
 
 
@@ -21,7 +22,7 @@ def with_embedding(df: DataFrame, source_col: str, target_col: str = "embedding"
     text = blank_to_null(src.cast("string")) if dict(df.dtypes)[source_col] != "binary" \
         else blank_to_null(F.decode(src, "UTF-8"))
     emb = E.embed_column(text, dim, model)
-    return df.withColumn(target_col.strip() or "embedding", emb)
+    return spread(df).withColumn(target_col.strip() or "embedding", emb)
 
 
 def insert_with_embedding(table: VersionedTable, df: DataFrame, source_col: str,

@@ -1,9 +1,9 @@
 """Exact top-k vector search (``searchSimilar``) over a DataFrame.
 
-Single query: the distance is a JVM expression and ``orderBy(distance,
-key).limit(k)`` plans as ``TakeOrderedAndProject`` — each task keeps k rows,
-the driver merges k × tasks rows; there is no full sort and no shuffle of
-the corpus.
+Single query: each corpus partition computes its distances per Arrow batch
+with NumPy and keeps a local top-k; ``orderBy(distance, key).limit(k)`` over
+those rows plans as ``TakeOrderedAndProject``; no full sort, no shuffle of
+the corpus. ``search_expr`` does the same with a JVM expression distance.
 
 Many queries: the query matrix (size checked) is broadcast; each corpus
 partition computes a distance matrix per Arrow batch with NumPy and keeps
@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from shoreline.functions import embed as E
 from shoreline.functions import vectors as V
 from shoreline.operators import read as R
+from shoreline.operators.partitioning import spread
 
 # Default projection of an asset search and the k rule.
 DEFAULT_COLUMNS = ("id", "file_id", "name", "mime_type", "size", "updated_at")
@@ -73,8 +74,44 @@ def search(df: DataFrame, query, k=DEFAULT_K, embedding_col: str = "embedding",
            where=None, metric: str = V.COSINE, key: str | None = None) -> DataFrame:
     """Top-k rows by distance to ``query``: projection + ``distance`` (rounded
     to 6 digits) + ``similarity`` (``round(1 - distance, 4)``). Rows with a
-    NULL embedding, or a NULL distance (zero vector, other length), are left
-    out; ties are broken by ``key``."""
+    NULL embedding, or no distance (zero vector, other length, NULL element),
+    are left out; ties are broken by ``key``.
+
+    Each partition computes distances for its Arrow batches with NumPy and
+    keeps its local top-k (plus ties within the rounding margin); the global
+    ``orderBy(distance, key).limit(k)`` over those few rows plans as
+    ``TakeOrderedAndProject``. No shuffle of the corpus."""
+    n = top_k(k)
+    emb = embedding_col.replace("`", "")
+    qvec = np.asarray(query_vector(query), dtype=np.float64)
+    cols = _projection(df, columns, emb)
+    key = key or cols[0]
+    carried = cols + ([key] if key not in cols else [])
+    base = df.where(F.col(R.quote(emb)).isNotNull())
+    cond = R.predicate(where)
+    if cond is not None:
+        base = base.where(cond)
+    base = spread(base.select(*[F.col(R.quote(c)) for c in carried],
+                              F.col(R.quote(emb)).cast("array<double>").alias("_emb")))
+    payload = [c for c in carried if c != key]
+    schema = T.StructType([T.StructField("query_id", T.LongType()), df.schema[key]]
+                          + [df.schema[c] for c in payload] + [T.StructField("_d", T.DoubleType())])
+    bc = df.sparkSession.sparkContext.broadcast(qvec.reshape(1, -1))
+    fn = _local_topk("_emb", key, payload, np.array([0], dtype=object), bc,
+                     (metric or V.COSINE).upper(), n, 10.0 ** -DISTANCE_DIGITS)
+    local = base.mapInPandas(fn, schema)
+    return (local.select(*[F.col(R.quote(c)) for c in cols],
+                         F.round("_d", DISTANCE_DIGITS).alias("distance"),
+                         F.round(F.lit(1.0) - F.col("_d"), SIMILARITY_DIGITS).alias("similarity"),
+                         F.col(R.quote(key)).alias("_key"))
+            .orderBy(F.col("distance").asc(), F.col("_key").asc())
+            .limit(n).drop("_key"))
+
+
+def search_expr(df: DataFrame, query, k=DEFAULT_K, embedding_col: str = "embedding", columns=None,
+                where=None, metric: str = V.COSINE, key: str | None = None) -> DataFrame:
+    """The same search with the distance as a JVM column expression (no
+    Python workers); fine for short vectors."""
     n = top_k(k)
     emb = embedding_col.replace("`", "")
     q = V.literal_vector(query_vector(query))
@@ -85,12 +122,13 @@ def search(df: DataFrame, query, k=DEFAULT_K, embedding_col: str = "embedding",
     if cond is not None:
         base = base.where(cond)
     d = V.distance(metric, F.col(R.quote(emb)), q)
-    scored = base.select(*[F.col(R.quote(c)) for c in cols], d.alias("_d")).where(F.col("_d").isNotNull())
-    return (scored.select(*[F.col(R.quote(c)) for c in cols],
+    scored = base.select(*[F.col(R.quote(c)) for c in cols], F.col(R.quote(key)).alias("_key"),
+                         d.alias("_d")).where(F.col("_d").isNotNull())
+    return (scored.select(*[F.col(R.quote(c)) for c in cols], "_key",
                           F.round("_d", DISTANCE_DIGITS).alias("distance"),
                           F.round(F.lit(1.0) - F.col("_d"), SIMILARITY_DIGITS).alias("similarity"))
-            .orderBy(F.col("distance").asc(), F.col(R.quote(key)).asc())
-            .limit(n))
+            .orderBy(F.col("distance").asc(), F.col("_key").asc())
+            .limit(n).drop("_key"))
 
 
 def _local_topk(emb_col: str, key: str, payload: list[str], qids: np.ndarray, qmat_bc,
@@ -179,8 +217,8 @@ def search_batch(corpus: DataFrame, queries: DataFrame, k=DEFAULT_K, embedding_c
     cond = R.predicate(where)
     if cond is not None:
         base = base.where(cond)
-    base = base.select(F.col(R.quote(key)), *[F.col(R.quote(c)) for c in payload],
-                       F.col(R.quote(emb)).cast("array<double>").alias("_emb"))
+    base = spread(base.select(F.col(R.quote(key)), *[F.col(R.quote(c)) for c in payload],
+                              F.col(R.quote(emb)).cast("array<double>").alias("_emb")))
     key_type = corpus.schema[key].dataType
     qid_type = qsel.schema["query_id"].dataType
     out_schema = T.StructType([T.StructField("query_id", qid_type), T.StructField(key, key_type)]

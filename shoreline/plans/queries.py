@@ -21,6 +21,7 @@ from shoreline.operators import quality as Q
 from shoreline.operators import read as R
 from shoreline.operators import vector as VS
 from shoreline.operators.catalog import Catalog
+from shoreline.operators.partitioning import spread
 from shoreline.operators.table import VersionedTable
 from shoreline.plans import fixtures as FX
 from shoreline.session import apply_session_defaults, scratch_path
@@ -311,7 +312,7 @@ def vector_batch_knn(spark, sf_dir):
 
 
 def _doc_embeddings(spark, sf_dir) -> DataFrame:
-    docs = load(spark, sf_dir, "documents")
+    docs = spread(load(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select("doc_id", E.embed_column(F.col("text")).alias("embedding"))
 
 

@@ -73,3 +73,11 @@ def test_text_query_uses_same_model(spark):
     assert top.doc_id == 1
     v = E.embed_text("Héllo wörld hello")
     assert len(v) == E.DEFAULT_DIM and abs(sum(x * x for x in v) - 1) < 1e-12
+
+
+@pytest.mark.parametrize("metric", ["COSINE", "EUCLIDEAN"])
+def test_expression_path_agrees(spark, vectors, metric):
+    q = [0.3, -0.2, 0.9]
+    a = [(r.vec_id, r.distance) for r in VS.search(vectors, q, k=5, columns=["vec_id"], metric=metric).collect()]
+    b = [(r.vec_id, r.distance) for r in VS.search_expr(vectors, q, k=5, columns=["vec_id"], metric=metric).collect()]
+    assert a == b
