@@ -216,10 +216,10 @@ def baseline_refresh(spark, sf_dir):
     _prep(spark)
     t = _table_from(spark, "products_wb", FX.products(spark, sf_dir), not_null=("id",))
     edit = F.col("id") % FX.EDIT_MOD == 1
-    b1 = M.refresh_baseline(t, scratch_path(spark, "baseline"))
+    b1 = M.refresh_baseline(t)
     first = b1.withColumn("price", F.when(edit, F.col("price") + 1.0).otherwise(F.col("price")))
     M.merge(t, cdc.diff(b1, first, now=FX.COMMIT_TIME), now=FX.COMMIT_TIME)
-    b2 = M.refresh_baseline(t, scratch_path(spark, "baseline"))
+    b2 = M.refresh_baseline(t)
     second = b2.withColumn("price", F.when(edit, F.col("price") + 1.0).otherwise(F.col("price")))
     M.merge(t, cdc.diff(b2, second, now=FX.COMMIT_TIME_2), now=FX.COMMIT_TIME_2)
     return t.read()
@@ -265,7 +265,7 @@ def writeback_flow(spark, sf_dir):
     committed table."""
     _prep(spark)
     t = _table_from(spark, "products_flow", FX.products(spark, sf_dir), not_null=("id",))
-    baseline = M.refresh_baseline(t, scratch_path(spark, "baseline"))
+    baseline = M.refresh_baseline(t)
     changes = cdc.diff(baseline, FX.edited_products(baseline), now=FX.COMMIT_TIME)
     M.merge(t, changes, key="id", version_col="updated_at", mode="strict", now=FX.COMMIT_TIME)
     return t.read()
@@ -587,7 +587,7 @@ def stream_merge(spark, sf_dir):
     changes = FX.event_changes(spark, sf_dir)
     changes.repartition(4, "event_id").write.parquet(src)
     run(spark, src, changes.schema, t, scratch_path(spark, "stream_ckpt"), key="event_id",
-        version_col="ts", files_per_batch=1)
+        version_col="ts", files_per_batch=2)
     return t.read()
 
 
