@@ -77,7 +77,10 @@ def hashed_embedding(dim: int = DEFAULT_DIM):
             vectors.append(None if v is None else v)
         return pd.Series(vectors, dtype=object)
 
-    return _embed
+    # The model is deterministic, but flagged otherwise so Catalyst never
+    # copies the call into a pushed-down filter (``embedding IS NOT NULL``)
+    # and evaluates the model twice per row.
+    return _embed.asNondeterministic()
 
 
 def embed_column(text: Column, dim: int = DEFAULT_DIM, model=None) -> Column:

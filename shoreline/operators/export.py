@@ -60,15 +60,30 @@ def export(df: DataFrame, path: str, order_by=None, max_cells: int = MAX_CELLS,
                              f"{check['cells']} cells exceeds {max_cells}")
     if check["rows"] == 0:
         return 0
-    grid = to_grid(df)
     if order_by:
         keys = [order_by] if isinstance(order_by, str) else list(order_by)
         # Sort on the typed values, then emit text in that order.
-        grid = to_grid(df.orderBy(*keys))
+        df = df.orderBy(*keys)
+    grid = to_grid(df)
     (grid.coalesce(1).write.mode("overwrite").option("header", "true").format(fmt).save(path))
     return check["rows"] + 1
 
 
+def iter_rows(df: DataFrame, max_cells: int = MAX_CELLS):
+    """Rows to the driver one partition at a time (``toLocalIterator``),
+    only after the cell guard passed; never a whole ``collect``."""
+    check = check_cells(df, max_cells)
+    if not check["allowed"]:
+        raise ExportTooLarge(f"{check['cells']} cells exceed {max_cells}")
+    return df.toLocalIterator()
+
+
+def to_values(df: DataFrame, order_by=None, max_cells: int = MAX_CELLS) -> list[list]:
+    """The grid as a header row + rows of text (guarded)."""
+    grid = to_grid(df.orderBy(*([order_by] if isinstance(order_by, str) else order_by)) if order_by else df)
+    return [list(grid.columns)] + [list(r) for r in iter_rows(grid, max_cells)]
+
+
 def read_export(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     return spark.read.format(fmt).option("header", "true").load(path)
 

@@ -93,6 +93,29 @@ class VersionedTable:
         self._pinned = version
         self._log_cache: list[Commit] | None = None
 
+    # ------------------------------------------------------------ accessors
+    @property
+    def full_path(self) -> str:
+        """Back-quoted ``catalog.table`` form used in messages and SQL views."""
+        parent = self.path.rstrip("/").rsplit("/", 2)
+        catalog = parent[-2] if len(parent) >= 2 else ""
+        return f"`{catalog}.{self.name}`" if catalog else f"`{self.name}`"
+
+    @property
+    def storage_uri(self) -> str | None:
+        return getattr(self, "_storage_uri", None)
+
+    def set_storage_uri(self, uri: str | None) -> "VersionedTable":
+        """Where large asset bytes of this table go (``assets.externalize``); chainable."""
+        self._storage_uri = uri.strip() if isinstance(uri, str) and uri.strip() else None
+        return self
+
+    def latest(self) -> "VersionedTable":
+        """A handle without a pinned snapshot (reads the newest version)."""
+        handle = VersionedTable(self.spark, self.path, self.name)
+        handle._storage_uri = self.storage_uri
+        return handle
+
     # ------------------------------------------------------------------ log
     @property
     def data_dir(self) -> str:
@@ -420,6 +443,11 @@ class VersionedTable:
         return {"version": commit.version, "inserted": commit.added, "rejected": rejected,
                 "seen": seen}
 
+    def insert_values(self, values, **options) -> dict:
+        """Insert a 2D grid (header row + rows), typed by the table schema."""
+        from shoreline.sources.grid import grid_to_frame
+        return self.insert(grid_to_frame(self.spark, values, self.schema), **options)
+
     @staticmethod
     def rejects(df: DataFrame, schema: T.StructType) -> DataFrame:
         return conform(df, schema).where(null_violation(schema))

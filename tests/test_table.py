@@ -164,3 +164,18 @@ def test_random_model(spark, scratch):
     for v, m in snaps.items():
         got = {r.k: r.v for r in t.as_of(version=v).read().collect()}
         assert got == m, v
+
+
+def test_accessors_values_and_latest(spark, sensors):
+    t = sensors
+    assert t.set_storage_uri(" gs-like://bucket/x ").storage_uri == "gs-like://bucket/x"
+    assert t.full_path.startswith("`") and t.name in t.full_path
+    pinned = t.as_of(version=1)
+    t.insert_values([["id", "product"], [201, "new"]])
+    assert pinned.read().count() == 0 and pinned.latest().read().count() == 4
+
+
+def test_grid_rows(spark, sensors):
+    from shoreline.operators import export as X
+    vals = X.to_values(sensors.read().select("id", "created_at"), order_by="id")
+    assert vals[0] == ["id", "created_at"] and vals[1] == ["101", "2024-01-01T10:00:00.000Z"]
