@@ -133,22 +133,36 @@ class VersionedTable:
         return bool(fs.list_names(self.spark, self.log_dir))
 
     def log(self, refresh: bool = False) -> list[Commit]:
+        """The commit list. A refresh lists the log folder and reads only the
+        commit files this handle has not read yet (commits are immutable)."""
         if self._log_cache is None or refresh:
+            known = {f"{c.version:020d}.json": c for c in (self._log_cache or [])}
             commits = []
             for n in fs.list_names(self.spark, self.log_dir):
-                if n.endswith(".json"):
-                    d = json.loads(fs.read_text(self.spark, f"{self.log_dir}/{n}"))
-                    commits.append(Commit(**d))
+                if not n.endswith(".json"):
+                    continue
+                c = known.get(n)
+                if c is None:
+                    c = Commit(**json.loads(fs.read_text(self.spark, f"{self.log_dir}/{n}")))
+                commits.append(c)
             self._log_cache = sorted(commits, key=lambda c: c.version)
         return self._log_cache
 
     def history(self) -> DataFrame:
         """The commit list as a DataFrame (version, time, operation, counts)."""
+        self._fresh()
         rows = [(c.version, c.committed_at, c.operation, c.added, c.removed, c.base)
                 for c in self.log()]
         return self.spark.createDataFrame(
             rows, "version int, committed_at string, operation string, added long, removed long, base int")
 
+    def _fresh(self) -> "VersionedTable":
+        """Unpinned handles see commits made through other handles (another
+        writer, a stream) whenever a read starts; pinned ones never move."""
+        if self._pinned is None:
+            self.log(refresh=True)
+        return self
+
     @property
     def latest_version(self) -> int:
         log = self.log()
@@ -181,6 +195,7 @@ class VersionedTable:
 
     def row_count(self) -> int:
         """Rows at this version, from the commit log alone (no scan)."""
+        self._fresh()
         commits = self._snapshot_commits(self.version)
         return sum(c.added for c in commits) - sum(c.removed for c in commits)
 
@@ -241,6 +256,7 @@ class VersionedTable:
 
     def live(self, version: int | None = None) -> DataFrame:
         """Current rows with the row identity and partition columns kept."""
+        self._fresh()
         v = self.version if version is None else version
         data = self._data(v)
         tomb, n = self._tombstones(v)
@@ -300,6 +316,7 @@ class VersionedTable:
         that became current (``'added'``) between versions ``start`` and
         ``end``. Uses the row identity when no base change lies between;
         otherwise compares whole rows."""
+        self._fresh()
         end = self.version if end is None else end
         between_commits = [c for c in self.log() if start < c.version <= end]
         cols = self.columns
@@ -397,14 +414,13 @@ class VersionedTable:
             # Nothing names these files yet; remove them so the folder stays clean.
             fs.delete(self.spark, f"{self.data_dir}/_c={commit_id}")
             fs.delete(self.spark, f"{self.tomb_dir}/_c={commit_id}")
-            self._log_cache = None
             raise
         commit = Commit(version, commit_id, _iso(now or _now()), operation,
                         version if replace else prev.base, has_data, has_tomb,
                         added, removed, schema_json, layout.to_json(), ptypes, txn, info or {})
         ok = fs.create_exclusive(self.spark, f"{self.log_dir}/{version:020d}.json",
                                  json.dumps(commit.__dict__))
-        self._log_cache = None
+        self.log(refresh=True)
         if not ok:
             fs.delete(self.spark, f"{self.data_dir}/_c={commit_id}")
             fs.delete(self.spark, f"{self.tomb_dir}/_c={commit_id}")
@@ -506,6 +522,19 @@ class VersionedTable:
                                     data=self._user_view(self.live()), replace=True, now=now)
         return {"version": commit.version, "rows": commit.added}
 
+    def tombstones_since_base(self) -> int:
+        commits = self._snapshot_commits(self.version)
+        return sum(c.removed for c in commits if c.version > commits[0].version)
+
+    def maybe_compact(self, max_tombstones: int = TOMBSTONE_BROADCAST_ROWS,
+                      now: datetime | None = None) -> dict | None:
+        """Compact once the tombstones since the last base no longer fit the
+        broadcast bound of the read path (reads would otherwise shuffle the
+        whole table on every scan)."""
+        if self.tombstones_since_base() <= max_tombstones:
+            return None
+        return self.compact(now=now)
+
     def committed_txn(self, app: str, batch: int) -> bool:
         """True when a commit already carries ``(app, batch)`` (replay check)."""
         return any(c.txn and c.txn.get("app") == app and c.txn.get("batch") == batch

@@ -179,3 +179,19 @@ def test_grid_rows(spark, sensors):
     from shoreline.operators import export as X
     vals = X.to_values(sensors.read().select("id", "created_at"), order_by="id")
     assert vals[0] == ["id", "created_at"] and vals[1] == ["101", "2024-01-01T10:00:00.000Z"]
+
+
+def test_maybe_compact(spark, sensors):
+    t = sensors
+    t.delete("id = 101")
+    assert t.tombstones_since_base() == 1
+    assert t.maybe_compact(max_tombstones=5) is None
+    res = t.maybe_compact(max_tombstones=0)
+    assert res["rows"] == 2 and t.tombstones_since_base() == 0
+    assert sorted(r.id for r in t.read().collect()) == [102, 103]
+
+
+def test_other_handle_commits_are_seen(spark, sensors):
+    other = VersionedTable(spark, sensors.path)
+    other.delete("id = 102")
+    assert sensors.read().count() == 2 and sensors.row_count() == 2
