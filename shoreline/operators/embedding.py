@@ -29,7 +29,9 @@ def insert_with_embedding(table: VersionedTable, df: DataFrame, source_col: str,
                           target_col: str = "embedding", dim: int = E.DEFAULT_DIM,
                           model=None, **insert_options) -> dict:
     """Embed, then insert; the result also reports how many rows got no
-    embedding (counted in the same write pass)."""
-    rows = with_embedding(df, source_col, target_col, dim, model)
-    res = table.insert(rows, **insert_options)
+    embedding (``without_embedding``, counted in the same write pass)."""
+    target = target_col.strip() or "embedding"
+    rows = with_embedding(df, source_col, target, dim, model)
+    res = table.insert(rows, count_nulls=(target,), **insert_options)
+    res["without_embedding"] = res.pop(f"null_{target}")
     return res

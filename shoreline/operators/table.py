@@ -193,6 +193,13 @@ class VersionedTable:
     def columns(self) -> list[str]:
         return [f.name for f in self.schema.fields]
 
+    def column_names(self) -> list[str] | None:
+        """Column names, or None when the table cannot be resolved."""
+        try:
+            return self.columns
+        except (FileNotFoundError, ValueError):
+            return None
+
     def row_count(self) -> int:
         """Rows at this version, from the commit log alone (no scan)."""
         self._fresh()
@@ -428,7 +435,7 @@ class VersionedTable:
         return commit
 
     def insert(self, df: DataFrame, *, on_null: str = "error", now: datetime | None = None,
-               txn: dict | None = None) -> dict:
+               txn: dict | None = None, count_nulls: tuple[str, ...] = ()) -> dict:
         """Append rows (aligned to the schema by name and cast).
 
         NOT NULL columns: ``on_null="error"`` writes nothing when any row
@@ -443,7 +450,9 @@ class VersionedTable:
             raise ValueError("on_null must be 'error' or 'reject'")
         obs = Observation(f"nn_{uuid.uuid4().hex[:8]}")
         checked = rows.observe(obs, F.count(F.lit(1)).alias("seen"),
-                               F.sum(F.when(bad, 1).otherwise(0)).alias("bad"))
+                               F.sum(F.when(bad, 1).otherwise(0)).alias("bad"),
+                               *[F.sum(F.when(F.col(f"`{c}`").isNull(), 1).otherwise(0)).alias(f"null_{c}")
+                                 for c in count_nulls])
         if on_null == "reject":
             checked = checked.where(~bad)
         if on_null == "error":
@@ -456,8 +465,11 @@ class VersionedTable:
             raise
         seen = int(obs.get["seen"] or 0)
         rejected = int(obs.get["bad"] or 0)
-        return {"version": commit.version, "inserted": commit.added, "rejected": rejected,
-                "seen": seen}
+        out = {"version": commit.version, "inserted": commit.added, "rejected": rejected,
+               "seen": seen}
+        for c in count_nulls:
+            out[f"null_{c}"] = int(obs.get[f"null_{c}"] or 0)
+        return out
 
     def insert_values(self, values, **options) -> dict:
         """Insert a 2D grid (header row + rows), typed by the table schema."""
