@@ -33,11 +33,11 @@ def _spark_type(type_name: str) -> T.DataType:
     text = type_name.strip()
     upper = text.upper()
     if upper in TYPE_NAMES:
-        return T._parse_datatype_string(TYPE_NAMES[upper])
+        return T.DataType.fromDDL(TYPE_NAMES[upper])
     m = re.fullmatch(r"ARRAY\s*<\s*(.+)\s*>", upper)
     if m:
         return T.ArrayType(_spark_type(m.group(1)))
-    return T._parse_datatype_string(text.lower())
+    return T.DataType.fromDDL(text.lower())
 
 
 def to_struct(columns) -> T.StructType:
@@ -48,7 +48,7 @@ def to_struct(columns) -> T.StructType:
     if isinstance(columns, T.StructType):
         return columns
     if isinstance(columns, str):
-        parsed = T._parse_datatype_string(columns)
+        parsed = T.DataType.fromDDL(columns)
         if not isinstance(parsed, T.StructType):
             raise SchemaError(f"not a column list: {columns!r}")
         return parsed

@@ -238,7 +238,7 @@ class VersionedTable:
                                         T.StructField(RN, T.LongType()),
                                         T.StructField("_c", T.StringType())]
         for c, t in commit.partition_types.items():
-            fields.append(T.StructField(c, T._parse_datatype_string(t)))
+            fields.append(T.StructField(c, T.DataType.fromDDL(t)))
         return T.StructType(fields)
 
     def _data(self, version: int) -> DataFrame:
@@ -360,8 +360,10 @@ class VersionedTable:
         if layout.cluster_by:
             # Range partitioning on the cluster keys (sampled boundaries) plus a
             # sort inside each task: every file covers a narrow key range, so
-            # Parquet min/max statistics skip row groups on range reads.
-            out = out.repartitionByRange(*[F.col(R.quote(c)) for c in layout.cluster_by])
+            # Parquet min/max statistics skip row groups on range reads. The
+            # unique row number is the last range key, so a single hot cluster
+            # value is split over several tasks instead of landing in one.
+            out = out.repartitionByRange(*[F.col(R.quote(c)) for c in layout.cluster_by], F.col(RN))
             out = out.sortWithinPartitions(*pcols, *[R.quote(c) for c in layout.cluster_by])
         elif pcols:
             out = out.sortWithinPartitions(*pcols)

@@ -195,3 +195,18 @@ def test_other_handle_commits_are_seen(spark, sensors):
     other = VersionedTable(spark, sensors.path)
     other.delete("id = 102")
     assert sensors.read().count() == 2 and sensors.row_count() == 2
+
+
+def test_cluster_hot_value_is_split(spark, scratch):
+    """A third of the rows share one cluster value; the write still spreads
+    them over several files and the range read finds them all."""
+    df = spark.range(30000).selectExpr("id", "case when id % 3 = 0 then -7 else id end as k")
+    # AQE would (rightly) merge this tiny shuffle into one partition.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        t = VersionedTable.create(spark, scratch("hot"), "id bigint, k bigint", cluster_by=["k"], data=df)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = t.read(where="k = -7").selectExpr("input_file_name() f").distinct().count()
+    assert files > 1
+    assert t.read(where="k = -7").count() == 10000
