@@ -39,6 +39,17 @@ META = (RV, RN)
 # (known from the commit log, 12 bytes a row) stays under this bound; beyond
 # it the join is left to AQE (sort-merge on (_rv, _rn)) and compact() is due.
 TOMBSTONE_BROADCAST_ROWS = 2_000_000
+# monotonically_increasing_id() keeps the writing task's partition id in the
+# upper 31 bits of _rn, so (_rv, _rn >> 33) names the group of files one task
+# wrote in one commit: the unit that file-group compaction rewrites.
+TASK_SHIFT = 33
+# Beyond this many retired groups a full compact() is cheaper to read than
+# the retired-group filter.
+MAX_RETIRED_GROUPS = 100_000
+
+
+def file_group(rv: Column, rn: Column) -> Column:
+    return rv.cast("long") * F.lit(1 << 31) + F.shiftright(rn, TASK_SHIFT)
 
 
 class CommitConflict(RuntimeError):
@@ -241,6 +252,9 @@ class VersionedTable:
             fields.append(T.StructField(c, T.DataType.fromDDL(t)))
         return T.StructType(fields)
 
+    def _retired(self, version: int) -> list[int]:
+        return [g for c in self._snapshot_commits(version) for g in c.info.get("retired", [])]
+
     def _data(self, version: int) -> DataFrame:
         commits = self._snapshot_commits(version)
         head = self._commit_at(version)
@@ -248,8 +262,17 @@ class VersionedTable:
         paths = [f"{self.data_dir}/_c={c.commit_id}" for c in commits if c.has_data]
         if not paths:
             return self.spark.createDataFrame([], full)
-        return (self.spark.read.schema(full).option("basePath", self.data_dir)
-                .parquet(*paths))
+        df = self.spark.read.schema(full).option("basePath", self.data_dir).parquet(*paths)
+        retired = self._retired(version)
+        if retired:
+            df = df.where(~file_group(F.col(RV), F.col(RN)).isin(retired))
+        return df
+
+    def _tombstone_rows(self, version: int) -> int:
+        commits = self._snapshot_commits(version)
+        base = commits[0].version
+        return (sum(c.removed for c in commits if c.has_tomb and c.version > base)
+                - sum(c.info.get("retired_tombstones", 0) for c in commits if c.version > base))
 
     def _tombstones(self, version: int) -> tuple[DataFrame | None, int]:
         commits = self._snapshot_commits(version)
@@ -258,8 +281,11 @@ class VersionedTable:
                  if c.has_tomb and c.version > base]
         if not paths:
             return None, 0
-        n = sum(c.removed for c in commits if c.version > base)
-        return self.spark.read.schema(f"{RV} int, {RN} long").parquet(*paths), n
+        tomb = self.spark.read.schema(f"{RV} int, {RN} long").parquet(*paths)
+        retired = self._retired(version)
+        if retired:
+            tomb = tomb.where(~file_group(F.col(RV), F.col(RN)).isin(retired))
+        return tomb, self._tombstone_rows(version)
 
     def live(self, version: int | None = None) -> DataFrame:
         """Current rows with the row identity and partition columns kept."""
@@ -327,7 +353,7 @@ class VersionedTable:
         end = self.version if end is None else end
         between_commits = [c for c in self.log() if start < c.version <= end]
         cols = self.columns
-        if all(c.base <= start for c in between_commits):
+        if all(c.base <= start and not c.info.get("retired") for c in between_commits):
             added = (self._data(end).where(F.col(RV) > start))
             tomb_end, _ = self._tombstones(end)
             if tomb_end is not None:
@@ -374,7 +400,8 @@ class VersionedTable:
                       data: DataFrame | None = None, tombs: DataFrame | None = None,
                       replace: bool = False, keep_origin: bool = False,
                       txn: dict | None = None, info: dict | None = None,
-                      now: datetime | None = None, expected_version: int | None = None) -> Commit:
+                      now: datetime | None = None, expected_version: int | None = None,
+                      retire_live: bool = False) -> Commit:
         log = self.log(refresh=True)
         prev = log[-1] if log else None
         version = (prev.version + 1) if prev else 1
@@ -424,6 +451,8 @@ class VersionedTable:
             fs.delete(self.spark, f"{self.data_dir}/_c={commit_id}")
             fs.delete(self.spark, f"{self.tomb_dir}/_c={commit_id}")
             raise
+        if retire_live:
+            removed = added  # the retired groups' live rows, now rewritten
         commit = Commit(version, commit_id, _iso(now or _now()), operation,
                         version if replace else prev.base, has_data, has_tomb,
                         added, removed, schema_json, layout.to_json(), ptypes, txn, info or {})
@@ -537,8 +566,35 @@ class VersionedTable:
         return {"version": commit.version, "rows": commit.added}
 
     def tombstones_since_base(self) -> int:
-        commits = self._snapshot_commits(self.version)
-        return sum(c.removed for c in commits if c.version > commits[0].version)
+        """Tombstones the read path still has to join (retired groups excluded)."""
+        self._fresh()
+        return self._tombstone_rows(self.version)
+
+    def compact_files(self, now: datetime | None = None) -> dict | None:
+        """Rewrite only the file groups that tombstones touch.
+
+        The tombstones are counted per file group (one row per group reaches
+        the driver, bounded by the number of files written); the live rows of
+        those groups are written as a new commit that retires the groups.
+        Reads then skip the retired groups with a hash-set filter and drop
+        their tombstones from the anti join. Cost follows the touched files,
+        not the table; older versions stay readable."""
+        self._fresh()
+        v = self.version
+        tomb, n = self._tombstones(v)
+        if tomb is None or n == 0:
+            return None
+        groups = (tomb.groupBy(file_group(F.col(RV), F.col(RN)).alias("g"))
+                  .agg(F.count(F.lit(1)).alias("n")).collect())
+        ids = sorted(int(r["g"]) for r in groups)
+        if len(ids) + len(self._retired(v)) > MAX_RETIRED_GROUPS:
+            return self.compact(now=now)
+        rows = self.live(v).where(file_group(F.col(RV), F.col(RN)).isin(ids))
+        commit = self._write_commit(
+            "COMPACT_FILES", data=self._user_view(rows), now=now, expected_version=v + 1,
+            info={"retired": ids, "retired_tombstones": sum(int(r["n"]) for r in groups)},
+            retire_live=True)
+        return {"version": commit.version, "groups": len(ids), "rows": commit.added}
 
     def maybe_compact(self, max_tombstones: int = TOMBSTONE_BROADCAST_ROWS,
                       now: datetime | None = None) -> dict | None:
@@ -547,7 +603,7 @@ class VersionedTable:
         whole table on every scan)."""
         if self.tombstones_since_base() <= max_tombstones:
             return None
-        return self.compact(now=now)
+        return self.compact_files(now=now)
 
     def committed_txn(self, app: str, batch: int) -> bool:
         """True when a commit already carries ``(app, batch)`` (replay check)."""
