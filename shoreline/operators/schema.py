@@ -80,6 +80,7 @@ class Layout:
 
     partition_by: list[str] = field(default_factory=list)
     cluster_by: list[str] = field(default_factory=list)
+    vector_dims: dict[str, int] = field(default_factory=dict)
 
     def partition_columns(self) -> list[str]:
         return [f"_p{i}" for i in range(len(self.partition_by))]
@@ -90,7 +91,8 @@ class Layout:
         return df.withColumns({f"_p{i}": F.expr(e) for i, e in enumerate(self.partition_by)})
 
     def to_json(self) -> dict:
-        return {"partition_by": self.partition_by, "cluster_by": self.cluster_by}
+        return {"partition_by": self.partition_by, "cluster_by": self.cluster_by,
+                "vector_dims": self.vector_dims}
 
 
 _DATE_FN = re.compile(r"^\s*DATE\s*\((.+)\)\s*$", re.IGNORECASE)
@@ -131,6 +133,16 @@ def normalize_layout(schema: T.StructType, partition_by=None, cluster_by=None) -
     return Layout(parts, clusters[:MAX_CLUSTER_COLUMNS])
 
 
+def vector_violation(dims: dict[str, int]) -> Column:
+    """True for rows whose vector column has another length than the table's
+    fixed one (NULL vectors are fine)."""
+    cond = F.lit(False)
+    for c, n in dims.items():
+        v = F.col(f"`{c}`")
+        cond = cond | (v.isNotNull() & (F.size(v) != F.lit(int(n))))
+    return cond
+
+
 def required_columns(schema: T.StructType) -> list[str]:
     return [f.name for f in schema.fields if not f.nullable]
 

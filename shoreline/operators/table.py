@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from shoreline import fs
 from shoreline.operators import read as R
 from shoreline.operators.schema import (Layout, SchemaError, conform, normalize_layout,
-                                        null_violation, to_struct)
+                                        null_violation, to_struct, vector_violation)
 
 RV, RN, PV, PRN = "_rv", "_rn", "_pv", "_prn"
 META = (RV, RN)
@@ -60,6 +60,10 @@ class NotNullViolation(ValueError):
     pass
 
 
+class VectorLengthError(ValueError):
+    pass
+
+
 @dataclass(frozen=True)
 class Commit:
     version: int
@@ -198,7 +202,8 @@ class VersionedTable:
     @property
     def layout(self) -> Layout:
         d = self._commit_at(self.version).layout
-        return Layout(list(d.get("partition_by", [])), list(d.get("cluster_by", [])))
+        return Layout(list(d.get("partition_by", [])), list(d.get("cluster_by", [])),
+                      dict(d.get("vector_dims", {})))
 
     @property
     def columns(self) -> list[str]:
@@ -221,11 +226,16 @@ class VersionedTable:
     @classmethod
     def create(cls, spark: SparkSession, path: str, schema, *, partition_by=None,
                cluster_by=None, name: str | None = None, data: DataFrame | None = None,
-               now: datetime | None = None) -> "VersionedTable":
+               now: datetime | None = None, vector_dims: dict[str, int] | None = None) -> "VersionedTable":
         """Create-or-replace: an existing table at ``path`` gets a new base
-        version with the new schema; its history stays readable by version."""
+        version with the new schema; its history stays readable by version.
+        ``vector_dims`` fixes the length of array columns (checked at write)."""
         struct = to_struct(schema)
         layout = normalize_layout(struct, partition_by, cluster_by)
+        for c in (vector_dims or {}):
+            if c not in struct.fieldNames() or not isinstance(struct[c].dataType, T.ArrayType):
+                raise SchemaError(f"vector column '{c}' must be an array column of the table")
+        layout.vector_dims = {c: int(n) for c, n in (vector_dims or {}).items()}
         probe = layout.with_partition_columns(spark.createDataFrame([], struct))
         ptypes = {c: probe.schema[c].dataType.simpleString() for c in layout.partition_columns()}
         table = cls(spark, path, name)
@@ -423,6 +433,11 @@ class VersionedTable:
             data_path = f"{self.data_dir}/_c={commit_id}"
             if data is not None:
                 obs = Observation(f"add_{commit_id}")
+                if layout.vector_dims:
+                    msg = f"vector length differs from {layout.vector_dims} on {self.name}"
+                    data = (data.withColumn("_vl", F.when(vector_violation(layout.vector_dims),
+                                                          F.raise_error(F.lit(msg))))
+                            .where(F.col("_vl").isNull()).drop("_vl"))
                 rows = self._prepare_rows(data, version, layout, columns, keep_origin)
                 rows = rows.observe(obs, F.count(F.lit(1)).alias("n"))
                 (rows.write.mode("errorifexists")
@@ -446,10 +461,15 @@ class VersionedTable:
                 t.write.mode("errorifexists").parquet(f"{self.tomb_dir}/_c={commit_id}")
                 removed = int(obs.get["n"])
                 has_tomb = removed > 0
-        except Exception:
+        except Exception as e:
             # Nothing names these files yet; remove them so the folder stays clean.
             fs.delete(self.spark, f"{self.data_dir}/_c={commit_id}")
             fs.delete(self.spark, f"{self.tomb_dir}/_c={commit_id}")
+            text = str(e)
+            if "NOT NULL violated" in text:
+                raise NotNullViolation(text.split("NOT NULL violated", 1)[1][:200]) from None
+            if "vector length differs" in text:
+                raise VectorLengthError(text.split("vector length differs", 1)[1][:200]) from None
             raise
         if retire_live:
             removed = added  # the retired groups' live rows, now rewritten
@@ -476,7 +496,7 @@ class VersionedTable:
         them back)."""
         schema = self.schema
         rows = conform(df, schema)
-        bad = null_violation(schema)
+        bad = null_violation(schema) | vector_violation(self.layout.vector_dims)
         if on_null not in ("error", "reject"):
             raise ValueError("on_null must be 'error' or 'reject'")
         obs = Observation(f"nn_{uuid.uuid4().hex[:8]}")
@@ -488,12 +508,7 @@ class VersionedTable:
             checked = checked.where(~bad)
         if on_null == "error":
             checked = _null_guarded(checked, schema, self.name)
-        try:
-            commit = self._write_commit("INSERT", data=checked, txn=txn, now=now)
-        except Exception as e:  # surface the not-null failure as a typed error
-            if "NOT NULL violated" in str(e):
-                raise NotNullViolation(str(e).split("NOT NULL violated", 1)[1][:200]) from None
-            raise
+        commit = self._write_commit("INSERT", data=checked, txn=txn, now=now)
         seen = int(obs.get["seen"] or 0)
         rejected = int(obs.get["bad"] or 0)
         out = {"version": commit.version, "inserted": commit.added, "rejected": rejected,
@@ -534,6 +549,7 @@ class VersionedTable:
                 new_cols.append(F.col(R.quote(f.name)))
         new_rows = matched.select(*new_cols, F.col(RV).alias(PV), F.col(RN).alias(PRN))
         commit = self._write_commit("UPDATE", data=new_rows, keep_origin=True, now=now)
+        self._after_mutation(now)
         return {"version": commit.version, "updated": commit.added}
 
     def delete(self, where, now: datetime | None = None) -> dict:
@@ -543,6 +559,7 @@ class VersionedTable:
             raise ValueError("delete needs a non-empty where predicate")
         gone = self.live().where(F.coalesce(cond, F.lit(False))).select(RV, RN)
         commit = self._write_commit("DELETE", tombs=gone, now=now)
+        self._after_mutation(now)
         return {"version": commit.version, "deleted": commit.removed}
 
     def apply(self, operation: str, data: DataFrame | None = None, tombs: DataFrame | None = None,
@@ -554,8 +571,18 @@ class VersionedTable:
         if data is not None:
             data = data.select(*[F.col(R.quote(c)) for c in self.columns],
                                *([F.col(PV), F.col(PRN)] if keep_origin else []))
-        return self._write_commit(operation, data=data, tombs=tombs, keep_origin=keep_origin,
-                                  txn=txn, info=info, now=now, expected_version=expected_version)
+        commit = self._write_commit(operation, data=data, tombs=tombs, keep_origin=keep_origin,
+                                    txn=txn, info=info, now=now, expected_version=expected_version)
+        self._after_mutation(now)
+        return commit
+
+    auto_compact = True
+
+    def _after_mutation(self, now: datetime | None) -> None:
+        """Keep reads on the broadcast path: once the tombstones since the
+        last base outgrow its bound, rewrite the touched file groups."""
+        if self.auto_compact and self._pinned is None:
+            self.maybe_compact(now=now)
 
     def compact(self, now: datetime | None = None) -> dict:
         """Rewrite the current rows as a new base version; later reads skip

@@ -233,3 +233,18 @@ def test_compact_files_rewrites_only_touched_groups(spark, scratch):
     assert ch.where("_change = 'removed'").count() == 1 and ch.where("_change = 'added'").count() == 0
     t.update({"v": "v + 100"}, "id = 6")
     assert t.read(where="id = 6").first().v == 106 and t.row_count() == 399
+
+
+def test_vector_length_fixed_per_table(spark, scratch):
+    from shoreline.operators.table import VectorLengthError
+    t = VersionedTable.create(spark, scratch("vec"), "id bigint, embedding array<double>",
+                              vector_dims={"embedding": 3})
+    ok = spark.createDataFrame([(1, [1.0, 2.0, 3.0]), (2, None)], "id bigint, embedding array<double>")
+    assert t.insert(ok)["inserted"] == 2
+    bad = spark.createDataFrame([(3, [1.0, 2.0])], "id bigint, embedding array<double>")
+    with pytest.raises(VectorLengthError):
+        t.insert(bad)
+    assert t.insert(bad.unionByName(ok.limit(1)), on_null="reject")["rejected"] == 1
+    with pytest.raises(VectorLengthError):
+        t.update({"embedding": "array(1.0D)"}, "id = 1")
+    assert t.compact()["rows"] == 3 and t.layout.vector_dims == {"embedding": 3}
