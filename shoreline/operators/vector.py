@@ -209,9 +209,13 @@ def search_batch(corpus: DataFrame, queries: DataFrame, k=DEFAULT_K, embedding_c
     payload = [c for c in (columns or []) if c not in (key, emb)]
     qsel = queries.select(F.col(query_id).alias("query_id"),
                           F.col(query_vector_col).cast("array<double>").alias("v")).where(F.col("v").isNotNull())
-    dims = qsel.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("dim")).first()
+    dims = qsel.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("dim"),
+                    F.min(F.size("v")).alias("min_dim")).first()
     if not dims["n"]:
         raise ValueError("no query vectors")
+    if dims["min_dim"] != dims["dim"]:
+        raise ValueError(f"query vectors differ in length ({dims['min_dim']} to {dims['dim']}); "
+                         "every query needs the corpus vector length")
     per_group = max(1, MAX_QUERY_MATRIX_BYTES // (8 * max(1, dims["dim"])))
     base = corpus.where(F.col(R.quote(emb)).isNotNull())
     cond = R.predicate(where)
@@ -233,8 +237,6 @@ def search_batch(corpus: DataFrame, queries: DataFrame, k=DEFAULT_K, embedding_c
         rows = part.select("query_id", "v").collect()  # bounded by MAX_QUERY_MATRIX_BYTES
         if not rows:
             continue
-        dim = len(rows[0]["v"])
-        rows = [r for r in rows if len(r["v"]) == dim]
         qids = np.array([r["query_id"] for r in rows], dtype=object)
         bc = sc.broadcast(np.array([r["v"] for r in rows], dtype=np.float64))
         fn = _local_topk("_emb", key, payload, qids, bc, m, n, 10.0 ** -DISTANCE_DIGITS)

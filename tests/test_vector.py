@@ -65,6 +65,13 @@ def test_batch_equals_single(spark, vectors, metric):
         assert got == want
 
 
+def test_batch_refuses_mixed_query_lengths(spark, vectors):
+    queries = spark.createDataFrame([(10, [1.0, 0.0, 0.0]), (11, [0.2, 0.3])],
+                                    "query_id long, vector array<double>")
+    with pytest.raises(ValueError, match="differ in length"):
+        VS.search_batch(vectors, queries, k=3, key="vec_id")
+
+
 def test_text_query_uses_same_model(spark):
     docs = spark.createDataFrame([(1, "red apple pie"), (2, "blue sky"), (3, "   ")], "doc_id long, text string")
     emb = docs.select("doc_id", E.embed_column(docs.text).alias("embedding"))
