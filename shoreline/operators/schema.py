@@ -158,10 +158,11 @@ def null_violation(schema: T.StructType) -> Column:
     return cond
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType, carry=()) -> DataFrame:
     """Align ``df`` to the table schema by name: missing columns become NULL,
     values are cast (``try_cast`` semantics via ``cast`` under the caller's
-    ANSI setting), unknown columns are an error."""
+    ANSI setting), unknown columns are an error. ``carry`` names helper
+    columns kept after the table's columns."""
     lower = {c.lower(): c for c in df.columns}
     names = {f.name.lower() for f in schema.fields}
     unknown = [c for c in df.columns if c.lower() not in names and not c.startswith("_")]
@@ -174,4 +175,4 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
         else:
             out.append(F.col(f"`{src}`").cast(f.dataType).alias(f.name))
-    return df.select(*out)
+    return df.select(*out, *[F.col(f"`{c}`") for c in carry])

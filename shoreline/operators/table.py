@@ -385,10 +385,11 @@ class VersionedTable:
     # --------------------------------------------------------------- writes
     @staticmethod
     def _prepare_rows(df: DataFrame, version: int, layout: Layout, columns: list[str],
-                      keep_origin: bool = False) -> DataFrame:
+                      keep_origin: bool = False, carry: tuple = ()) -> DataFrame:
         cols = [F.col(R.quote(c)) for c in columns]
         if keep_origin:
             cols += [F.col(PV), F.col(PRN)]
+        cols += [F.col(R.quote(c)) for c in carry]
         out = df.select(*cols).withColumns({RV: F.lit(version).cast("int"),
                                             RN: F.monotonically_increasing_id()})
         out = layout.with_partition_columns(out)
@@ -411,7 +412,14 @@ class VersionedTable:
                       replace: bool = False, keep_origin: bool = False,
                       txn: dict | None = None, info: dict | None = None,
                       now: datetime | None = None, expected_version: int | None = None,
-                      retire_live: bool = False) -> Commit:
+                      retire_live: bool = False, carry: tuple = (),
+                      metrics: list[Column] | None = None, skip_col: str | None = None,
+                      observed: dict | None = None) -> Commit:
+        """Write one commit. ``carry`` columns ride along with ``data`` to the
+        write's last stage, where ``metrics`` are observed (once per row, even
+        with a clustering shuffle), rows flagged by ``skip_col`` are left out,
+        and the carried columns are dropped; ``observed`` receives the
+        metrics."""
         log = self.log(refresh=True)
         prev = log[-1] if log else None
         version = (prev.version + 1) if prev else 1
@@ -435,15 +443,25 @@ class VersionedTable:
                 obs = Observation(f"add_{commit_id}")
                 if layout.vector_dims:
                     msg = f"vector length differs from {layout.vector_dims} on {self.name}"
-                    data = (data.withColumn("_vl", F.when(vector_violation(layout.vector_dims),
-                                                          F.raise_error(F.lit(msg))))
+                    broken = vector_violation(layout.vector_dims)
+                    if skip_col:  # rows left out anyway do not fail the write
+                        broken = broken & ~F.col(skip_col)
+                    data = (data.withColumn("_vl", F.when(broken, F.raise_error(F.lit(msg))))
                             .where(F.col("_vl").isNull()).drop("_vl"))
-                rows = self._prepare_rows(data, version, layout, columns, keep_origin)
-                rows = rows.observe(obs, F.count(F.lit(1)).alias("n"))
+                rows = self._prepare_rows(data, version, layout, columns, keep_origin, carry)
+                kept = ~F.col(skip_col) if skip_col else F.lit(True)
+                rows = rows.observe(obs, F.count_if(kept).alias("n"), *(metrics or []))
+                if skip_col:
+                    rows = rows.where(kept)
+                if carry:
+                    rows = rows.drop(*carry)
                 (rows.write.mode("errorifexists")
                  .partitionBy(*layout.partition_columns()).parquet(data_path))
-                added = int(obs.get["n"])
+                got = obs.get
+                added = int(got["n"] or 0)
                 has_data = added > 0
+                if observed is not None:
+                    observed.update(got)
             tomb_parts = []
             if tombs is not None:
                 tomb_parts.append(tombs.select(F.col(RV).cast("int"), F.col(RN).cast("long")))
@@ -486,7 +504,8 @@ class VersionedTable:
         return commit
 
     def insert(self, df: DataFrame, *, on_null: str = "error", now: datetime | None = None,
-               txn: dict | None = None, count_nulls: tuple[str, ...] = ()) -> dict:
+               txn: dict | None = None, count_nulls: tuple[str, ...] = (),
+               count_where: dict[str, Column] | None = None) -> dict:
         """Append rows (aligned to the schema by name and cast).
 
         NOT NULL columns: ``on_null="error"`` writes nothing when any row
@@ -495,26 +514,33 @@ class VersionedTable:
         valid rows and reports how many were left out (``rejects(df)`` gives
         them back)."""
         schema = self.schema
-        rows = conform(df, schema)
-        bad = null_violation(schema) | vector_violation(self.layout.vector_dims)
         if on_null not in ("error", "reject"):
             raise ValueError("on_null must be 'error' or 'reject'")
-        obs = Observation(f"nn_{uuid.uuid4().hex[:8]}")
-        checked = rows.observe(obs, F.count(F.lit(1)).alias("seen"),
-                               F.sum(F.when(bad, 1).otherwise(0)).alias("bad"),
-                               *[F.sum(F.when(F.col(f"`{c}`").isNull(), 1).otherwise(0)).alias(f"null_{c}")
-                                 for c in count_nulls])
-        if on_null == "reject":
-            checked = checked.where(~bad)
+        # Per-row flags travel with the rows as columns and are counted in the
+        # write job's last stage (after any clustering shuffle): counts taken
+        # before the shuffle would also see the range-partitioner's sampling
+        # pass and come out doubled.
+        where = {f"_cw_{i}": c for i, c in enumerate((count_where or {}).values())}
+        rows = conform(df.withColumns(where) if where else df, schema, carry=list(where))
+        bad = null_violation(schema) | vector_violation(self.layout.vector_dims)
+        flags = {"_bad": bad, **{f"_nl_{i}": F.col(f"`{c}`").isNull() for i, c in enumerate(count_nulls)}}
+        rows = rows.withColumns(flags)
         if on_null == "error":
-            checked = _null_guarded(checked, schema, self.name)
-        commit = self._write_commit("INSERT", data=checked, txn=txn, now=now)
-        seen = int(obs.get["seen"] or 0)
-        rejected = int(obs.get["bad"] or 0)
-        out = {"version": commit.version, "inserted": commit.added, "rejected": rejected,
-               "seen": seen}
+            rows = _null_guarded(rows, schema, self.name)
+        metrics = ([F.count(F.lit(1)).alias("seen"), F.count_if(F.col("_bad")).alias("bad")]
+                   + [F.count_if(F.col(f"_nl_{i}")).alias(f"null_{c}") for i, c in enumerate(count_nulls)]
+                   + [F.count_if(F.col(k)).alias(n) for k, n in zip(where, (count_where or {}))])
+        observed: dict = {}
+        commit = self._write_commit("INSERT", data=rows, txn=txn, now=now,
+                                    carry=tuple(where) + tuple(flags), metrics=metrics,
+                                    skip_col="_bad" if on_null == "reject" else None,
+                                    observed=observed)
+        out = {"version": commit.version, "inserted": commit.added,
+               "rejected": int(observed.get("bad") or 0), "seen": int(observed.get("seen") or 0)}
         for c in count_nulls:
-            out[f"null_{c}"] = int(obs.get[f"null_{c}"] or 0)
+            out[f"null_{c}"] = int(observed.get(f"null_{c}") or 0)
+        for n in (count_where or {}):
+            out[n] = int(observed.get(n) or 0)
         return out
 
     def insert_values(self, values, **options) -> dict:

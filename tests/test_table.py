@@ -5,6 +5,7 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoreline.operators.read import GuardError
@@ -248,3 +249,17 @@ def test_vector_length_fixed_per_table(spark, scratch):
     with pytest.raises(VectorLengthError):
         t.update({"embedding": "array(1.0D)"}, "id = 1")
     assert t.compact()["rows"] == 3 and t.layout.vector_dims == {"embedding": 3}
+
+
+def test_insert_counts_once_on_clustered_table(spark, scratch):
+    # The clustering shuffle's boundary sampling re-reads the input; counts
+    # must still be taken once per row.
+    df = spark.range(0, 20000, 1, 6).selectExpr(
+        "id", "cast(id % 7 as string) as grp", "if(id % 10 = 0, null, id) as v")
+    schema = T.StructType([T.StructField("id", T.LongType(), False), T.StructField("grp", T.StringType()),
+                           T.StructField("v", T.LongType(), False)])
+    t = VersionedTable.create(spark, scratch("clustered_counts"), schema, cluster_by=["grp"])
+    res = t.insert(df, on_null="reject", count_nulls=("grp",), count_where={"big": F.col("id") >= 10000})
+    assert (res["seen"], res["rejected"], res["inserted"]) == (20000, 2000, 18000)
+    assert (res["null_grp"], res["big"]) == (0, 10000)
+    assert t.read().count() == 18000 and t.row_count() == 18000
