@@ -34,6 +34,8 @@ def build_session(master: str | None = None, app: str = "shoreline",
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    # Checkpoint files of intermediates nobody references any more are removed.
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**SESSION_DEFAULTS, **(extra or {})}.items():
