@@ -37,3 +37,17 @@ def test_batch_search_limits_per_query_before_shuffle(spark):
     p = formatted(VS.search_batch(emb, qs, k=5, key="vec_id"))
     assert "MapInPandas" in p and "WindowGroupLimit" in p
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_diff_shuffles_each_side_once(spark):
+    from shoreline.operators import cdc
+    from shoreline.plans import fixtures as FX
+    base = FX.products(spark, "/root/testdata/sf0.001")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = formatted(cdc.diff(base, FX.edited_products(base), now=FX.COMMIT_TIME))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # one exchange per side (the key aggregations); the full outer join reuses them
+    assert "SortMergeJoin FullOuter" in p
+    assert p.count(" Exchange (") == 2
