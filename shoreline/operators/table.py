@@ -265,11 +265,14 @@ class VersionedTable:
     def _retired(self, version: int) -> list[int]:
         return [g for c in self._snapshot_commits(version) for g in c.info.get("retired", [])]
 
-    def _data(self, version: int) -> DataFrame:
+    def _data(self, version: int, only: set[int] | None = None) -> DataFrame:
+        """Data rows of the snapshot's commits (``only``: just the commits
+        with those versions; their folders are the only ones listed)."""
         commits = self._snapshot_commits(version)
         head = self._commit_at(version)
         full = self._full_schema(head)
-        paths = [f"{self.data_dir}/_c={c.commit_id}" for c in commits if c.has_data]
+        paths = [f"{self.data_dir}/_c={c.commit_id}" for c in commits
+                 if c.has_data and (only is None or c.version in only)]
         if not paths:
             return self.spark.createDataFrame([], full)
         df = self.spark.read.schema(full).option("basePath", self.data_dir).parquet(*paths)
@@ -297,11 +300,12 @@ class VersionedTable:
             tomb = tomb.where(~file_group(F.col(RV), F.col(RN)).isin(retired))
         return tomb, self._tombstone_rows(version)
 
-    def live(self, version: int | None = None) -> DataFrame:
-        """Current rows with the row identity and partition columns kept."""
+    def live(self, version: int | None = None, only: set[int] | None = None) -> DataFrame:
+        """Current rows with the row identity and partition columns kept
+        (``only``: rows written by the commits with those versions)."""
         self._fresh()
         v = self.version if version is None else version
-        data = self._data(v)
+        data = self._data(v, only)
         tomb, n = self._tombstones(v)
         if tomb is None:
             return data
@@ -364,16 +368,23 @@ class VersionedTable:
         between_commits = [c for c in self.log() if start < c.version <= end]
         cols = self.columns
         if all(c.base <= start and not c.info.get("retired") for c in between_commits):
-            added = (self._data(end).where(F.col(RV) > start))
-            tomb_end, _ = self._tombstones(end)
+            # Only the commits after ``start`` can hold added rows, and only the
+            # commits the new tombstones name can hold removed ones: neither
+            # side reads the rest of the table.
+            added = self._data(end, only={c.version for c in between_commits})
+            tomb_end, n_end = self._tombstones(end)
             if tomb_end is not None:
+                if n_end <= TOMBSTONE_BROADCAST_ROWS:
+                    tomb_end = F.broadcast(tomb_end)
                 added = added.join(tomb_end, [RV, RN], "left_anti")
             removed = None
             new_tombs = [c for c in between_commits if c.has_tomb]
             if new_tombs:
                 t = (self.spark.read.schema(f"{RV} int, {RN} long")
                      .parquet(*[f"{self.tomb_dir}/_c={c.commit_id}" for c in new_tombs]))
-                removed = self.live(start).join(t, [RV, RN], "left_semi")
+                # distinct commit versions named: at most one row per commit
+                named = {int(r[RV]) for r in t.select(RV).distinct().collect()}
+                removed = self.live(start, only=named).join(t, [RV, RN], "left_semi")
         else:
             a, b = self.live(end).select(*cols), self.live(start).select(*cols)
             added, removed = a.exceptAll(b), b.exceptAll(a)
