@@ -51,3 +51,12 @@ def test_diff_shuffles_each_side_once(spark):
     # one exchange per side (the key aggregations); the full outer join reuses them
     assert "SortMergeJoin FullOuter" in p
     assert p.count(" Exchange (") == 2
+
+
+def test_merge_scan_gets_the_key_range(spark, scratch):
+    from shoreline.operators import merge as M
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    t = VersionedTable.create(spark, scratch("ev_keys"), ev.schema, cluster_by=["event_id"], data=ev)
+    keys = spark.createDataFrame([(40,), (45,)], "_k long")
+    p = formatted(M.matched_rows(t, keys, key="event_id", key_range=(40, 45)))
+    assert "GreaterThanOrEqual(event_id,40)" in p and "LessThanOrEqual(event_id,45)" in p
