@@ -46,6 +46,9 @@ TASK_SHIFT = 33
 # Beyond this many retired groups a full compact() is cheaper to read than
 # the retired-group filter.
 MAX_RETIRED_GROUPS = 100_000
+# A clustered write of at most this many rows (counted exactly beforehand)
+# goes to one sorted file instead of range partitions.
+SMALL_WRITE_ROWS = 100_000
 
 
 def file_group(rv: Column, rn: Column) -> Column:
@@ -396,7 +399,8 @@ class VersionedTable:
     # --------------------------------------------------------------- writes
     @staticmethod
     def _prepare_rows(df: DataFrame, version: int, layout: Layout, columns: list[str],
-                      keep_origin: bool = False, carry: tuple = ()) -> DataFrame:
+                      keep_origin: bool = False, carry: tuple = (),
+                      known_rows: int | None = None) -> DataFrame:
         cols = [F.col(R.quote(c)) for c in columns]
         if keep_origin:
             cols += [F.col(PV), F.col(PRN)]
@@ -405,7 +409,12 @@ class VersionedTable:
                                             RN: F.monotonically_increasing_id()})
         out = layout.with_partition_columns(out)
         pcols = layout.partition_columns()
-        if layout.cluster_by:
+        if layout.cluster_by and known_rows is not None and known_rows <= SMALL_WRITE_ROWS:
+            # A write whose exact size is known to be small (a merge's new rows)
+            # is one sorted file: still clustered, without the boundary
+            # sampling job range partitioning costs.
+            out = out.repartition(1).sortWithinPartitions(*pcols, *[R.quote(c) for c in layout.cluster_by])
+        elif layout.cluster_by:
             # Range partitioning on the cluster keys (sampled boundaries) plus a
             # sort inside each task: every file covers a narrow key range, so
             # Parquet min/max statistics skip row groups on range reads. The
@@ -423,7 +432,7 @@ class VersionedTable:
                       replace: bool = False, keep_origin: bool = False,
                       txn: dict | None = None, info: dict | None = None,
                       now: datetime | None = None, expected_version: int | None = None,
-                      retire_live: bool = False, carry: tuple = (),
+                      retire_live: bool = False, carry: tuple = (), known_rows: int | None = None,
                       metrics: list[Column] | None = None, skip_col: str | None = None,
                       observed: dict | None = None) -> Commit:
         """Write one commit. ``carry`` columns ride along with ``data`` to the
@@ -459,7 +468,8 @@ class VersionedTable:
                         broken = broken & ~F.col(skip_col)
                     data = (data.withColumn("_vl", F.when(broken, F.raise_error(F.lit(msg))))
                             .where(F.col("_vl").isNull()).drop("_vl"))
-                rows = self._prepare_rows(data, version, layout, columns, keep_origin, carry)
+                rows = self._prepare_rows(data, version, layout, columns, keep_origin, carry,
+                                          known_rows)
                 kept = ~F.col(skip_col) if skip_col else F.lit(True)
                 rows = rows.observe(obs, F.count_if(kept).alias("n"), *(metrics or []))
                 if skip_col:
@@ -601,15 +611,18 @@ class VersionedTable:
 
     def apply(self, operation: str, data: DataFrame | None = None, tombs: DataFrame | None = None,
               *, keep_origin: bool = False, txn: dict | None = None, info: dict | None = None,
-              now: datetime | None = None, expected_version: int | None = None) -> Commit:
+              now: datetime | None = None, expected_version: int | None = None,
+              known_rows: int | None = None) -> Commit:
         """Low-level commit used by merge and streaming: ``data`` rows in the
         table schema (optionally with ``_pv``/``_prn`` naming the rows they
-        replace) and ``tombs`` ``(_rv, _rn)`` rows to retire."""
+        replace) and ``tombs`` ``(_rv, _rn)`` rows to retire. ``known_rows``
+        is the exact number of data rows when the caller has counted them."""
         if data is not None:
             data = data.select(*[F.col(R.quote(c)) for c in self.columns],
                                *([F.col(PV), F.col(PRN)] if keep_origin else []))
         commit = self._write_commit(operation, data=data, tombs=tombs, keep_origin=keep_origin,
-                                    txn=txn, info=info, now=now, expected_version=expected_version)
+                                    txn=txn, info=info, now=now, expected_version=expected_version,
+                                    known_rows=known_rows)
         self._after_mutation(now)
         return commit
 
