@@ -88,3 +88,22 @@ def test_expression_path_agrees(spark, vectors, metric):
     a = [(r.vec_id, r.distance) for r in VS.search(vectors, q, k=5, columns=["vec_id"], metric=metric).collect()]
     b = [(r.vec_id, r.distance) for r in VS.search_expr(vectors, q, k=5, columns=["vec_id"], metric=metric).collect()]
     assert a == b
+
+
+@pytest.mark.parametrize("metric", ["COSINE", "EUCLIDEAN"])
+def test_many_ties_across_partitions(spark, metric):
+    # a third of the corpus is one repeated vector: ties are broken by key,
+    # exactly as a full sort would, in both the single and the batch path
+    rnd = np.random.default_rng(3)
+    rows = []
+    for i in range(600):
+        v = [0.5, 0.5, 0.5] if i % 3 == 0 else rnd.normal(size=3).round(3).tolist()
+        rows.append((int((i * 7919) % 600), v, i % 4))
+    corpus = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(5)
+    q = [0.4, 0.5, 0.6]
+    want = brute(rows, q, metric)[:25]
+    got = VS.search(corpus, q, k=25, columns=["vec_id"], metric=metric).collect()
+    assert [r.vec_id for r in got] == want
+    queries = spark.createDataFrame([(1, q)], "query_id long, vector array<double>")
+    batch = VS.search_batch(corpus, queries, k=25, key="vec_id", metric=metric).collect()
+    assert [r.vec_id for r in sorted(batch, key=lambda r: r["rank"])] == want
