@@ -490,8 +490,7 @@ def folder_ingest(spark, sf_dir):
     blobs = SF.mime_filter(blobs, ["text/plain"])
     blobs = SF.mime_filter(blobs, F.element_at("meta", F.lit("folder")) != "lang=de")
     t = _asset_table(spark, "folder_assets")
-    t.insert(A.to_assets(blobs, t.schema, common_metadata={"ingestion_source": "folder"},
-                         now=FX.COMMIT_TIME), now=FX.COMMIT_TIME)
+    A.ingest(t, blobs, common_metadata={"ingestion_source": "folder"}, now=FX.COMMIT_TIME)
     a = t.read()
     return (a.groupBy(F.regexp_extract("file_id", r"^([^/]+)/", 1).alias("folder"), "mime_type")
             .agg(F.sum("size").cast("bigint").alias("bytes"),
