@@ -144,11 +144,20 @@ def _local_topk(emb_col: str, key: str, payload: list[str], qids: np.ndarray, qm
             if pdf.empty:
                 continue
             vecs = pdf[emb_col]
-            ok = vecs.map(lambda v: v is not None and len(v) == dim and not pd.isna(v).any()).to_numpy(bool)
+            # Rows without a usable vector (NULL, another length, a NULL or
+            # NaN element) get no distance; the checks run on whole arrays.
+            lens = np.fromiter((-1 if v is None else len(v) for v in vecs), dtype=np.int64,
+                               count=len(vecs))
+            ok = lens == dim
             if not ok.any():
                 continue
             pdf = pdf[ok]
-            X = np.vstack([np.asarray(v, dtype=np.float64) for v in pdf[emb_col]])
+            X = np.stack(pdf[emb_col].to_numpy()).astype(np.float64, copy=False)
+            finite = ~np.isnan(X).any(axis=1)
+            if not finite.all():
+                pdf, X = pdf[finite], X[finite]
+                if not len(X):
+                    continue
             if metric == V.EUCLIDEAN:
                 D = np.stack([np.sqrt(((X - Q[i]) ** 2).sum(axis=1)) for i in range(Q.shape[0])])
             else:

@@ -107,3 +107,14 @@ def test_many_ties_across_partitions(spark, metric):
     queries = spark.createDataFrame([(1, q)], "query_id long, vector array<double>")
     batch = VS.search_batch(corpus, queries, k=25, key="vec_id", metric=metric).collect()
     assert [r.vec_id for r in sorted(batch, key=lambda r: r["rank"])] == want
+
+
+def test_vectors_with_null_or_nan_elements_get_no_distance(spark):
+    rows = [(1, [1.0, None, 0.0]), (2, [float("nan"), 1.0, 0.0]), (3, [1.0, 0.0, 0.0]), (4, [0.0, 1.0, 0.0])]
+    corpus = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for metric in ("COSINE", "EUCLIDEAN"):
+        got = VS.search(corpus, [1.0, 0.1, 0.0], k=10, columns=["vec_id"], metric=metric).collect()
+        assert [r.vec_id for r in got] == [3, 4]
+        queries = spark.createDataFrame([(9, [1.0, 0.1, 0.0])], "query_id long, vector array<double>")
+        batch = VS.search_batch(corpus, queries, k=10, key="vec_id", metric=metric).collect()
+        assert sorted(r.vec_id for r in batch) == [3, 4]
