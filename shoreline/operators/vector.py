@@ -187,19 +187,26 @@ def _local_topk(emb_col: str, key: str, payload: list[str], qids: np.ndarray, qm
             # keep the running set small: re-trim after each batch
             if best:
                 cur = pd.concat(best, ignore_index=True)
-                best = [_trim(cur, k, margin)]
+                best = [_trim(cur, k, margin, key)]
         if best:
             yield best[0]
 
     return run
 
 
-def _trim(cur: pd.DataFrame, k: int, margin: float) -> pd.DataFrame:
+def _trim(cur: pd.DataFrame, k: int, margin: float, key: str) -> pd.DataFrame:
+    """Per query: rows within the rounding margin of the k-th distance; of
+    rows with exactly the same distance only the k smallest keys (the others
+    are beaten by k rows under the (distance, key) order), so a corpus where a
+    third of the vectors coincide still keeps at most k of them."""
     out = []
     for _, g in cur.groupby("query_id", sort=False):
         if len(g) > k:
             kth = np.partition(g["_d"].to_numpy(), k - 1)[k - 1]
             g = g[g["_d"] <= kth + margin]
+            if len(g) > k:
+                g = (g.sort_values(["_d", key], na_position="first", kind="stable")
+                     .groupby("_d", sort=False).head(k))
         out.append(g)
     return pd.concat(out, ignore_index=True)
 
