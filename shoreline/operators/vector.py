@@ -27,6 +27,7 @@ from shoreline.functions import embed as E
 from shoreline.functions import vectors as V
 from shoreline.operators import read as R
 from shoreline.operators.partitioning import spread
+from shoreline.operators.stage import materialize
 
 # Default projection of an asset search and the k rule.
 DEFAULT_COLUMNS = ("id", "file_id", "name", "mime_type", "size", "updated_at")
@@ -245,9 +246,23 @@ def search_batch(corpus: DataFrame, queries: DataFrame, k=DEFAULT_K, embedding_c
                               + [corpus.schema[c] for c in payload]
                               + [T.StructField("_d", T.DoubleType())])
     sc = corpus.sparkSession.sparkContext
-    groups = 1 if dims["n"] <= per_group else -(-dims["n"] // per_group)
+    groups = 1 if dims["n"] <= per_group else 2 * -(-dims["n"] // per_group)
     results = []
-    qgrouped = qsel.withColumn("_g", F.pmod(F.xxhash64("query_id"), F.lit(groups))) if groups > 1 else qsel
+    if groups > 1:
+        # Several collects follow: compute the query vectors once. Groups come
+        # from a hash of the query id; their sizes are counted (one row per
+        # group) and the group count doubles until every group fits the bound.
+        qsel, _ = materialize(qsel, "query_vectors")
+        while True:
+            qgrouped = qsel.withColumn("_g", F.pmod(F.xxhash64("query_id"), F.lit(groups)))
+            largest = qgrouped.groupBy("_g").count().agg(F.max("count")).first()[0]
+            if largest <= per_group:
+                break
+            if groups > 64 * dims["n"]:  # only repeated query ids can share every split
+                raise ValueError("query ids must be unique in a batch search")
+            groups *= 2
+    else:
+        qgrouped = qsel
     for g in range(groups):
         part = qgrouped.where(F.col("_g") == g) if groups > 1 else qgrouped
         rows = part.select("query_id", "v").collect()  # bounded by MAX_QUERY_MATRIX_BYTES

@@ -118,3 +118,14 @@ def test_vectors_with_null_or_nan_elements_get_no_distance(spark):
         queries = spark.createDataFrame([(9, [1.0, 0.1, 0.0])], "query_id long, vector array<double>")
         batch = VS.search_batch(corpus, queries, k=10, key="vec_id", metric=metric).collect()
         assert sorted(r.vec_id for r in batch) == [3, 4]
+
+
+def test_batch_in_several_query_groups(spark, vectors, monkeypatch):
+    # a query-matrix bound of one query per group: every group scans the
+    # corpus once and the union equals the single-group result
+    queries = spark.createDataFrame([(10, [1.0, 0.0, 0.0]), (11, [0.2, 0.3, 0.9]), (12, [0.0, 1.0, 0.0])],
+                                    "query_id long, vector array<double>")
+    one = sorted(tuple(r) for r in VS.search_batch(vectors, queries, k=3, key="vec_id").collect())
+    monkeypatch.setattr(VS, "MAX_QUERY_MATRIX_BYTES", 24)
+    many = sorted(tuple(r) for r in VS.search_batch(vectors, queries, k=3, key="vec_id").collect())
+    assert many == one and len(one) == 9
