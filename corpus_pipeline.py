@@ -47,8 +47,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Repeats documents until the languages' expected words match the targets;
     the budget is the smallest at which none is cut, so every document stays."""
     labelled = queries.labelled_domains(docs, table(spark, sf_dir, "labels"))
-    _, model, steps = mixing.mix(docs, labelled, queries.TARGETS)
-    return mixing.resample(docs, model, steps)
+    _, model, rates = mixing.mix(docs, labelled, queries.TARGETS)
+    return mixing.resample(docs, model, rates)
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

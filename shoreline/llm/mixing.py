@@ -10,8 +10,8 @@ converges.) A document's rate is a fold over the steps taken so far, computed
 from its own probabilities; a round is one aggregate over a narrow table, and
 only one number per domain comes back to the driver.
 
-By default the budget is the smallest total at which no domain must be cut:
-documents are then repeated, not dropped.
+By default the budget is the smallest total at which no domain must be cut, and
+rates are raised until the lowest is one: documents are repeated, not dropped.
 """
 
 from __future__ import annotations
@@ -112,57 +112,68 @@ def memberships(docs: DataFrame, model: Softmax, id_col: str = "doc_id", text_co
             .withColumnRenamed("_id", id_col))
 
 
-def rate_of(p: np.ndarray, steps: list[list[float]]) -> float:
-    x = 1.0
-    for s in steps:
-        x = max(0.0, x + float(p @ np.asarray(s)))
-    return x
+class Rates:
+    """A document's rate: the fold over the descent's ``steps``, times ``scale``."""
 
+    def __init__(self, steps: list[list[float]], scale: float = 1.0):
+        self.steps, self.scale = steps, scale
 
-def rate_column(p: Column, steps: list[list[float]], k: int) -> Column:
-    """``rate_of`` as a column."""
-    if not steps:
-        return F.lit(1.0)
-    history = F.array(*[F.array(*[F.lit(float(v)) for v in s]) for s in steps])
-    return F.aggregate(history, F.lit(1.0), lambda x, s: F.greatest(
-        F.lit(0.0), x + sum((p[i] * s[i] for i in range(1, k)), p[0] * s[0])))
+    def of(self, p: np.ndarray) -> float:
+        x = 1.0
+        for s in self.steps:
+            x = max(0.0, x + float(p @ np.asarray(s)))
+        return x * self.scale
+
+    def column(self, p: Column, k: int) -> Column:
+        """``of`` as a column over the array ``p`` of ``k`` probabilities."""
+        if not self.steps:
+            return F.lit(self.scale)
+        history = F.array(*[F.array(*[F.lit(float(v)) for v in s]) for s in self.steps])
+        return F.aggregate(history, F.lit(1.0), lambda x, s: F.greatest(
+            F.lit(0.0), x + sum((p[i] * s[i] for i in range(1, k)), p[0] * s[0]))) * F.lit(self.scale)
 
 
 def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float], budget: float | None = None,
-              tolerance: float = 1e-6, rounds: int = 200) -> tuple[list[list[float]], dict[str, float]]:
-    """(steps, expected tokens per domain) of the fitted rates.
+              tolerance: float = 1e-6, rounds: int = 200) -> tuple[Rates, dict[str, float]]:
+    """(rates, expected tokens per domain) of the fit.
 
     ``targets`` are weights (normalised here; domains not named get 0). The
     ``budget`` is the total of tokens to expect; by default the smallest at
-    which no domain must be cut, or the tokens there are if a domain that has
-    some is to have none. Stops when no domain is off by more than
+    which no domain must be cut, with all rates then raised alike until the
+    lowest is one (which keeps the domains' shares), so that every document
+    stays; or the tokens there are if a domain that has some is to have none.
+    Stops when no domain is off by more than
     ``tolerance`` of the budget, or after ``rounds``. A domain without tokens
     can't be reached and is left out of the fit.
     """
     k = len(domains)
     p = F.col("p")
 
-    def expected(steps: list[list[float]]) -> np.ndarray:
-        x = members.select("n_tokens", "p", rate_column(p, steps, k).alias("x"))
-        row = x.agg(*[F.sum(F.col("n_tokens") * F.col("x") * p[i]).alias(f"e{i}") for i in range(k)]).first()
-        return np.array([v or 0.0 for v in row])
+    def expected(steps: list[list[float]]) -> tuple[np.ndarray, float]:
+        x = members.select("n_tokens", "p", Rates(steps).column(p, k).alias("x"))
+        row = x.agg(*[F.sum(F.col("n_tokens") * F.col("x") * p[i]).alias(f"e{i}") for i in range(k)],
+                    F.min("x").alias("lowest")).first()
+        return np.array([v or 0.0 for v in row[:k]]), row["lowest"]
 
-    now = start = expected([])
+    now, lowest = expected([])
+    start = now
     weight = np.array([max(0.0, targets.get(d, 0.0)) for d in domains]) * (start > 0)
     steps: list[list[float]] = []
     if not weight.sum():
-        return steps, dict(zip(domains, now.tolist()))
+        return Rates(steps), dict(zip(domains, now.tolist()))
     weight /= weight.sum()
+    some = start > 0
+    uncut = budget is None and bool((weight[some] > 0).all())
     if budget is None:
-        some = start > 0
-        budget = float((start[some] / weight[some]).max()) if (weight[some] > 0).all() else float(start.sum())
+        budget = float((start[some] / weight[some]).max()) if uncut else float(start.sum())
     for _ in range(rounds):
         off = weight * budget - now
         if np.abs(off).max() <= tolerance * budget:
             break
         steps.append((off / np.where(start > 0, start, np.inf)).tolist())
-        now = expected(steps)
-    return steps, dict(zip(domains, now.tolist()))
+        now, lowest = expected(steps)
+    scale = 1 / lowest if uncut and 0 < lowest < 1 else 1.0
+    return Rates(steps, scale), dict(zip(domains, (now * scale).tolist()))
 
 
 def copies(rate: Column, *key: Column) -> Column:
@@ -173,9 +184,9 @@ def copies(rate: Column, *key: Column) -> Column:
 
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text",
-        domain_col: str = "domain", budget: float | None = None) -> tuple[DataFrame, Softmax | None, list[list[float]]]:
+        domain_col: str = "domain", budget: float | None = None) -> tuple[DataFrame, Softmax | None, Rates]:
     """((``id_col``, n_tokens, domain, posterior, rate, copies) per row, the
-    classifier, the fitted steps).
+    classifier, the fitted rates).
 
     ``domain`` is the likeliest domain. Null and empty texts have no tokens and
     get a rate like any other. Ids may be null or repeated: each row has its
@@ -188,31 +199,33 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col:
         out = docs.select(F.col(f"`{id_col}`"), F.size(F.regexp_extract_all(
             F.coalesce(F.col(f"`{text_col}`"), F.lit("")), F.lit("[^\\x20\\x09-\\x0D]+"), 0)).cast("long").alias("n_tokens"))
         return (out.withColumn("domain", F.lit(None).cast("string")).withColumn("posterior", F.lit(None).cast("double"))
-                .withColumn("rate", F.lit(1.0)).withColumn("copies", F.lit(1).cast("long"))), None, []
+                .withColumn("rate", F.lit(1.0)).withColumn("copies", F.lit(1).cast("long"))), None, Rates([])
     members = materialise(memberships(docs, model, id_col, text_col))
-    steps, _ = fit_rates(members, model.domains, targets, budget)
+    rates, _ = fit_rates(members, model.domains, targets, budget)
     p = F.col("p")
     names = F.array(*[F.lit(d) for d in model.domains])
-    return (members.withColumn("rate", rate_column(p, steps, len(model.domains)))
+    return (members.withColumn("rate", rates.column(p, len(model.domains)))
             .select(F.col(f"`{id_col}`"), "n_tokens", names[F.array_position(p, F.array_max(p)).cast("int") - 1].alias("domain"),
-                    F.array_max(p).alias("posterior"), "rate", copies(F.col("rate"), F.col(f"`{id_col}`")).alias("copies"))), model, steps
+                    F.array_max(p).alias("posterior"), "rate", copies(F.col("rate"), F.col(f"`{id_col}`")).alias("copies"))), model, rates
 
 
-def resample(docs: DataFrame, model: Softmax | None, steps: list[list[float]], id_col: str = "doc_id",
+def resample(docs: DataFrame, model: Softmax | None, rates: Rates, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """``docs``, all columns, each row as often as its rate says (``copies``).
     Rates are recomputed where the text lies, so no text is shuffled."""
     if model is None:
         return docs
-    shared = docs.sparkSession.sparkContext.broadcast((model, steps))
+    shared = docs.sparkSession.sparkContext.broadcast((model, rates))
     schema = docs.schema
     u = F.xxhash64(F.col(f"`{id_col}`")).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, s = shared.value
+        m, r = shared.value
         for batch in batches:
-            rates = np.array([rate_of(m.posterior(t.as_py()), s) for t in batch.column(text_col)])
-            times = np.floor(rates) + (batch.column("_u").to_numpy() < rates - np.floor(rates))
+            x = np.array([r.of(m.posterior(t.as_py())) for t in batch.column(text_col)])
+            # a rate that is one but for rounding stays one
+            x = np.maximum(x, 1.0) if r.scale != 1.0 else x
+            times = np.floor(x) + (batch.column("_u").to_numpy() < x - np.floor(x))
             at = np.repeat(np.arange(batch.num_rows), times.astype(np.int64))
             yield batch.drop_columns(["_u"]).take(pa.array(at))
     return docs.withColumn("_u", u).mapInArrow(run, schema)
