@@ -37,10 +37,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     big = 1 << 62
     text_hash = F.xxhash64("text")
     key = F.struct(F.coalesce("doc_id", F.lit(big) + F.pmod(text_hash, F.lit(big))).alias("k"), text_hash.alias("r"))
-    keyed = docs.withColumn("_key", key)
-    found = simhash.near_duplicates(keyed, "_key", "text", shingle=3, max_bits=2)
-    first = found.where("_key = component_id").select("_key").distinct()
-    return keyed.join(first, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
+    # the row travels as one struct, so that no name can clash
+    keyed = docs.select(key.alias("key"), "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    found = simhash.near_duplicates(keyed, "key", "text", shingle=3, max_bits=2)
+    first = found.where("key = component_id").select("key").distinct()
+    return keyed.select("key", "row").join(first, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -135,31 +135,33 @@ def line_keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                     _bitmap("n_lines", "gone").alias("keep")))
 
 
-def _kept_texts(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in frames:
+def _kept_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
         texts = []
-        for text, keep, n, gone in zip(*(batch.column(c).to_pylist() for c in ("_text", "_keep", "_n", "_gone"))):
+        for text, keep, n, gone in zip(*(batch.column(c).to_pylist() for c in ("text", "keep", "n_lines", "n_dropped"))):
             if gone:
-                flags = unpack_bitmap(keep, n)
-                text = "\n".join(line for line, k in zip(text.split("\n"), flags) if k)
+                text = "\n".join(line for line, k in zip(text.split("\n"), unpack_bitmap(keep, n)) if k)
             texts.append(text)
-        yield batch.set_column(batch.schema.get_field_index("_text"), "_text", pa.array(texts, pa.string()))
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string()), batch.column("n_lines"),
+                                          batch.column("n_dropped")], ["row", "text", "n_lines", "n_dropped"])
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
-    """``docs`` with each text reduced to its kept lines (joined by ``\\n``),
-    plus ``_n_lines`` and ``_n_dropped``. All columns and rows stay."""
-    marks = bitmaps.select(F.col("doc").alias("_doc"), F.col("rid").alias("_rid"), F.col("n_lines").alias("_n"),
-                           F.col("n_dropped").alias("_gone"), F.when(F.col("n_dropped") > 0, F.col("keep")).alias("_keep"))
+    """``docs`` with each text reduced to its kept lines (joined by ``\\n``; null
+    becomes empty), plus ``_n_lines`` and ``_n_dropped`` (in the place of
+    columns of these names). All other columns and all rows stay."""
+    others = [c for c in docs.columns if c not in (text_col, "_n_lines", "_n_dropped")]
     text = F.col(f"`{text_col}`")
-    joined = (docs.withColumn("_doc", F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST)))
-              .withColumn("_rid", F.xxhash64(text)).withColumn("_text", F.coalesce(text, F.lit("")))
-              .drop(text_col).join(marks, ["_doc", "_rid"], "left").drop("_doc", "_rid"))
-    schema = joined.schema
-    out = joined.mapInArrow(_kept_texts, schema)
-    return out.select(*[F.col("_text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
-                      F.col("_n").alias("_n_lines"), F.col("_gone").alias("_n_dropped"))
+    # the row's other columns travel as one struct, so that no name can clash
+    packed = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text).alias("rid"),
+                         F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"), F.coalesce(text, F.lit("")).alias("text"))
+    marks = bitmaps.select("doc", "rid", "n_lines", "n_dropped", F.when(F.col("n_dropped") > 0, F.col("keep")).alias("keep"))
+    joined = packed.join(marks, ["doc", "rid"], "left").select("row", "text", "n_lines", "n_dropped", "keep")
+    out = joined.mapInArrow(_kept_texts, joined.drop("keep").schema)
+    return out.select(*[F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns
+                        if c in others or c == text_col],
+                      F.col("n_lines").alias("_n_lines"), F.col("n_dropped").alias("_n_dropped"))
 
 
 def sha256_hex(col) -> "F.Column":

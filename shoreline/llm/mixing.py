@@ -134,7 +134,7 @@ class Rates:
 
 
 def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float], budget: float | None = None,
-              tolerance: float = 1e-6, rounds: int = 200) -> tuple[Rates, dict[str, float]]:
+              tolerance: float = 1e-6, rounds: int = 60) -> tuple[Rates, dict[str, float]]:
     """(rates, expected tokens per domain) of the fit.
 
     ``targets`` are weights (normalised here; domains not named get 0). The
@@ -143,7 +143,8 @@ def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float],
     lowest is one (which keeps the domains' shares), so that every document
     stays; or the tokens there are if a domain that has some is to have none.
     Stops when no domain is off by more than
-    ``tolerance`` of the budget, or after ``rounds``. A domain without tokens
+    ``tolerance`` of the budget, when a round brings the residual down by less
+    than a hundredth (the targets can't be met), or after ``rounds``. A domain without tokens
     can't be reached and is left out of the fit.
     """
     k = len(domains)
@@ -166,10 +167,13 @@ def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float],
     uncut = budget is None and bool((weight[some] > 0).all())
     if budget is None:
         budget = float((start[some] / weight[some]).max()) if uncut else float(start.sum())
+    last = np.inf
     for _ in range(rounds):
         off = weight * budget - now
-        if np.abs(off).max() <= tolerance * budget:
+        far = float(np.linalg.norm(off))
+        if np.abs(off).max() <= tolerance * budget or far > 0.99 * last:
             break
+        last = far
         steps.append((off / np.where(start > 0, start, np.inf)).tolist())
         now, lowest = expected(steps)
     scale = 1 / lowest if uncut and 0 < lowest < 1 else 1.0
@@ -216,16 +220,19 @@ def resample(docs: DataFrame, model: Softmax | None, rates: Rates, id_col: str =
     if model is None:
         return docs
     shared = docs.sparkSession.sparkContext.broadcast((model, rates))
-    schema = docs.schema
-    u = F.xxhash64(F.col(f"`{id_col}`")).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
+    key = F.col(f"`{id_col}`")
+    u = F.xxhash64(key).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, r = shared.value
         for batch in batches:
-            x = np.array([r.of(m.posterior(t.as_py())) for t in batch.column(text_col)])
+            x = np.array([r.of(m.posterior(t.as_py())) for t in batch.column("text")])
             # a rate that is one but for rounding stays one
             x = np.maximum(x, 1.0) if r.scale != 1.0 else x
-            times = np.floor(x) + (batch.column("_u").to_numpy() < x - np.floor(x))
-            at = np.repeat(np.arange(batch.num_rows), times.astype(np.int64))
-            yield batch.drop_columns(["_u"]).take(pa.array(at))
-    return docs.withColumn("_u", u).mapInArrow(run, schema)
+            times = np.floor(x) + (batch.column("u").to_numpy() < x - np.floor(x))
+            at = pa.array(np.repeat(np.arange(batch.num_rows), times.astype(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("row").take(at)], ["row"])
+    # the row travels as one struct, so that no name can clash
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                         F.col(f"`{text_col}`").alias("text"), u.alias("u"))
+    return packed.mapInArrow(run, packed.select("row").schema).select("row.*")

@@ -1,0 +1,380 @@
+"""Operators against brute force, the library they must equal, or held-out rows."""
+
+import hashlib
+import os
+import random
+import re
+import sys
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from shoreline.llm import attribution, bpe, components, langid, linededup, mixing, quality, simhash, vectors
+
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), "scripts"))
+from check_oracle import key_of, norm  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+TABLES = "documents embeddings pages benchmark labels conversations".split()
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
+
+def roots(n, pairs):
+    up = list(range(n))
+
+    def top(i):
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+    for a, b in pairs:
+        up[max(top(a), top(b))] = min(top(a), top(b))
+    return [top(i) for i in range(n)]
+
+
+@pytest.mark.parametrize("name", [n for n in entry.oracle_sql() if re.match(r"op\d+_", n)])
+def test_oracle(spark, name):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    df = entry.queries()[name](spark, SF)
+    cur = con.execute(entry.oracle_sql()[name])
+    names = [d[0] for d in cur.description]
+    assert sorted(names) == sorted(df.columns)
+    want = sorted((tuple(norm(x) for x in r) for r in cur.fetchall()), key=key_of)
+    assert sorted((tuple(norm(x) for x in r) for r in df.select(*names).collect()), key=key_of) == want
+
+
+# ------------------------------------------------------------ components
+def test_components(spark):
+    rnd = random.Random(3)
+    pairs = [(rnd.randrange(400), rnd.randrange(400)) for _ in range(250)]
+    pairs += [(500 + i, 501 + i) for i in range(60)] + [(600, 601 + i) for i in range(300)] + [(5, 5)]
+    want = roots(1000, pairs)
+    df = spark.createDataFrame(pairs, "a long, b long").repartition(5)
+    got = {r.node: r.component for r in components.connected_components(df).collect()}
+    linked = {x for p in pairs if p[0] != p[1] for x in p}
+    assert got == {i: want[i] for i in linked}
+    assert components.connected_components(df.limit(0)).count() == 0
+
+
+# ------------------------------------------------------------ lines
+def test_lines_across_tasks(spark):
+    """A line in a third of the documents, spread over many sorted tasks."""
+    rnd = random.Random(1)
+    pool = [f"common passage number {i}" for i in range(8)] + ["short", "  Common Passage Number 1\t", ""]
+    texts = {i: "\n".join(["The hot line of them all"] * (i % 3 == 0) + [rnd.choice(pool) for _ in range(rnd.randrange(6))]
+                          + [f"own line of {i}"]) for i in range(300)}
+    docs = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string").repartition(7)
+    first = {}
+    key = lambda line: re.sub(r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "", line).translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    for i, t in sorted(texts.items()):
+        for line in t.split("\n"):
+            if len(key(line)) >= 10:
+                first.setdefault(key(line), i)
+    want = {i: "\n".join(x for x in t.split("\n") if first.get(key(x), i) == i) for i, t in texts.items()}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    try:
+        marks = linededup.line_keep_bitmaps(docs)
+        got = {r.doc_id: r.text for r in linededup.apply_bitmaps(docs, marks).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert got == want
+    for r in marks.collect():
+        assert linededup.unpack_bitmap(r.keep, r.n_lines).sum() == r.n_lines - r.n_dropped
+
+
+# ------------------------------------------------------------ SimHash
+def plain_fingerprint(text, k=3):
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text))
+    grams = [" ".join(words[i:i + k]) for i in range(len(words) - k + 1)] or [" ".join(words)] * bool(words)
+    counts = [0] * 64
+    for g in grams:
+        h = xxhash.xxh64(g.encode(), seed=42).intdigest()
+        for b in range(64):
+            counts[b] += h >> b & 1
+    return sum(1 << b for b in range(64) if 2 * counts[b] > len(grams))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet="ab AB\t\n\xe9中.", max_size=60))
+def test_fingerprint(text):
+    assert simhash.fingerprint(text) % (1 << 64) == plain_fingerprint(text)
+
+
+@pytest.mark.parametrize("bits", [0, 1, 2, 3])
+def test_simhash_links(spark, bits):
+    rnd = random.Random(bits)
+    fps = set()
+    for _ in range(40):
+        x = rnd.getrandbits(64)
+        fps.add(x)
+        for _ in range(rnd.randrange(8)):  # a chain of near fingerprints
+            for b in rnd.sample(range(64), rnd.randrange(1, 5)):
+                x ^= 1 << b
+            fps.add(x)
+    fps = sorted(fps)
+    pairs = [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= bits]
+    want = roots(len(fps), pairs)
+    df = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in fps], "fp long")
+    if bits:
+        kept = {r.fp % (1 << 64) for r in simhash.chain_survivors(df, bits).collect()}
+        assert {fps[i] for p in pairs for i in p} <= kept < set(fps)
+    found = simhash.links(df, bits).collect() if bits else []
+    index = {x: i for i, x in enumerate(fps)}
+    got = roots(len(fps), [(index[r.a % (1 << 64)], index[r.b % (1 << 64)]) for r in found])
+    assert got == want
+    assert all(((r.a ^ r.b) % (1 << 64)).bit_count() <= bits for r in found)
+
+
+def test_simhash_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = docs.select("doc_id", "text").collect()
+    near = [(10_000 + r.doc_id, r.text + " tail") for r in rows[:40]] + [(20_000 + r.doc_id, r.text.upper()) for r in rows[:10]]
+    texts = [(r.doc_id, r.text) for r in rows] + near
+    fps = [plain_fingerprint(t) for _, t in texts]
+    group = roots(len(fps), [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 2])
+    least = {}
+    for (i, _), g in zip(texts, group):
+        least[g] = min(i, least.get(g, i))
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in
+           simhash.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert got == {i: (f"{f:016x}", least[g]) for (i, _), f, g in zip(texts, fps, group)}
+
+
+# ------------------------------------------------------------ vectors
+def test_vectors_against_all_pairs(spark):
+    rng = np.random.default_rng(4)
+    base = rng.standard_normal((120, 24))
+    near = np.concatenate([base[i] + rng.standard_normal((n, 24)) * s for i, n, s in ((0, 150, 0.1), (1, 60, 0.16), (2, 40, 0.3))])
+    x = np.concatenate([base, near, np.repeat(base[5:6], 30, axis=0), base[6:7] * 3])
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hit = u @ u.T >= 0.95
+    group = roots(len(x), list(zip(*np.nonzero(hit))))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    out, _ = vectors.near_duplicate_vectors(df)
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in out.collect()}
+    want = {i: (int(hit[i].sum()) - 1, group[i], group[i] == i) for i in range(len(x))}
+    recall = sum(g[0] for g in got.values()) / sum(w[0] for w in want.values())
+    assert recall > 0.999 and all(got[i][0] <= want[i][0] for i in got)
+    assert sum(got[i][1] != want[i][1] for i in got) <= 1
+
+
+def test_vectors_in_blocks(spark, monkeypatch):
+    """A key that holds more than a block: all pairs are still compared once."""
+    monkeypatch.setattr(vectors, "BLOCK", 16)
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal(16) + rng.standard_normal((150, 16)) * 0.02
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    out, links = vectors.near_duplicate_vectors(df)
+    assert {(r.n_links, r.component_id) for r in out.collect()} == {(149, 0)}
+    assert links.count() == 150 * 149 // 2
+
+
+# ------------------------------------------------------------ BPE
+@pytest.fixture(scope="module")
+def library():
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(WORD_BPE)
+    t.no_truncation()
+    t.no_padding()
+    return t
+
+
+@pytest.fixture(scope="module")
+def coder():
+    return bpe.ChunkCoder(WORD_BPE)
+
+
+def check_encoding(coder, library, texts):
+    for (ids, n, decoded), text in zip(coder.encode_batch(texts), texts):
+        want = library.encode(text, add_special_tokens=False).ids
+        assert (ids, n) == (" ".join(map(str, want)), len(want)), text
+        assert decoded == library.decode(want, skip_special_tokens=False) == bpe.decode(coder.encoder, want)
+
+
+def test_bpe_words(coder, library):
+    rnd = random.Random(2)
+    texts = ["".join(rnd.choice("abcdehilnorstu'") for _ in range(rnd.randrange(1, 25))) for _ in range(3000)]
+    texts += ["a" * n for n in range(1, 60)] + ["ab" * 40, "aaab" * 20, "!" * 33, "1234567", "x" * 5000]
+    check_encoding(coder, library, texts)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from(" \n\t\x1c\x85　'stÁΣİ<|>")), max_size=40))
+def test_bpe_any_text(coder, library, text):
+    check_encoding(coder, library, [text])
+
+
+def test_bpe_special_tokens(coder, library):
+    check_encoding(coder, library, ["a<|endoftext|>b <|startoftext|>", "<|endoftext|><|endoftext|>", "<|END|> <|endoftext |>", "x < y"])
+
+
+def test_bpe_forgets_and_keeps_results(coder, library, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 5)
+    for _ in range(3):
+        check_encoding(coder, library, ["some words to forget soon", "other words " + "long" * 100])
+
+
+def test_bpe_query(spark, library):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = entry.queries()["op7_bpe"](spark, SF).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        want = library.encode(texts[r.doc_id], add_special_tokens=False).ids
+        assert r.n_tokens == len(want)
+        assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, want)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(library.decode(want, skip_special_tokens=False).encode()).hexdigest()
+
+
+# ------------------------------------------------------------ attribution
+@pytest.mark.parametrize("rule", attribution.RULES)
+def test_attribution(spark, rule):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    enc, lengths = attribution.load_encoding(path, public_tokenizers.PATTERN)
+    rows = [(1, "ti", "one\n\n\ntwo 中\U0001f600\n\n"), (2, None, "x\n  y"), (3, "a", None), (4, "t", "\n\n\n\n    z")]
+    df = spark.createDataFrame(rows, "doc_id long, title string, text string")
+    for lines in (False, True):
+        got = attribution.token_counts(df, path, public_tokenizers.PATTERN, fields=("title", "text"), sep="\n", lines=lines, rule=rule).collect()
+        for i, title, text in rows:
+            whole = "\n".join(x for x in (title, text) if x is not None)
+            mine = sorted((r for r in got if r.doc_id == i), key=lambda r: r.start)
+            assert [r.start for r in mine][0] == 0 and mine[-1].end == len(whole)
+            owner = {}
+            for k, r in enumerate(mine):  # section of every character
+                owner.update({c: k for c in range(r.start, r.end)})
+            want, crossing, at, raw = [0] * len(mine), [0] * len(mine), 0, whole.encode()
+            starts = [k for k, c in enumerate(whole) for _ in c.encode()]
+            for token in enc.encode_ordinary(whole):
+                span = sorted(set(starts[at:at + lengths[token]]))
+                at += lengths[token]
+                held = [owner[c] for c in span]
+                k = {"start": held[0], "end": held[-1], "majority": max(sorted(set(held)), key=held.count)}[rule]
+                want[k] += 1
+                crossing[k] += len(set(held)) > 1
+            assert at == len(raw) and [r.n_tokens for r in mine] == want and [r.n_crossing for r in mine] == crossing
+
+
+# ------------------------------------------------------------ models
+def test_gru_gradients():
+    rng = np.random.default_rng(0)
+    model = langid.BiGru(["a", "b", "c"], hidden=4)
+    model.params = [p.astype(np.float64) for p in model.params]
+    steps, y = rng.integers(0, 256, (7, 5)), np.array([0, 1, 2, 1, 0])
+    mask = (np.arange(7)[:, None] < np.array([7, 3, 5, 7, 1])).astype(float)
+    grads, _ = model.gradients(steps, mask, y)
+    for p, g in zip(model.params, grads):
+        for at in [tuple(rng.integers(0, s) for s in p.shape) for _ in range(4)] + [(0, int(steps[0, 0]) % p.shape[1])]:
+            old = p[at]
+            p[at] = old + 1e-3
+            up = model.gradients(steps, mask, y)[1]
+            p[at] = old - 1e-3
+            down = model.gradients(steps, mask, y)[1]
+            p[at] = old
+            assert abs((up - down) / 2e-3 - g[at]) < 2e-3 + 0.02 * abs(g[at])
+
+
+def test_gru_scoring_path_equals_training_path():
+    one = langid.BiGru(["a", "b"]).both[0]
+    steps = np.random.default_rng(1).integers(0, 256, (50, 20))
+    assert np.abs(one.run(steps) - one.states(steps)).max() < 1e-5
+
+
+def test_language_held_out(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
+    held = entry.queries()["op1_language_id"](spark, sf).where("held_out").join(docs, "doc_id")
+    n, right = held.count(), held.where("lang = lang_pred").count()
+    assert n > 250 and right / n > 0.95
+
+
+def test_quality_held_out(spark):
+    sf = "/root/testdata/sf0.01"
+    out = entry.queries()["op6_quality_classifier"](spark, sf)
+    rows = out.where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()
+    good, bad = [r.score for r in rows if r.quality == 1], [r.score for r in rows if r.quality == 0]
+    auc = np.mean([[(g > b) + 0.5 * (g == b) for b in bad] for g in good])
+    assert auc > 0.95 and np.mean([r.predicted == r.quality for r in rows]) > 0.9
+
+
+def test_dual_descent_reaches_the_optimum():
+    """At the optimum every dual variable meets its complementary condition."""
+    rng = np.random.default_rng(5)
+    rows = [np.unique(rng.integers(0, 60, 12)) + 100 * k % 140 for k in rng.integers(0, 2, 80)]
+    y = np.array([int(r.min() >= 60) if rng.random() > 0.1 else 1 for r in rows])
+    y[:2] = 0, 1
+    model = quality.fit(rows, y, prior=0.5, epochs=3000)
+    sign = np.where(y == 1, 1, -1)
+    slack = np.maximum(0, 1 - sign * np.array([model.margin(r) for r in rows]))
+    weight = np.where(sign > 0, 40 / max(1, (sign > 0).sum()), 40 / max(1, (sign < 0).sum()))
+    goal = lambda w, b: 0.5 * (w @ w + b * b) + (weight * np.maximum(0, 1 - sign * np.array(
+        [w[r] @ (model.scale[r] / np.linalg.norm(model.scale[r])) + b for r in rows]))).sum()
+    w, best = model.weights.astype(float), None
+    best = goal(w, model.bias)
+    assert slack.shape == (80,)
+    for _ in range(200):
+        step = rng.standard_normal(len(w)) * (w != 0) * 0.01
+        assert goal(w + step, model.bias + rng.standard_normal() * 0.01) > best - 1e-3
+
+
+def test_rates_meet_targets(spark):
+    rng = np.random.default_rng(2)
+    p = rng.dirichlet([0.3, 0.3, 0.3], 500)
+    n = rng.integers(1, 900, 500)
+    df = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(n, p)], "n_tokens long, p array<double>")
+    for targets, budget in (({"a": 0.7, "b": 0.2, "c": 0.1}, None), ({"a": 0.7, "b": 0.2, "c": 0.1}, 50_000.0),
+                            ({"a": 1, "b": 1, "c": 4}, 100_000.0)):
+        rates, expected = mixing.fit_rates(df, ["a", "b", "c"], targets, budget)
+        x = np.array([rates.of(q) for q in p])
+        got = (n * x) @ p
+        assert (x >= 0).all() and np.allclose(got, [expected[d] for d in "abc"], rtol=1e-6)
+        assert np.allclose(got / got.sum(), np.array([targets[d] for d in "abc"]) / sum(targets.values()), atol=1e-4)
+        assert budget is None and x.min() >= 1 - 1e-9 or budget is not None and abs(got.sum() - budget) < 1e-4 * budget
+        column = df.select(rates.column(F.col("p"), 3).alias("x")).collect()
+        assert np.allclose([r.x for r in column], x)
+    assert mixing.fit_rates(df.limit(0), ["a"], {"a": 1})[0].of(np.array([1.0])) == 1.0
+
+
+# ------------------------------------------------------------ pipeline
+def test_pipeline_stages_in_turn(spark, scratch):
+    """Every stage against a plain form of what it decides."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["quality", "line_dedup", "near_dup", "mixing", "bpe"]
+
+    def written(name, df):
+        path = scratch(name)
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    good = written("good", stages["quality"](spark, docs, SF))
+    scores = {r.doc_id: r.score for r in entry.queries()["op6_quality_classifier"](spark, SF).collect()}
+    assert sorted(r.doc_id for r in good.collect()) == sorted(i for i, s in scores.items() if s >= 0.7)
+    lines = written("lines", stages["line_dedup"](spark, good, SF))
+    assert lines.columns == docs.columns and lines.count() == good.count()
+    seen = {}
+    for r in sorted(lines.collect(), key=lambda r: r.doc_id):
+        assert r.n_chars == len(r.text)
+        for line in r.text.split("\n"):
+            k = line.strip(" \t\n\x0b\x0c\r").lower()
+            if len(k) >= 10:
+                assert seen.setdefault(k, r.doc_id) == r.doc_id
+    single = written("single", stages["near_dup"](spark, lines, SF))
+    group = {r.doc_id: r.component_id for r in simhash.near_duplicates(lines).collect()}
+    assert sorted(r.doc_id for r in single.collect()) == sorted(set(group.values()))
+    mixed = written("mixed", stages["mixing"](spark, single, SF))
+    assert {r.doc_id for r in mixed.collect()} == {r.doc_id for r in single.collect()}
+    totals = {r.lang: r.n for r in mixed.groupBy("lang").agg(F.sum(F.size(F.split("text", "\\s+"))).alias("n")).collect()}
+    assert abs(totals["en"] / sum(totals.values()) - 0.4) < 0.1
+    coded = stages["bpe"](spark, mixed, SF)
+    assert coded.count() == mixed.count() == corpus_pipeline.run(spark, SF).count()
