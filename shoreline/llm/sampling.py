@@ -7,12 +7,19 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shoreline.llm.common import materialise
 
 
+#: Slices of a class ranked apart first: one task then gets at most so many times the sample.
+SLICES = 64
+
+
 def per_class(rows: DataFrame, id_col: str, label: Column, most: int) -> DataFrame:
     """(``id_col``, ``label``) of up to ``most`` rows of each class. Only ids and
-    labels are ranked; each task passes on its own ``most`` per class."""
-    ranked = rows.select(F.col(f"`{id_col}`"), label.alias("label")).where("label IS NOT NULL").withColumn(
-        "_r", F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64(F.col(f"`{id_col}`")), F.col(f"`{id_col}`"))))
-    return materialise(ranked.where(F.col("_r") <= most).drop("_r"))
+    labels are ranked, in slices of each class first; what is left of the
+    slices, at most ``SLICES * most`` rows a class, is ranked again."""
+    order = ["_h", "_i"]
+    ranked = rows.select(F.col(f"`{id_col}`").alias("_i"), label.alias("label")).where("label IS NOT NULL").withColumn("_h", F.xxhash64("_i"))
+    for keys in (["label", F.shiftrightunsigned("_h", 3).bitwiseAND(F.lit(SLICES - 1))], ["label"]):
+        ranked = ranked.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_r") <= most)
+    return materialise(ranked.select(F.col("_i").alias(id_col), "label"))
 
 
 def crc_mod(id_col: str, n: int) -> Column:
