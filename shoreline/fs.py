@@ -3,6 +3,9 @@ and object stores the cluster is configured for)."""
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -13,16 +16,35 @@ def _fs(spark: SparkSession, path: str):
 
 
 def create_exclusive(spark: SparkSession, path: str, text: str) -> bool:
-    """Create ``path`` with ``text``; False if it already exists (lost race)."""
+    """Put a file with ``text`` at ``path``; False if one is there already (lost
+    race). The text is written beside it first and then moved without
+    overwriting, so nobody sees a part of it: by a hard link on a local file
+    system (whose rename replaces), by rename elsewhere (atomic on HDFS). Any
+    other failure raises."""
+    jvm = spark.sparkContext._jvm
     fs, p = _fs(spark, path)
-    try:
-        out = fs.create(p, False)
-    except Exception:  # FileAlreadyExistsException surfaces as Py4JJavaError
-        return False
+    temp = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(temp, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+    try:
+        if fs.getUri().getScheme() == "file":
+            local = jvm.java.io.File
+            jvm.java.nio.file.Files.createLink(local(p.toUri().getPath()).toPath(), local(temp.toUri().getPath()).toPath())
+        else:
+            modes = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+            modes[0] = getattr(jvm.org.apache.hadoop.fs.Options.Rename, "NONE")
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+                fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+            context.rename(fs.makeQualified(temp), fs.makeQualified(p), modes)
+    except Py4JJavaError as e:
+        if e.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+    finally:
+        fs.delete(temp, False)
     return True
 
 

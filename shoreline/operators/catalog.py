@@ -72,7 +72,7 @@ class Catalog:
     def table_names(self) -> list[str]:
         names = []
         for n in fs.list_names(self.spark, self.path):
-            if not n.startswith("_") and fs.list_names(self.spark, f"{self.path}/{n}/_log"):
+            if n != "_catalog.json" and fs.list_names(self.spark, f"{self.path}/{n}/_log"):
                 names.append(n)
         return names
 
@@ -105,6 +105,3 @@ class Catalog:
             self.table(n).read().createOrReplaceTempView(n)
         return names
 
-
-def open_catalog(spark: SparkSession, root: str, name: str) -> Catalog:
-    return Catalog(spark, root, name)

@@ -72,19 +72,16 @@ def export(df: DataFrame, path: str, order_by=None, max_cells: int = MAX_CELLS,
     return check["rows"] + 1
 
 
-def iter_rows(df: DataFrame, max_cells: int = MAX_CELLS):
-    """Rows to the driver one partition at a time (``toLocalIterator``),
-    only after the cell guard passed; never a whole ``collect``."""
-    check = check_cells(df, max_cells)
-    if not check["allowed"]:
-        raise ExportTooLarge(f"{check['cells']} cells exceed {max_cells}")
+def iter_rows(df: DataFrame):
+    """All rows, paged to the driver one partition at a time
+    (``toLocalIterator``), never as a whole."""
     return df.toLocalIterator()
 
 
-def to_values(df: DataFrame, order_by=None, max_cells: int = MAX_CELLS) -> list[list]:
-    """The grid as a header row + rows of text (guarded)."""
+def to_values(df: DataFrame, order_by=None) -> list[list]:
+    """The grid as a header row + all rows of text, read page by page."""
     grid = to_grid(df.orderBy(*([order_by] if isinstance(order_by, str) else order_by)) if order_by else df)
-    return [list(grid.columns)] + [list(r) for r in iter_rows(grid, max_cells)]
+    return [list(grid.columns)] + [list(r) for r in iter_rows(grid)]
 
 
 def read_export(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:

@@ -13,7 +13,12 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want)
+    """``df`` over at least ``min_partitions`` tasks (the cluster's cores by
+    default) if the planner's estimate of its bytes fills fewer splits than
+    that. Nothing is run to find out; only an input of under ``cores`` splits
+    is ever shuffled."""
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df if estimate >= want * split else df.repartition(want)

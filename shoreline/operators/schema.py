@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 # Warehouse type names used by the reference and their Spark types.
 TYPE_NAMES = {
     "INT64": "bigint", "INTEGER": "bigint", "INT": "bigint", "BIGINT": "bigint",
-    "FLOAT64": "double", "FLOAT": "double", "DOUBLE": "double", "NUMERIC": "double",
+    "FLOAT64": "double", "FLOAT": "double", "DOUBLE": "double", "NUMERIC": "decimal(38,9)",
     "STRING": "string", "BOOL": "boolean", "BOOLEAN": "boolean",
     "TIMESTAMP": "timestamp", "DATETIME": "timestamp_ntz", "DATE": "date",
     "BYTES": "binary", "JSON": "string",
@@ -165,7 +165,7 @@ def conform(df: DataFrame, schema: T.StructType, carry=()) -> DataFrame:
     columns kept after the table's columns."""
     lower = {c.lower(): c for c in df.columns}
     names = {f.name.lower() for f in schema.fields}
-    unknown = [c for c in df.columns if c.lower() not in names and not c.startswith("_")]
+    unknown = [c for c in df.columns if c.lower() not in names and c not in carry]
     if unknown:
         raise SchemaError(f"columns not in the table schema: {unknown}")
     out = []

@@ -37,24 +37,9 @@ RV, RN, PV, PRN = "_rv", "_rn", "_pv", "_prn"
 META = (RV, RN)
 # Broadcast the tombstone side of the anti join only while its exact size
 # (known from the commit log, 12 bytes a row) stays under this bound; beyond
-# it the join is left to AQE (sort-merge on (_rv, _rn)) and compact() is due.
+# it the join is left to AQE (sort-merge on (_rv, _rn)); compact() is the
+# caller's decision and never runs by itself.
 TOMBSTONE_BROADCAST_ROWS = 2_000_000
-# monotonically_increasing_id() keeps the writing task's partition id in the
-# upper 31 bits of _rn, so (_rv, _rn >> 33) names the group of files one task
-# wrote in one commit: the unit that file-group compaction rewrites.
-TASK_SHIFT = 33
-# Beyond this many retired groups a full compact() is cheaper to read than
-# the retired-group filter.
-MAX_RETIRED_GROUPS = 100_000
-# A clustered write of at most this many rows (counted exactly beforehand)
-# goes to one sorted file instead of range partitions.
-SMALL_WRITE_ROWS = 100_000
-
-
-def file_group(rv: Column, rn: Column) -> Column:
-    return rv.cast("long") * F.lit(1 << 31) + F.shiftright(rn, TASK_SHIFT)
-
-
 class CommitConflict(RuntimeError):
     """Another writer committed the same version first; re-run the operation."""
 
@@ -265,30 +250,22 @@ class VersionedTable:
             fields.append(T.StructField(c, T.DataType.fromDDL(t)))
         return T.StructType(fields)
 
-    def _retired(self, version: int) -> list[int]:
-        return [g for c in self._snapshot_commits(version) for g in c.info.get("retired", [])]
-
     def _data(self, version: int, only: set[int] | None = None) -> DataFrame:
         """Data rows of the snapshot's commits (``only``: just the commits
-        with those versions; their folders are the only ones listed)."""
+        with those versions, and the compacted base, whose rows keep the
+        identity of the commits it replaced)."""
         commits = self._snapshot_commits(version)
-        head = self._commit_at(version)
-        full = self._full_schema(head)
+        full = self._full_schema(self._commit_at(version))
         paths = [f"{self.data_dir}/_c={c.commit_id}" for c in commits
-                 if c.has_data and (only is None or c.version in only)]
+                 if c.has_data and (only is None or c.version in only or c.operation == "COMPACT")]
         if not paths:
             return self.spark.createDataFrame([], full)
-        df = self.spark.read.schema(full).option("basePath", self.data_dir).parquet(*paths)
-        retired = self._retired(version)
-        if retired:
-            df = df.where(~file_group(F.col(RV), F.col(RN)).isin(retired))
-        return df
+        return self.spark.read.schema(full).option("basePath", self.data_dir).parquet(*paths)
 
     def _tombstone_rows(self, version: int) -> int:
         commits = self._snapshot_commits(version)
         base = commits[0].version
-        return (sum(c.removed for c in commits if c.has_tomb and c.version > base)
-                - sum(c.info.get("retired_tombstones", 0) for c in commits if c.version > base))
+        return sum(c.removed for c in commits if c.has_tomb and c.version > base)
 
     def _tombstones(self, version: int) -> tuple[DataFrame | None, int]:
         commits = self._snapshot_commits(version)
@@ -297,11 +274,14 @@ class VersionedTable:
                  if c.has_tomb and c.version > base]
         if not paths:
             return None, 0
-        tomb = self.spark.read.schema(f"{RV} int, {RN} long").parquet(*paths)
-        retired = self._retired(version)
-        if retired:
-            tomb = tomb.where(~file_group(F.col(RV), F.col(RN)).isin(retired))
-        return tomb, self._tombstone_rows(version)
+        return self.spark.read.schema(f"{RV} int, {RN} long").parquet(*paths), self._tombstone_rows(version)
+
+    def _base_version(self) -> int:
+        """The newest version, which a mutation reads and must directly follow:
+        the commit is refused if another writer came between."""
+        if self._pinned is not None:
+            raise ValueError(f"{self.name}: a handle pinned to version {self._pinned} is read-only")
+        return self._fresh().latest_version
 
     def live(self, version: int | None = None, only: set[int] | None = None) -> DataFrame:
         """Current rows with the row identity and partition columns kept
@@ -364,22 +344,20 @@ class VersionedTable:
     def changes(self, start: int, end: int | None = None) -> DataFrame:
         """Rows that stopped being current (``_change = 'removed'``) and rows
         that became current (``'added'``) between versions ``start`` and
-        ``end``. Uses the row identity when no base change lies between;
-        otherwise compares whole rows."""
+        ``end``, by row identity: an update that leaves its values as they were
+        is a change. ``compact`` keeps identities, so the answer is the same
+        before and after it; a replaced table changes in all its rows."""
         self._fresh()
         end = self.version if end is None else end
         between_commits = [c for c in self.log() if start < c.version <= end]
-        cols = self.columns
-        if all(c.base <= start and not c.info.get("retired") for c in between_commits):
+        if any(c.operation == "CREATE" for c in between_commits):
+            added, removed = self.live(end), self.live(start)
+        else:
             # Only the commits after ``start`` can hold added rows, and only the
             # commits the new tombstones name can hold removed ones: neither
-            # side reads the rest of the table.
-            added = self._data(end, only={c.version for c in between_commits})
-            tomb_end, n_end = self._tombstones(end)
-            if tomb_end is not None:
-                if n_end <= TOMBSTONE_BROADCAST_ROWS:
-                    tomb_end = F.broadcast(tomb_end)
-                added = added.join(tomb_end, [RV, RN], "left_anti")
+            # side reads the rest of the table (unless compacted since; the
+            # version filter then reaches the Parquet scan).
+            added = self.live(end, only={c.version for c in between_commits}).where(F.col(RV) > start)
             removed = None
             new_tombs = [c for c in between_commits if c.has_tomb]
             if new_tombs:
@@ -388,9 +366,6 @@ class VersionedTable:
                 # distinct commit versions named: at most one row per commit
                 named = {int(r[RV]) for r in t.select(RV).distinct().collect()}
                 removed = self.live(start, only=named).join(t, [RV, RN], "left_semi")
-        else:
-            a, b = self.live(end).select(*cols), self.live(start).select(*cols)
-            added, removed = a.exceptAll(b), b.exceptAll(a)
         out = self._user_view(added).withColumn("_change", F.lit("added"))
         if removed is not None:
             out = out.unionByName(self._user_view(removed).withColumn("_change", F.lit("removed")))
@@ -399,31 +374,34 @@ class VersionedTable:
     # --------------------------------------------------------------- writes
     @staticmethod
     def _prepare_rows(df: DataFrame, version: int, layout: Layout, columns: list[str],
-                      keep_origin: bool = False, carry: tuple = (),
-                      known_rows: int | None = None) -> DataFrame:
+                      keep_origin: bool = False, carry: tuple = (), keep_identity: bool = False) -> DataFrame:
         cols = [F.col(R.quote(c)) for c in columns]
         if keep_origin:
             cols += [F.col(PV), F.col(PRN)]
+        if keep_identity:
+            cols += [F.col(RV), F.col(RN)]
         cols += [F.col(R.quote(c)) for c in carry]
-        out = df.select(*cols).withColumns({RV: F.lit(version).cast("int"),
-                                            RN: F.monotonically_increasing_id()})
-        out = layout.with_partition_columns(out)
+        out = layout.with_partition_columns(df.select(*cols))
         pcols = layout.partition_columns()
-        if layout.cluster_by and known_rows is not None and known_rows <= SMALL_WRITE_ROWS:
-            # A write whose exact size is known to be small (a merge's new rows)
-            # is one sorted file: still clustered, without the boundary
-            # sampling job range partitioning costs.
-            out = out.repartition(1).sortWithinPartitions(*pcols, *[R.quote(c) for c in layout.cluster_by])
-        elif layout.cluster_by:
+        keys = [R.quote(c) for c in layout.cluster_by]
+        if keys:
             # Range partitioning on the cluster keys (sampled boundaries) plus a
             # sort inside each task: every file covers a narrow key range, so
-            # Parquet min/max statistics skip row groups on range reads. The
-            # unique row number is the last range key, so a single hot cluster
-            # value is split over several tasks instead of landing in one.
-            out = out.repartitionByRange(*[F.col(R.quote(c)) for c in layout.cluster_by], F.col(RN))
-            out = out.sortWithinPartitions(*pcols, *[R.quote(c) for c in layout.cluster_by])
+            # Parquet min/max statistics skip row groups on range reads. Ties are
+            # broken by a hash of the row, which a retried task computes alike,
+            # so a single hot cluster value is split over several tasks; AQE
+            # joins small ranges by their bytes. Partition columns come first:
+            # a task writes few of them.
+            hashable = [R.quote(f.name) for f in out.schema.fields if "map<" not in f.dataType.simpleString()]
+            out = out.repartitionByRange(*pcols, *keys, F.xxhash64(*hashable))
+            out = out.sortWithinPartitions(*pcols, *keys)
         elif pcols:
-            out = out.sortWithinPartitions(*pcols)
+            # Rows of a partition value meet in one task, AQE splits large ones
+            # and joins small ones by their bytes: few files per value.
+            out = out.hint("rebalance", *pcols).sortWithinPartitions(*pcols)
+        if not keep_identity:
+            # Numbered after the shuffle, in the task that writes the row.
+            out = out.withColumns({RV: F.lit(version).cast("int"), RN: F.monotonically_increasing_id()})
         return out
 
     def _write_commit(self, operation: str, schema: T.StructType | None = None,
@@ -432,7 +410,7 @@ class VersionedTable:
                       replace: bool = False, keep_origin: bool = False,
                       txn: dict | None = None, info: dict | None = None,
                       now: datetime | None = None, expected_version: int | None = None,
-                      retire_live: bool = False, carry: tuple = (), known_rows: int | None = None,
+                      carry: tuple = (), keep_identity: bool = False,
                       metrics: list[Column] | None = None, skip_col: str | None = None,
                       observed: dict | None = None) -> Commit:
         """Write one commit. ``carry`` columns ride along with ``data`` to the
@@ -468,8 +446,7 @@ class VersionedTable:
                         broken = broken & ~F.col(skip_col)
                     data = (data.withColumn("_vl", F.when(broken, F.raise_error(F.lit(msg))))
                             .where(F.col("_vl").isNull()).drop("_vl"))
-                rows = self._prepare_rows(data, version, layout, columns, keep_origin, carry,
-                                          known_rows)
+                rows = self._prepare_rows(data, version, layout, columns, keep_origin, carry, keep_identity)
                 kept = ~F.col(skip_col) if skip_col else F.lit(True)
                 rows = rows.observe(obs, F.count_if(kept).alias("n"), *(metrics or []))
                 if skip_col:
@@ -510,8 +487,6 @@ class VersionedTable:
             if "vector length differs" in text:
                 raise VectorLengthError(text.split("vector length differs", 1)[1][:200]) from None
             raise
-        if retire_live:
-            removed = added  # the retired groups' live rows, now rewritten
         commit = Commit(version, commit_id, _iso(now or _now()), operation,
                         version if replace else prev.base, has_data, has_tomb,
                         added, removed, schema_json, layout.to_json(), ptypes, txn, info or {})
@@ -585,7 +560,8 @@ class VersionedTable:
         if unknown:
             raise SchemaError(f"unknown columns in SET: {unknown}")
         schema = self.schema
-        matched = self.live().where(F.coalesce(cond, F.lit(False)))
+        base = self._base_version()
+        matched = self.live(base).where(F.coalesce(cond, F.lit(False)))
         new_cols = []
         for f in schema.fields:
             if f.name in set_values:
@@ -595,8 +571,8 @@ class VersionedTable:
             else:
                 new_cols.append(F.col(R.quote(f.name)))
         new_rows = matched.select(*new_cols, F.col(RV).alias(PV), F.col(RN).alias(PRN))
-        commit = self._write_commit("UPDATE", data=new_rows, keep_origin=True, now=now)
-        self._after_mutation(now)
+        commit = self._write_commit("UPDATE", data=new_rows, keep_origin=True, now=now,
+                                    expected_version=base + 1)
         return {"version": commit.version, "updated": commit.added}
 
     def delete(self, where, now: datetime | None = None) -> dict:
@@ -604,84 +580,39 @@ class VersionedTable:
         cond = R.predicate(where)
         if cond is None:
             raise ValueError("delete needs a non-empty where predicate")
-        gone = self.live().where(F.coalesce(cond, F.lit(False))).select(RV, RN)
-        commit = self._write_commit("DELETE", tombs=gone, now=now)
-        self._after_mutation(now)
+        base = self._base_version()
+        gone = self.live(base).where(F.coalesce(cond, F.lit(False))).select(RV, RN)
+        commit = self._write_commit("DELETE", tombs=gone, now=now, expected_version=base + 1)
         return {"version": commit.version, "deleted": commit.removed}
 
     def apply(self, operation: str, data: DataFrame | None = None, tombs: DataFrame | None = None,
               *, keep_origin: bool = False, txn: dict | None = None, info: dict | None = None,
-              now: datetime | None = None, expected_version: int | None = None,
-              known_rows: int | None = None) -> Commit:
+              now: datetime | None = None, expected_version: int | None = None) -> Commit:
         """Low-level commit used by merge and streaming: ``data`` rows in the
         table schema (optionally with ``_pv``/``_prn`` naming the rows they
-        replace) and ``tombs`` ``(_rv, _rn)`` rows to retire. ``known_rows``
-        is the exact number of data rows when the caller has counted them."""
+        replace) and ``tombs`` ``(_rv, _rn)`` rows to retire."""
         if data is not None:
             data = data.select(*[F.col(R.quote(c)) for c in self.columns],
                                *([F.col(PV), F.col(PRN)] if keep_origin else []))
-        commit = self._write_commit(operation, data=data, tombs=tombs, keep_origin=keep_origin,
-                                    txn=txn, info=info, now=now, expected_version=expected_version,
-                                    known_rows=known_rows)
-        self._after_mutation(now)
-        return commit
-
-    auto_compact = True
-
-    def _after_mutation(self, now: datetime | None) -> None:
-        """Keep reads on the broadcast path: once the tombstones since the
-        last base outgrow its bound, rewrite the touched file groups."""
-        if self.auto_compact and self._pinned is None:
-            self.maybe_compact(now=now)
+        return self._write_commit(operation, data=data, tombs=tombs, keep_origin=keep_origin,
+                                  txn=txn, info=info, now=now, expected_version=expected_version)
 
     def compact(self, now: datetime | None = None) -> dict:
         """Rewrite the current rows as a new base version; later reads skip
-        all older data and tombstones (older versions stay readable)."""
+        all older data and tombstones (older versions stay readable). Rows keep
+        their identity, so change sets across a compaction stay the same."""
+        base = self._base_version()
         commit = self._write_commit("COMPACT", self.schema, self.layout,
                                     dict(self.log()[-1].partition_types),
-                                    data=self._user_view(self.live()), replace=True, now=now)
+                                    data=self.live(base).select(*[F.col(R.quote(c)) for c in self.columns], RV, RN),
+                                    replace=True, now=now, expected_version=base + 1, keep_identity=True)
         return {"version": commit.version, "rows": commit.added}
 
     def tombstones_since_base(self) -> int:
-        """Tombstones the read path still has to join (retired groups excluded)."""
+        """Tombstones the read path still has to join."""
         self._fresh()
         return self._tombstone_rows(self.version)
 
-    def compact_files(self, now: datetime | None = None) -> dict | None:
-        """Rewrite only the file groups that tombstones touch.
-
-        The tombstones are counted per file group (one row per group reaches
-        the driver, bounded by the number of files written); the live rows of
-        those groups are written as a new commit that retires the groups.
-        Reads then skip the retired groups with a hash-set filter and drop
-        their tombstones from the anti join. Cost follows the touched files,
-        not the table; older versions stay readable."""
-        self._fresh()
-        v = self.version
-        tomb, n = self._tombstones(v)
-        if tomb is None or n == 0:
-            return None
-        groups = (tomb.groupBy(file_group(F.col(RV), F.col(RN)).alias("g"))
-                  .agg(F.count(F.lit(1)).alias("n")).collect())
-        ids = sorted(int(r["g"]) for r in groups)
-        if len(ids) + len(self._retired(v)) > MAX_RETIRED_GROUPS:
-            return self.compact(now=now)
-        rows = self.live(v).where(file_group(F.col(RV), F.col(RN)).isin(ids))
-        commit = self._write_commit(
-            "COMPACT_FILES", data=self._user_view(rows), now=now, expected_version=v + 1,
-            info={"retired": ids, "retired_tombstones": sum(int(r["n"]) for r in groups)},
-            retire_live=True)
-        return {"version": commit.version, "groups": len(ids), "rows": commit.added}
-
-    def maybe_compact(self, max_tombstones: int = TOMBSTONE_BROADCAST_ROWS,
-                      now: datetime | None = None) -> dict | None:
-        """Compact once the tombstones since the last base no longer fit the
-        broadcast bound of the read path (reads would otherwise shuffle the
-        whole table on every scan)."""
-        if self.tombstones_since_base() <= max_tombstones:
-            return None
-        return self.compact_files(now=now)
-
     def committed_txn(self, app: str, batch: int) -> bool:
         """True when a commit already carries ``(app, batch)`` (replay check)."""
         return any(c.txn and c.txn.get("app") == app and c.txn.get("batch") == batch

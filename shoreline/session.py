@@ -7,8 +7,10 @@ when that setting is absent (local tests).
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -17,6 +19,7 @@ from pyspark.sql import SparkSession
 # skew splitting, Arrow for the pandas paths.
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",  # a cast that would lose a value fails the write
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -50,13 +53,15 @@ def apply_session_defaults(spark: SparkSession) -> SparkSession:
     for k, v in SESSION_DEFAULTS.items():
         spark.conf.set(k, v)
     checkpoint_root(spark)
-    return spark
+    return ship_package(spark)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; created privately only when unset."""
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not root and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="shoreline-ckpt-")
         sc.setCheckpointDir(root)
@@ -65,6 +70,25 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, once per context: they then
+    import it wherever the driver was started from."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_shoreline_shipped", False):
+        here = os.path.dirname(os.path.abspath(__file__))
+        folder = tempfile.mkdtemp(prefix="shoreline-ship-")
+        path = os.path.join(folder, "shoreline.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for top, _, names in os.walk(here):
+                for n in names:
+                    if n.endswith(".py"):
+                        full = os.path.join(top, n)
+                        z.write(full, os.path.relpath(full, os.path.dirname(here)))
+        sc.addPyFile(path)
+        sc._shoreline_shipped = True
+    return spark
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint root for one run of ``name``."""
     root = checkpoint_root(spark)
@@ -75,10 +99,6 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-def is_local(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
 __all__ = ["build_session", "apply_session_defaults", "checkpoint_root",
-           "scratch_path", "local_path", "is_local", "SESSION_DEFAULTS"]
+           "ship_package", "scratch_path", "local_path", "SESSION_DEFAULTS"]
 

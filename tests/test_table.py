@@ -1,4 +1,4 @@
-"""Versioned table lifecycle (fixture F1 `sensors`) and its invariants."""
+"""Versioned table lifecycle (a table of buoys) and its invariants."""
 
 import random
 from datetime import datetime
@@ -13,49 +13,48 @@ from shoreline.operators.schema import SchemaError, normalize_layout, to_struct
 from shoreline.operators.table import CommitConflict, NotNullViolation, VersionedTable
 from shoreline.sources.grid import GridError, grid_to_frame
 
-SENSORS = [
+BUOYS = [
     {"name": "id", "type": "INT64", "mode": "REQUIRED"},
-    {"name": "product", "type": "STRING"},
-    {"name": "price", "type": "FLOAT64"},
-    {"name": "stock", "type": "INT64"},
-    {"name": "created_at", "type": "TIMESTAMP"},
+    {"name": "bay", "type": "STRING"},
+    {"name": "depth", "type": "FLOAT64"},
+    {"name": "visits", "type": "INT64"},
+    {"name": "seen_at", "type": "TIMESTAMP"},
 ]
-ROWS = [["id", "product", "price", "stock", "created_at"],
-        [101, "sensor a", 1500.0, 10, datetime(2024, 1, 1, 10)],
-        [102, "sensor b", 3200.5, 5, datetime(2024, 1, 2, 10)],
-        [103, "sensor c", 450.0, 42, datetime(2024, 1, 3, 10)]]
+ROWS = [["id", "bay", "depth", "visits", "seen_at"],
+        [31, "north", 61.5, 19, datetime(2023, 6, 4, 7, 15)],
+        [37, "east", 88.25, 3, datetime(2023, 6, 9, 21, 40)],
+        [44, "south", 12.75, 27, datetime(2023, 7, 2, 5, 5)]]
 
 
 @pytest.fixture
-def sensors(spark, scratch):
-    t = VersionedTable.create(spark, scratch("sensors"), SENSORS,
-                              partition_by=["DATE(created_at)"], cluster_by=["id"])
+def buoys(spark, scratch):
+    t = VersionedTable.create(spark, scratch("buoys"), BUOYS,
+                              partition_by=["DATE(seen_at)"], cluster_by=["id"])
     res = t.insert(grid_to_frame(spark, ROWS, t.schema))
     assert res["inserted"] == 3
     return t
 
 
-def test_lifecycle(spark, sensors):
-    t = sensors
-    got = t.get_values(columns=["id", "product", "price"], where="price > 1000.0", order_by="id")
-    assert got.columns == ["id", "product", "price"]
-    assert [r.id for r in got.collect()] == [101, 102]
+def test_lifecycle(spark, buoys):
+    t = buoys
+    got = t.get_values(columns=["id", "bay", "depth"], where="depth > 50.0", order_by="id")
+    assert got.columns == ["id", "bay", "depth"]
+    assert [r.id for r in got.collect()] == [31, 37]
     v_before = t.version
-    assert t.update({"stock": "stock - 2"}, "id = 101")["updated"] == 1
-    assert t.read(where="id = 101").first().stock == 8
-    assert t.as_of(version=v_before).read(where="id = 101").first().stock == 10
-    assert t.delete("id = 103")["deleted"] == 1
-    assert t.read(where="id = 103").count() == 0
+    assert t.update({"visits": "visits + 4"}, "id = 31")["updated"] == 1
+    assert t.read(where="id = 31").first().visits == 23
+    assert t.as_of(version=v_before).read(where="id = 31").first().visits == 19
+    assert t.delete("id = 44")["deleted"] == 1
+    assert t.read(where="id = 44").count() == 0
     assert t.row_count() == 2 == t.read().count()
 
 
-def test_time_travel_by_timestamp(spark, sensors):
-    t = sensors
+def test_time_travel_by_timestamp(spark, buoys):
+    t = buoys
     first = t.log()[-1].time
-    t.update({"price": "price * 2"}, "id = 102")
-    old = t.as_of(timestamp=first).read(where="id = 102").first().price
-    assert old == 3200.5
-    assert t.read(where="id = 102").first().price == 6401.0
+    t.update({"depth": "depth * 2"}, "id = 37")
+    assert t.as_of(timestamp=first).read(where="id = 37").first().depth == 88.25
+    assert t.read(where="id = 37").first().depth == 176.5
     with pytest.raises(ValueError):
         t.as_of(timestamp="1999-01-01T00:00:00Z")
 
@@ -76,8 +75,8 @@ def test_update_sees_old_values(spark, scratch):
 
 
 def test_not_null_error_and_reject(spark, scratch):
-    t = VersionedTable.create(spark, scratch("nn"), SENSORS)
-    bad = spark.createDataFrame([(None, "x"), (7, "y")], "id bigint, product string")
+    t = VersionedTable.create(spark, scratch("nn"), BUOYS)
+    bad = spark.createDataFrame([(None, "x"), (7, "y")], "id bigint, bay string")
     v = t.version
     with pytest.raises(NotNullViolation):
         t.insert(bad)
@@ -86,21 +85,21 @@ def test_not_null_error_and_reject(spark, scratch):
     assert (res["inserted"], res["rejected"]) == (1, 1)
 
 
-def test_mandatory_predicate_and_guard(spark, sensors):
+def test_mandatory_predicate_and_guard(spark, buoys):
     with pytest.raises(ValueError):
-        sensors.delete("")
+        buoys.delete("")
     with pytest.raises(GuardError):
-        sensors.delete("id = 1; DROP TABLE x")
+        buoys.delete("id = 1; DROP TABLE x")
     with pytest.raises(GuardError):
-        sensors.get_values(where="id = 1;\n")
+        buoys.get_values(where="id = 1;\n")
     # a semicolon inside a literal is fine
-    assert sensors.get_values(where="product = 'a;b'").count() == 0
+    assert buoys.get_values(where="bay = 'a;b'").count() == 0
 
 
-def test_limit_rules(spark, sensors):
-    assert sensors.get_values(limit=0).count() == 0
+def test_limit_rules(spark, buoys):
+    assert buoys.get_values(limit=0).count() == 0
     with pytest.raises(ValueError):
-        sensors.get_values(limit=-1)
+        buoys.get_values(limit=-1)
 
 
 def test_schema_validation():
@@ -121,23 +120,74 @@ def test_grid_checks(spark):
         grid_to_frame(spark, [["a", "b"], [1, 2], [1]])
 
 
-def test_commit_conflict(spark, sensors):
+def test_commit_conflict(spark, buoys):
     with pytest.raises(CommitConflict):
-        sensors.apply("INSERT", data=sensors.read(where="id = 101"), expected_version=1)
+        buoys.apply("INSERT", data=buoys.read(where="id = 31"), expected_version=1)
 
 
-def test_changes_and_compact(spark, sensors):
-    t = sensors
+def _changes(t, *span):
+    return sorted((r.id, r._change) for r in t.changes(*span).collect())
+
+
+def test_changes_and_compact(spark, buoys):
+    t = buoys
     v1 = t.version
-    t.update({"stock": "stock + 1"}, "id = 102")
-    t.delete("id = 101")
-    ch = {(r.id, r._change) for r in t.changes(v1).collect()}
-    assert ch == {(102, "added"), (102, "removed"), (101, "removed")}
+    t.update({"visits": "visits + 1"}, "id = 37")
+    t.update({"visits": "visits"}, "id = 44")  # the same values: still a change
+    t.delete("id = 31")
+    want = [(31, "removed"), (37, "added"), (37, "removed"), (44, "added"), (44, "removed")]
+    assert _changes(t, v1) == want
     rows = sorted(t.read().collect())
-    res = t.compact()
-    assert res["rows"] == 2
+    before = t.version
+    assert t.compact()["rows"] == 2
     assert sorted(t.read().collect()) == rows
-    assert t.as_of(version=v1).read().count() == 3
+    assert _changes(t, v1) == want  # one meaning whatever the compaction state
+    assert _changes(t, v1, before) == want and _changes(t, before) == []
+    t.update({"visits": "0"}, "id = 37")
+    assert _changes(t, before) == [(37, "added"), (37, "removed")] == _changes(t, before + 1)
+    assert t.as_of(version=v1).read().count() == 3 and t.row_count() == 2
+
+
+class Raced(VersionedTable):
+    """Another handle commits right after this one has read its rows."""
+
+    other = None
+
+    def live(self, *args, **kw):
+        out = super().live(*args, **kw)
+        if self.other:
+            act, self.other = self.other, None
+            act(VersionedTable(self.spark, self.path))
+        return out
+
+
+@pytest.mark.parametrize("act", [
+    lambda t: t.update({"visits": "visits + 1"}, "id = 31"), lambda t: t.delete("id = 31"), lambda t: t.compact()])
+def test_racing_writers_conflict(spark, buoys, act):
+    raced = Raced(spark, buoys.path)
+    raced.other = lambda t: t.update({"visits": "visits + 100"}, "id = 31")
+    with pytest.raises(CommitConflict):
+        act(raced)
+    rows = buoys.read().collect()
+    assert sorted((r.id, r.visits) for r in rows) == [(31, 119), (37, 3), (44, 27)]
+    assert buoys.row_count() == 3
+    act(VersionedTable(spark, buoys.path))  # alone it goes through
+
+
+def test_commit_file_is_exclusive_and_whole(spark, scratch):
+    from shoreline import fs
+    path = scratch("commit") + "/0.json"
+    fs.mkdirs(spark, path.rsplit("/", 1)[0])
+    assert fs.create_exclusive(spark, path, "first") and not fs.create_exclusive(spark, path, "second")
+    assert fs.read_text(spark, path) == "first"
+    assert fs.list_names(spark, path.rsplit("/", 1)[0]) == ["0.json"]
+    with pytest.raises(Exception):  # not a lost race: an error
+        fs.create_exclusive(spark, path + "/below/1.json", "x")
+
+
+def test_pinned_handles_do_not_write(spark, buoys):
+    with pytest.raises(ValueError, match="read-only"):
+        buoys.as_of(version=buoys.version).delete("id = 31")
 
 
 def test_random_model(spark, scratch):
@@ -149,7 +199,7 @@ def test_random_model(spark, scratch):
     for _ in range(10):
         op = rnd.choice(["ins", "ins", "upd", "del", "cmp"])
         if op == "cmp":
-            t.compact_files()
+            t.compact()
         elif op == "ins":
             rows = [(nxt + i, rnd.randint(0, 9)) for i in range(rnd.randint(1, 12))]
             nxt += len(rows)
@@ -184,7 +234,7 @@ def test_random_model_with_merge_and_changes(spark, scratch):
         op = rnd.choice(["ins", "mrg", "mrg", "upd", "del", "cmp"])
         ops.append(op)
         if op == "cmp":
-            t.compact_files()
+            t.compact()
         elif op == "ins":
             rows = [(nxt + i, rnd.randint(0, 9)) for i in range(rnd.randint(1, 12))]
             nxt += len(rows)
@@ -228,35 +278,25 @@ def test_random_model_with_merge_and_changes(spark, scratch):
         assert added - removed == after - before and removed - added == before - after, (a, b)
 
 
-def test_accessors_values_and_latest(spark, sensors):
-    t = sensors
+def test_accessors_values_and_latest(spark, buoys):
+    t = buoys
     assert t.set_storage_uri(" gs-like://bucket/x ").storage_uri == "gs-like://bucket/x"
     assert t.full_path.startswith("`") and t.name in t.full_path
     pinned = t.as_of(version=1)
-    t.insert_values([["id", "product"], [201, "new"]])
+    t.insert_values([["id", "bay"], [52, "new"]])
     assert pinned.read().count() == 0 and pinned.latest().read().count() == 4
 
 
-def test_grid_rows(spark, sensors):
+def test_grid_rows(spark, buoys):
     from shoreline.operators import export as X
-    vals = X.to_values(sensors.read().select("id", "created_at"), order_by="id")
-    assert vals[0] == ["id", "created_at"] and vals[1] == ["101", "2024-01-01T10:00:00.000Z"]
-
+    vals = X.to_values(buoys.read().select("id", "seen_at"), order_by="id")
+    assert vals[0] == ["id", "seen_at"] and vals[1] == ["31", "2023-06-04T07:15:00.000Z"]
 
-def test_maybe_compact(spark, sensors):
-    t = sensors
-    t.delete("id = 101")
-    assert t.tombstones_since_base() == 1
-    assert t.maybe_compact(max_tombstones=5) is None
-    res = t.maybe_compact(max_tombstones=0)
-    assert res["groups"] >= 1 and t.tombstones_since_base() == 0
-    assert sorted(r.id for r in t.read().collect()) == [102, 103]
 
-
-def test_other_handle_commits_are_seen(spark, sensors):
-    other = VersionedTable(spark, sensors.path)
-    other.delete("id = 102")
-    assert sensors.read().count() == 2 and sensors.row_count() == 2
+def test_other_handle_commits_are_seen(spark, buoys):
+    other = VersionedTable(spark, buoys.path)
+    other.delete("id = 37")
+    assert buoys.read().count() == 2 and buoys.row_count() == 2
 
 
 def test_cluster_hot_value_is_split(spark, scratch):
@@ -274,24 +314,24 @@ def test_cluster_hot_value_is_split(spark, scratch):
     assert t.read(where="k = -7").count() == 10000
 
 
-def test_compact_files_rewrites_only_touched_groups(spark, scratch):
-    df = spark.range(400).selectExpr("id", "id % 10 as v").repartition(4)
-    t = VersionedTable.create(spark, scratch("groups"), "id bigint, v bigint", data=df)
-    assert t.read().selectExpr("input_file_name()").distinct().count() == 4
-    before = t.version
-    files = t.read().selectExpr("id", "input_file_name() f")
-    f5 = files.where("id = 5").first().f
-    group_rows = files.where(files.f == f5).count()
-    t.delete("id = 5")  # one file group touched
-    res = t.compact_files()
-    assert res["groups"] == 1 and res["rows"] == group_rows - 1
-    assert t.tombstones_since_base() == 0 and t.row_count() == 399
-    assert t.read().count() == 399 and t.read(where="id = 5").count() == 0
-    assert t.as_of(version=before).read().count() == 400
-    ch = t.changes(before)
-    assert ch.where("_change = 'removed'").count() == 1 and ch.where("_change = 'added'").count() == 0
-    t.update({"v": "v + 100"}, "id = 6")
-    assert t.read(where="id = 6").first().v == 106 and t.row_count() == 399
+def test_row_numbers_follow_the_files(spark, scratch):
+    """Row numbers are given after the clustering shuffle: one task's numbers,
+    one file."""
+    df = spark.range(4000).selectExpr("id", "(id * 7919) % 4000 as k").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        t = VersionedTable.create(spark, scratch("numbers"), "id bigint, k bigint", cluster_by=["k"], data=df)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    seen = t.live().selectExpr("shiftright(_rn, 33) g", "input_file_name() f").distinct().collect()
+    assert len(seen) > 1 and len({r.g for r in seen}) == len({r.f for r in seen}) == len(seen)
+
+
+def test_partitioned_write_makes_few_files_per_value(spark, scratch):
+    df = spark.range(20000).selectExpr("id", "date_add(date'2024-01-01', cast(id % 5 as int)) as day").repartition(16)
+    t = VersionedTable.create(spark, scratch("days"), "id bigint, day date", partition_by=["day"], data=df)
+    files = t.live().selectExpr("_p0", "input_file_name() f").distinct().groupBy("_p0").count().collect()
+    assert len(files) == 5 and all(r["count"] <= 2 for r in files)
 
 
 def test_vector_length_fixed_per_table(spark, scratch):
