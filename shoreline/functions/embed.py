@@ -8,13 +8,14 @@ divided by their L2 norm. The same buckets can be computed in SQL
 The embedder is an Arrow-batched ``pandas_udf``: each batch tokenises its
 texts, hashes each distinct token once, and builds the count matrix with
 NumPy; it is a per-row helper inside a Spark stage, not a separate engine.
-Another model can be plugged in by passing any ``pandas_udf`` with the same
-signature (``Series[str] -> Series[list[float]]``).
+Another model can be plugged in as a function over a list of texts, or as a
+``pandas_udf`` (``Series[str] -> Series[list[float]]``).
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -66,24 +67,41 @@ def embed_text(text: str, dim: int = DEFAULT_DIM) -> list[float] | None:
     return None if v is None else v.tolist()
 
 
-def hashed_embedding(dim: int = DEFAULT_DIM):
-    """The vectorised embedder as a ``pandas_udf`` returning ``array<double>``.
-    A text that fails to embed gives NULL and the batch goes on."""
+def model_udf(model: Callable[[list[str | None]], list]):
+    """A model over a batch of texts as a ``pandas_udf`` returning
+    ``array<double>``. If a batch fails its texts are tried one by one, and
+    those that fail alone get NULL; the others go on."""
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def _embed(texts: pd.Series) -> pd.Series:
-        vectors = []
-        for v in embed_texts(texts.tolist(), dim):
-            vectors.append(None if v is None else v)
+        batch = texts.tolist()
+        try:
+            vectors = list(model(batch))
+        except Exception:
+            vectors = []
+            for text in batch:
+                try:
+                    vectors.append(list(model([text]))[0])
+                except Exception:
+                    vectors.append(None)
         return pd.Series(vectors, dtype=object)
 
-    # The model is deterministic, but flagged otherwise so Catalyst never
-    # copies the call into a pushed-down filter (``embedding IS NOT NULL``)
-    # and evaluates the model twice per row.
+    # Flagged non-deterministic so Catalyst never copies the call into a
+    # pushed-down filter (``embedding IS NOT NULL``) and evaluates the model
+    # twice per row.
     return _embed.asNondeterministic()
 
 
+def hashed_embedding(dim: int = DEFAULT_DIM):
+    """The offline model as a vectorised UDF."""
+    return model_udf(lambda texts: embed_texts(texts, dim))
+
+
 def embed_column(text: Column, dim: int = DEFAULT_DIM, model=None) -> Column:
+    """``model`` is a function over a batch of texts (guarded by
+    ``model_udf``), or a ``pandas_udf``, which handles its own failures."""
+    if model is not None and not hasattr(model, "returnType"):
+        model = model_udf(model)
     return (model or hashed_embedding(dim))(text)
 
 

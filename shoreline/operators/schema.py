@@ -76,11 +76,14 @@ def to_struct(columns) -> T.StructType:
 class Layout:
     """Physical layout: partition expressions (each becomes a hidden column
     ``_p<i>`` used as a directory level) and up to four clustering columns
-    (range-partitioned and sorted inside files for min/max skipping)."""
+    (range-partitioned and sorted inside files for min/max skipping; with
+    ``local_sort`` rows are only sorted in the task that read them, so wide
+    rows such as blobs are never shuffled)."""
 
     partition_by: list[str] = field(default_factory=list)
     cluster_by: list[str] = field(default_factory=list)
     vector_dims: dict[str, int] = field(default_factory=dict)
+    local_sort: bool = False
 
     def partition_columns(self) -> list[str]:
         return [f"_p{i}" for i in range(len(self.partition_by))]
@@ -92,7 +95,7 @@ class Layout:
 
     def to_json(self) -> dict:
         return {"partition_by": self.partition_by, "cluster_by": self.cluster_by,
-                "vector_dims": self.vector_dims}
+                "vector_dims": self.vector_dims, "local_sort": self.local_sort}
 
 
 _DATE_FN = re.compile(r"^\s*DATE\s*\((.+)\)\s*$", re.IGNORECASE)

@@ -191,7 +191,7 @@ class VersionedTable:
     def layout(self) -> Layout:
         d = self._commit_at(self.version).layout
         return Layout(list(d.get("partition_by", [])), list(d.get("cluster_by", [])),
-                      dict(d.get("vector_dims", {})))
+                      dict(d.get("vector_dims", {})), bool(d.get("local_sort", False)))
 
     @property
     def columns(self) -> list[str]:
@@ -214,16 +214,19 @@ class VersionedTable:
     @classmethod
     def create(cls, spark: SparkSession, path: str, schema, *, partition_by=None,
                cluster_by=None, name: str | None = None, data: DataFrame | None = None,
-               now: datetime | None = None, vector_dims: dict[str, int] | None = None) -> "VersionedTable":
+               now: datetime | None = None, vector_dims: dict[str, int] | None = None,
+               local_sort: bool = False) -> "VersionedTable":
         """Create-or-replace: an existing table at ``path`` gets a new base
         version with the new schema; its history stays readable by version.
-        ``vector_dims`` fixes the length of array columns (checked at write)."""
+        ``vector_dims`` fixes the length of array columns (checked at write);
+        ``local_sort`` clusters without a shuffle (see ``Layout``)."""
         struct = to_struct(schema)
         layout = normalize_layout(struct, partition_by, cluster_by)
         for c in (vector_dims or {}):
             if c not in struct.fieldNames() or not isinstance(struct[c].dataType, T.ArrayType):
                 raise SchemaError(f"vector column '{c}' must be an array column of the table")
         layout.vector_dims = {c: int(n) for c, n in (vector_dims or {}).items()}
+        layout.local_sort = local_sort
         probe = layout.with_partition_columns(spark.createDataFrame([], struct))
         ptypes = {c: probe.schema[c].dataType.simpleString() for c in layout.partition_columns()}
         table = cls(spark, path, name)
@@ -384,7 +387,9 @@ class VersionedTable:
         out = layout.with_partition_columns(df.select(*cols))
         pcols = layout.partition_columns()
         keys = [R.quote(c) for c in layout.cluster_by]
-        if keys:
+        if layout.local_sort:
+            out = out.sortWithinPartitions(*pcols, *keys) if pcols or keys else out
+        elif keys:
             # Range partitioning on the cluster keys (sampled boundaries) plus a
             # sort inside each task: every file covers a narrow key range, so
             # Parquet min/max statistics skip row groups on range reads. Ties are

@@ -36,6 +36,8 @@ DISTANCE_DIGITS = 6
 SIMILARITY_DIGITS = 4
 # Upper bound on the broadcast query matrix (queries × dim doubles).
 MAX_QUERY_MATRIX_BYTES = 64 * 1024 * 1024
+# Upper bound on one tile of a task's distance matrix.
+TILE_BYTES = 16 * 1024 * 1024
 
 
 def top_k(k) -> int:
@@ -134,13 +136,28 @@ def search_expr(df: DataFrame, query, k=DEFAULT_K, embedding_col: str = "embeddi
 
 def _local_topk(emb_col: str, key: str, payload: list[str], qids: np.ndarray, qmat_bc,
                 metric: str, k: int, margin: float):
-    """mapInPandas body: running top-k per query over one partition."""
+    """mapInPandas body: running top-k per query over one partition.
+
+    Distances are computed in tiles of at most ``TILE_BYTES`` (queries x rows),
+    so memory does not grow with the query matrix or the batch; candidates are
+    flat arrays of (query, row, distance), trimmed together."""
+
+    def distances(Q, qn, X, xn):
+        if metric == V.EUCLIDEAN:
+            return np.stack([np.sqrt(((X - q) ** 2).sum(axis=1)) for q in Q])
+        denom = np.outer(qn, xn)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            D = 1.0 - (Q @ X.T) / denom
+        D[denom == 0] = np.nan
+        return D
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         Q = qmat_bc.value
         qn = np.sqrt((Q * Q).sum(axis=1))
-        dim = Q.shape[1]
-        best: list[pd.DataFrame] = []
+        n_q, dim = Q.shape
+        width = max(1, TILE_BYTES // (8 * 2048))  # queries in a tile
+        bound = np.full(n_q, np.inf)  # the k-th distance of each query so far
+        best: pd.DataFrame | None = None
         for pdf in batches:
             if pdf.empty:
                 continue
@@ -155,42 +172,31 @@ def _local_topk(emb_col: str, key: str, payload: list[str], qids: np.ndarray, qm
             pdf = pdf[ok]
             X = np.stack(pdf[emb_col].to_numpy()).astype(np.float64, copy=False)
             finite = ~np.isnan(X).any(axis=1)
-            if not finite.all():
-                pdf, X = pdf[finite], X[finite]
-                if not len(X):
-                    continue
-            if metric == V.EUCLIDEAN:
-                D = np.stack([np.sqrt(((X - Q[i]) ** 2).sum(axis=1)) for i in range(Q.shape[0])])
-            else:
-                xn = np.sqrt((X * X).sum(axis=1))
-                denom = np.outer(qn, xn)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    D = 1.0 - (Q @ X.T) / denom
-                D[denom == 0] = np.nan
-            part = []
-            for i in range(Q.shape[0]):
-                d = D[i]
-                valid = ~np.isnan(d)
-                if not valid.any():
-                    continue
-                idx = np.nonzero(valid)[0]
-                dv = d[idx]
-                if len(idx) > k:
-                    kth = np.partition(dv, k - 1)[k - 1]
-                    keep = dv <= kth + margin
-                    idx, dv = idx[keep], dv[keep]
-                sub = pdf.iloc[idx][[key] + payload].copy()
-                sub.insert(0, "query_id", qids[i])
-                sub["_d"] = dv
-                part.append(sub)
-            if part:
-                best.append(pd.concat(part, ignore_index=True))
-            # keep the running set small: re-trim after each batch
-            if best:
-                cur = pd.concat(best, ignore_index=True)
-                best = [_trim(cur, k, margin, key)]
-        if best:
-            yield best[0]
+            pdf, X = pdf[finite], X[finite]
+            if not len(X):
+                continue
+            xn = np.sqrt((X * X).sum(axis=1))
+            rows = pdf[[key] + payload].reset_index(drop=True)
+            for q0 in range(0, n_q, width):
+                part = slice(q0, min(n_q, q0 + width))
+                step = max(1, TILE_BYTES // (8 * (part.stop - part.start)))
+                found = [] if best is None else [best]
+                for r0 in range(0, len(X), step):
+                    D = distances(Q[part], qn[part], X[r0:r0 + step], xn[r0:r0 + step])
+                    near = D <= bound[part, None] + margin  # NaN is never near
+                    if D.shape[1] > k:
+                        kth = np.partition(np.where(near, D, np.inf), k - 1, axis=1)[:, k - 1]
+                        near &= D <= kth[:, None] + margin
+                    qi, ri = np.nonzero(near)
+                    if len(qi):
+                        found.append(rows.iloc[ri + r0].assign(_q=qi + q0, _d=D[qi, ri]))
+                        best = _trim(pd.concat(found, ignore_index=True), k, margin, key)
+                        found = [best]
+                if best is not None:
+                    last = best.groupby("_q")["_d"].nth(k - 1)
+                    bound[best.loc[last.index, "_q"].to_numpy()] = last.to_numpy()
+        if best is not None:
+            yield best.assign(query_id=qids[best["_q"].to_numpy()])[["query_id", key] + payload + ["_d"]]
 
     return run
 
@@ -200,16 +206,11 @@ def _trim(cur: pd.DataFrame, k: int, margin: float, key: str) -> pd.DataFrame:
     rows with exactly the same distance only the k smallest keys (the others
     are beaten by k rows under the (distance, key) order), so a corpus where a
     third of the vectors coincide still keeps at most k of them."""
-    out = []
-    for _, g in cur.groupby("query_id", sort=False):
-        if len(g) > k:
-            kth = np.partition(g["_d"].to_numpy(), k - 1)[k - 1]
-            g = g[g["_d"] <= kth + margin]
-            if len(g) > k:
-                g = (g.sort_values(["_d", key], na_position="first", kind="stable")
-                     .groupby("_d", sort=False).head(k))
-        out.append(g)
-    return pd.concat(out, ignore_index=True)
+    cur = cur.sort_values(["_q", "_d", key], na_position="first", kind="stable", ignore_index=True)
+    kth = cur.groupby("_q")["_d"].nth(k - 1)
+    limit = cur["_q"].map(dict(zip(cur.loc[kth.index, "_q"], kth))).fillna(np.inf) + margin
+    cur = cur[cur["_d"] <= limit]
+    return cur[cur.groupby(["_q", "_d"]).cumcount() < k].reset_index(drop=True)
 
 
 def search_batch(corpus: DataFrame, queries: DataFrame, k=DEFAULT_K, embedding_col: str = "embedding",

@@ -140,11 +140,13 @@ WHERE l_shipdate >= TIMESTAMP '1995-01-01' AND l_shipdate < TIMESTAMP '1995-04-0
 
     "update_rows": """
 SELECT s_suppkey, s_name, s_nationkey,
-       CASE WHEN s_nationkey = 3 THEN s_acctbal * CAST(1.1 AS DOUBLE) ELSE s_acctbal END AS s_acctbal
+       CASE WHEN s_nationkey = 3 THEN s_acctbal * CAST(1.1 AS DOUBLE) ELSE s_acctbal END AS s_acctbal,
+       (SELECT count(*) FROM supplier WHERE s_nationkey = 3) AS updated
 FROM supplier""",
 
     "delete_rows": """
-SELECT event_id, ts, user_id, event_type, value, props FROM events
+SELECT event_id, ts, user_id, event_type, value, props,
+       (SELECT count(*) FROM events WHERE event_type = 'error') AS deleted, true AS empty_refused FROM events
 WHERE NOT COALESCE(event_type = 'error', false)""",
 
     "time_travel": """
@@ -205,7 +207,9 @@ SELECT p_partkey AS id,
        CASE WHEN isnan(v) OR isinf(v) THEN NULL ELSE v END AS finite_value,
        TRY_CAST(trim(' ' || CAST(p_size AS VARCHAR) || ' ') AS DOUBLE) AS size_number,
        TRY_CAST(trim(CAST(p_size AS VARCHAR) || 'kg') AS DOUBLE) AS prefix_number,
-       to_json({'id': p_partkey, 'brand': p_brand}) AS json
+       to_json({'id': p_partkey, 'brand': p_brand}) AS json,
+       TIMESTAMP '2024-02-01 12:00:00' AS stamp,
+       [CAST(0.5 AS DOUBLE), CAST(-1.25 AS DOUBLE), CAST(3.0 AS DOUBLE)] AS weights
 FROM s""",
 
     "merge_occ": f"""WITH {EVENT_CHANGES}
@@ -221,6 +225,9 @@ SELECT event_id, _action, _orig_ts,
             WHEN found AND NOT ok THEN 'stale version' END AS _reason
 FROM outcome WHERE result = 'CONFLICT'""",
 
+    "merge_noop": """
+SELECT count(*) AS rows, CAST(1 AS BIGINT) AS version, CAST(0 AS BIGINT) AS affected FROM part""",
+
     "baseline_refresh": f"""WITH {PRODUCTS}
 SELECT id, product,
        CASE WHEN id % 50 = 1 THEN price + CAST(1.0 AS DOUBLE) + CAST(1.0 AS DOUBLE) ELSE price END AS price,
@@ -302,7 +309,8 @@ CATALOG_SQL = {"region": 2, "nation": 3, "supplier": 4, "customer": 5}
 def _catalog_rows(skip: tuple = ()) -> str:
     return "\nUNION ALL\n".join(
         f"SELECT '{t}' AS table_name, count(*) AS rows, {n} AS columns FROM {t}"
-        for t, n in CATALOG_SQL.items() if t not in skip)
+        for t, n in CATALOG_SQL.items() if t not in skip) + (
+        "\nUNION ALL\nSELECT '_staging' AS table_name, count(*) AS rows, 3 AS columns FROM nation")
 
 
 def _oracle_batch_two() -> dict[str, str]:
@@ -325,6 +333,20 @@ r AS (
   SELECT query_id, vec_id, label, round(dist, 6) AS distance, round(1 - dist, 4) AS similarity,
          row_number() OVER (PARTITION BY query_id ORDER BY round(dist, 6), vec_id) AS rank
   FROM d WHERE dist IS NOT NULL)
+SELECT * FROM r WHERE rank <= 5""",
+        "vector_defaults": """
+WITH q AS (SELECT CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id = 0),
+d AS (SELECT e.*, list_cosine_distance(CAST(e.embedding AS DOUBLE[]), q.v) AS dist FROM embeddings e, q
+  WHERE e.embedding IS NOT NULL AND len(e.embedding) = len(q.v))
+SELECT vec_id AS id, CAST(label AS VARCHAR) AS file_id, 'vec_' || vec_id AS name, CAST(len(embedding) AS INTEGER) AS size,
+  round(dist, 6) AS distance, round(1 - dist, 4) AS similarity
+FROM d WHERE dist IS NOT NULL ORDER BY round(dist, 6), vec_id LIMIT 5""",
+        "vector_label_knn": """
+WITH q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE label = 3 AND embedding IS NOT NULL),
+d AS (SELECT q.query_id, e.vec_id, list_cosine_distance(CAST(e.embedding AS DOUBLE[]), q.v) AS dist
+  FROM embeddings e CROSS JOIN q WHERE e.embedding IS NOT NULL AND len(e.embedding) = len(q.v)),
+r AS (SELECT query_id, vec_id, round(dist, 6) AS distance,
+  row_number() OVER (PARTITION BY query_id ORDER BY round(dist, 6), vec_id) AS rank FROM d WHERE dist IS NOT NULL)
 SELECT * FROM r WHERE rank <= 5""",
         "hash_embed": f"WITH {TOKENS}\nSELECT doc_id, bucket, round(weight, 6) AS weight FROM w",
         "vector_text_query": f"""WITH {TOKENS}, {QUERY_TOKENS},
@@ -336,8 +358,8 @@ FROM d ORDER BY round(dist, 6), doc_id LIMIT 10""",
         "insert_with_embedding": f"""WITH {TOKENS},
 agg AS (SELECT doc_id, count(*) AS n, max(weight) AS mx FROM w GROUP BY 1)
 SELECT d.doc_id, CASE WHEN agg.n IS NOT NULL THEN CAST({DIM} AS BIGINT) END AS dims,
-       agg.n AS nonzero, round(agg.mx, 6) AS max_weight
-FROM documents d LEFT JOIN agg ON d.doc_id = agg.doc_id""",
+       agg.n AS nonzero, round(agg.mx, 6) AS max_weight, sum(CASE WHEN agg.n IS NULL THEN 1 ELSE 0 END) OVER ()::BIGINT AS without_embedding
+FROM documents d LEFT JOIN agg ON d.doc_id = agg.doc_id AND NOT contains(d.text, '@')""",
         "asset_ingest": f"""
 SELECT CAST(doc_id AS VARCHAR) AS id, '' AS file_id, 'doc_' || CAST(doc_id AS VARCHAR) AS name,
        'text/plain' AS mime_type, CAST(strlen(text) AS BIGINT) AS size,
@@ -358,8 +380,14 @@ FROM documents""",
 SELECT CAST(page_id AS VARCHAR) AS id, CAST(strlen(html) AS BIGINT) AS size,
        CASE WHEN strlen(html) > {EXT} THEN 'external' ELSE 'inline' END AS route,
        CASE WHEN strlen(html) > {EXT} THEN md5(html) END AS object_key,
-       strlen(html) <= {EXT} AND strlen(html) > 0 AS has_data
+       strlen(html) <= {EXT} AND strlen(html) > 0 AS has_data,
+       CASE WHEN strlen(html) > {EXT} THEN md5(html) END AS stored_md5
 FROM pages""",
+        "ingest_convert": f"""
+WITH t AS (SELECT page_id, {HTML_TEXT} AS text FROM pages)
+SELECT CAST(page_id AS VARCHAR) AS id, 'page_' || page_id || '.txt' AS name, 'text/html' AS source_mime_type,
+       'text/plain' AS mime_type, CAST(strlen(text) AS BIGINT) AS size, CASE WHEN text <> '' THEN md5(text) END AS text_md5
+FROM t""",
         "asset_checksum": """
 SELECT doc_id, CAST(strlen(text) AS BIGINT) AS size, to_base64(unhex(md5(text))) AS md5_base64
 FROM documents""",
@@ -389,7 +417,7 @@ SELECT kind, id, vm AS mime_type, source_mime AS source_mime_type,
             ELSE name END AS name
 FROM v""",
         "html_to_text": f"SELECT page_id, {HTML_TEXT} AS text FROM pages",
-        "embed_source": """
+        "embed_source": rf"""
 WITH c AS (
   SELECT doc_id,
          CASE WHEN lang = 'de' AND trim(source) <> '' THEN 'caption'
@@ -397,12 +425,19 @@ WITH c AS (
          CASE WHEN lang = 'de' AND trim(source) <> '' THEN source
               WHEN lang IN ('en', 'fr') AND trim(text) <> '' THEN text END AS t
   FROM documents)
-SELECT doc_id, chosen, md5(t) AS text_md5, CAST(length(t) AS BIGINT) AS n_chars FROM c""",
+, tok AS (SELECT doc_id, unnest(regexp_split_to_array(lower(t), '[^\pL\pN]+')) AS t FROM c),
+cnt AS (SELECT doc_id, CAST(CAST('0x' || substr(md5(t), 1, 8) AS BIGINT) % {DIM} AS BIGINT) AS bucket, count(*) AS c
+  FROM tok WHERE t <> '' GROUP BY 1, 2),
+agg AS (SELECT doc_id, count(*) AS n, max(c) / sqrt(sum(c * c)) AS mx FROM cnt GROUP BY 1)
+SELECT d.doc_id, agg.n AS nonzero, round(agg.mx, 6) AS max_weight FROM documents d LEFT JOIN agg ON d.doc_id = agg.doc_id""",
         "folder_ingest": """
-SELECT 'lang=' || lang AS folder, 'text/plain' AS mime_type,
-       CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes, 'folder' AS ingestion_source
-FROM documents WHERE lang <> 'de' GROUP BY lang""",
+SELECT lang, doc_id, 'text/plain' AS source_mime_type, 'text/plain' AS mime_type, CAST(strlen(text) + 1 AS BIGINT) AS size,
+       md5(text || chr(10)) AS md5, true AS has_url, 'folder' AS ingestion_source, count(*) OVER () AS files
+FROM documents WHERE lang <> 'de'""",
         "catalog_tables": _catalog_rows(),
+        "catalog_teardown": "\nUNION ALL\n".join(
+            f"SELECT '{t}' AS table_name, {str(t != 'missing').lower()} AS found, '{t}' AS handle, false AS left_over, "
+            "false AS catalog_exists" for t in (*CATALOG_SQL, "_staging", "missing")),
         "table_columns": """
 SELECT CAST(ordinal_position AS INTEGER) AS position, column_name,
        CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
@@ -412,11 +447,13 @@ SELECT CAST(ordinal_position AS INTEGER) AS position, column_name,
 FROM information_schema.columns WHERE table_name = 'lineitem'""",
         "drop_table": _catalog_rows(skip=("supplier",)),
         "sql_join_agg": SQL_JOIN_AGG,
-        "stream_merge": merge_final,
+        "stream_merge": f"""WITH rows AS ({merge_final}), conflicts AS ({ORACLE["merge_conflicts"]})
+SELECT event_id, event_type, value, CAST(NULL AS VARCHAR) AS action, CAST(NULL AS VARCHAR) AS reason FROM rows
+UNION ALL
+SELECT event_id, NULL, NULL, _action, _reason FROM conflicts""",
         "stream_assets": """
-SELECT 'lang=' || lang AS folder, 'text/plain' AS mime_type,
-       CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes
-FROM documents GROUP BY lang""",
+SELECT lang, doc_id, 'text/plain' AS mime_type, CAST(strlen(text) + 1 AS BIGINT) AS size, md5(text || chr(10)) AS md5
+FROM documents""",
     }
 
 

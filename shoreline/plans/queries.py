@@ -13,6 +13,7 @@ from shoreline.functions import convert as C
 from shoreline.functions import embed as E
 from shoreline.functions import text as TX
 from shoreline.functions import times as TM
+from shoreline.functions import vectors as VF
 from shoreline.operators import assets as A
 from shoreline.operators import cdc
 from shoreline.operators import export as X
@@ -105,15 +106,20 @@ def cluster_layout(spark, sf_dir):
 def update_rows(spark, sf_dir):
     _prep(spark)
     t = _table_from(spark, "suppliers_upd", load(spark, sf_dir, "supplier"))
-    t.update({"s_acctbal": "s_acctbal * 1.1"}, "s_nationkey = 3", now=FX.COMMIT_TIME)
-    return t.read()
+    res = t.update({"s_acctbal": "s_acctbal * 1.1"}, "s_nationkey = 3", now=FX.COMMIT_TIME)
+    return t.read().withColumn("updated", F.lit(res["updated"]).cast("bigint"))
 
 
 def delete_rows(spark, sf_dir):
     _prep(spark)
     t = _table_from(spark, "events_del", load(spark, sf_dir, "events"))
-    t.delete("event_type = 'error'", now=FX.COMMIT_TIME)
-    return t.read()
+    try:
+        t.delete("  ")
+        refused = False
+    except ValueError:  # a delete needs a predicate
+        refused = True
+    res = t.delete("event_type = 'error'", now=FX.COMMIT_TIME)
+    return t.read().withColumns({"deleted": F.lit(res["deleted"]).cast("bigint"), "empty_refused": F.lit(refused)})
 
 
 def _supplier_history(spark, sf_dir) -> VersionedTable:
@@ -126,21 +132,23 @@ def _supplier_history(spark, sf_dir) -> VersionedTable:
 def time_travel(spark, sf_dir):
     _prep(spark)
     t = _supplier_history(spark, sf_dir)
-    return t.as_of(version=2).read()
+    return t.as_of(timestamp=FX.COMMIT_TIME).read()
 
 
 def snapshot_diff(spark, sf_dir):
     _prep(spark)
     t = _supplier_history(spark, sf_dir)
-    return t.changes(1, 3)
+    t.compact(now=FX.COMMIT_TIME_2)  # the changes stay the same
+    return t.changes(1)
 
 
 # ------------------------------------------------------- change capture
 def cdc_diff(spark, sf_dir):
     _prep(spark)
     base = FX.products(spark, sf_dir)
-    return cdc.diff(base, FX.edited_products(base), key="id", version_col="updated_at",
-                    now=FX.COMMIT_TIME)
+    edited = FX.edited_products(base)
+    sheet = edited.toDF(*[f" {c.upper()} " for c in edited.columns])  # headers as typed in a sheet
+    return cdc.diff(base, sheet, key="id", version_col="updated_at", now=FX.COMMIT_TIME)
 
 
 def cdc_summary(spark, sf_dir):
@@ -181,6 +189,8 @@ def literal_convert(spark, sf_dir):
         C.parse_number(F.concat(F.lit(" "), F.col("p_size").cast("string"), F.lit(" "))).alias("size_number"),
         C.parse_number(F.concat(F.col("p_size").cast("string"), F.lit("kg"))).alias("prefix_number"),
         C.json_text(id=F.col("p_partkey"), brand=F.col("p_brand")).alias("json"),
+        F.lit(FX.COMMIT_TIME).cast("timestamp_ntz").alias("stamp"),
+        VF.literal_vector([0.5, -1.25, 3.0]).alias("weights"),
     )
 
 
@@ -212,6 +222,16 @@ def merge_conflicts(spark, sf_dir):
     return res.conflict_rows
 
 
+def merge_noop(spark, sf_dir):
+    """A diff without changes: no commit, the table keeps its version."""
+    _prep(spark)
+    t = _table_from(spark, "products_noop", FX.products(spark, sf_dir), not_null=("id",))
+    base = M.refresh_baseline(t)
+    res = M.merge(t, cdc.diff(base, base, now=FX.COMMIT_TIME), now=FX.COMMIT_TIME)
+    return t.read().agg(F.count(F.lit(1)).alias("rows")).withColumns({
+        "version": F.lit(t.version).cast("bigint"), "affected": F.lit(res.affected).cast("bigint")})
+
+
 def baseline_refresh(spark, sf_dir):
     _prep(spark)
     t = _table_from(spark, "products_wb", FX.products(spark, sf_dir), not_null=("id",))
@@ -300,6 +320,24 @@ def vector_filter_topk(spark, sf_dir):
                      where="label = 3", key="vec_id")
 
 
+def vector_defaults(spark, sf_dir):
+    """Default projection (id, file_id, name, size) and default k (0 gives 5)."""
+    _prep(spark)
+    emb = load(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), F.col("label").cast("string").alias("file_id"),
+        F.concat(F.lit("vec_"), F.col("vec_id").cast("string")).alias("name"), F.size("embedding").alias("size"), "embedding")
+    return VS.search(emb, _first_vector(spark, sf_dir), k=0)
+
+
+def vector_label_knn(spark, sf_dir):
+    """Every vector of one label as a query, top 5 each over the corpus."""
+    _prep(spark)
+    emb = load(spark, sf_dir, "embeddings")
+    queries = emb.where("label = 3").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    out = VS.search_batch(emb, queries, k=5, key="vec_id", metric="COSINE")
+    return out.select("query_id", "vec_id", "distance", F.col("rank").cast("bigint").alias("rank"))
+
+
 def vector_batch_knn(spark, sf_dir):
     """One query per label (its lowest vec_id), top 5 each over the corpus."""
     _prep(spark)
@@ -333,7 +371,15 @@ def vector_text_query(spark, sf_dir):
     return VS.search(_doc_embeddings(spark, sf_dir), text, k=10, columns=["doc_id"], key="doc_id")
 
 
+def _picky_model(texts):
+    """The offline model, failing on texts with an at sign."""
+    if any("@" in t for t in texts if t):
+        raise ValueError("no addresses, please")
+    return E.embed_texts(texts)
+
+
 def insert_with_embedding(spark, sf_dir):
+    """Texts the model fails on get NULL; the others of their batch do not."""
     _prep(spark)
     from shoreline.operators.embedding import insert_with_embedding as insert_emb
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
@@ -341,19 +387,19 @@ def insert_with_embedding(spark, sf_dir):
                            T.StructField("text", T.StringType()),
                            T.StructField("embedding", T.ArrayType(T.DoubleType()))])
     t = VersionedTable.create(spark, scratch_path(spark, "docs_emb"), schema, now=FX.COMMIT_TIME)
-    insert_emb(t, docs, source_col="text", target_col="embedding")
+    res = insert_emb(t, docs, source_col="text", target_col="embedding", model=_picky_model)
     e = F.col("embedding")
     return t.read().select(
         "doc_id",
         F.when(e.isNotNull(), F.size(e)).cast("bigint").alias("dims"),
         F.when(e.isNotNull(), F.size(F.filter(e, lambda x: x != 0))).cast("bigint").alias("nonzero"),
-        F.round(F.array_max(e), 6).alias("max_weight"))
+        F.round(F.array_max(e), 6).alias("max_weight"),
+        F.lit(res["without_embedding"]).cast("bigint").alias("without_embedding"))
 
 
 # --------------------------------------------------------------- assets
 def _asset_table(spark, name, schema=None) -> VersionedTable:
-    return VersionedTable.create(spark, scratch_path(spark, name), schema or A.asset_schema(),
-                                 cluster_by=list(A.ASSET_CLUSTER), name=name, now=FX.COMMIT_TIME)
+    return A.create_asset_table(spark, scratch_path(spark, name), schema=schema, name=name, now=FX.COMMIT_TIME)
 
 
 def asset_ingest(spark, sf_dir):
@@ -406,7 +452,8 @@ EXTERNAL_TEST_THRESHOLD = 8192
 
 def asset_externalize(spark, sf_dir):
     """Pages as HTML assets; those above a low threshold go to the object
-    store (size kept, bytes dropped from the row)."""
+    store (size kept, bytes dropped from the row). The stored bytes are read
+    back by url: their MD5 is the last column."""
     _prep(spark)
     pages = load(spark, sf_dir, "pages")
     blobs = pages.select(F.encode("html", "UTF-8").alias("data"), F.lit("text/html").alias("content_type"),
@@ -415,9 +462,24 @@ def asset_externalize(spark, sf_dir):
     assets = A.to_assets(blobs, A.asset_schema(), now=FX.COMMIT_TIME)
     store = scratch_path(spark, "object_store")
     out = A.externalize(assets, store, threshold=EXTERNAL_TEST_THRESHOLD)
-    return out.select("id", "size", F.col("_route").alias("route"),
-                      F.col("_object_key").alias("object_key"),
-                      F.col("data").isNotNull().alias("has_data"))
+    stored = A.read_external(spark, store).select(A.object_url(store, F.col("object_key")).alias("url"),
+                                                  F.md5("data").alias("stored_md5"))
+    return out.join(stored, "url", "left").select(
+        "id", "size", F.col("_route").alias("route"), F.col("_object_key").alias("object_key"),
+        F.col("data").isNotNull().alias("has_data"), "stored_md5")
+
+
+def ingest_convert(spark, sf_dir):
+    """HTML pages ingested as plain text (type map), with both types kept."""
+    _prep(spark)
+    pages = load(spark, sf_dir, "pages")
+    blobs = pages.select(F.encode("html", "UTF-8").alias("data"), F.lit("text/html").alias("content_type"),
+                         F.concat(F.lit("page_"), F.col("page_id").cast("string")).alias("name"),
+                         F.create_map(F.lit("id"), F.col("page_id").cast("string")).alias("meta"))
+    t = _asset_table(spark, "converted")
+    res = A.ingest(t, blobs, mime_map={"text/html": "text/plain"}, now=FX.COMMIT_TIME)
+    text = t.read().select("id", F.md5("data").alias("text_md5"))
+    return A.ingested(t, res).join(text, "id").select("id", "name", "source_mime_type", "mime_type", "size", "text_md5")
 
 
 def asset_checksum(spark, sf_dir):
@@ -455,46 +517,53 @@ def html_to_text(spark, sf_dir):
 
 
 def embed_source(spark, sf_dir):
-    """Text chosen to embed each document asset: caption for German
-    documents, decoded bytes for English and French (text/plain), nothing
-    for the rest (sent as octet-stream)."""
+    """Each document asset embedded by the text chosen for it: caption for
+    German documents, decoded bytes for English and French (text/plain),
+    nothing for the rest (sent as octet-stream)."""
     _prep(spark)
     d = load(spark, sf_dir, "documents")
     mime = F.when(F.col("lang").isin("en", "fr"), F.lit("text/plain")).otherwise(F.lit(A.OCTET_STREAM))
     caption = F.when(F.col("lang") == "de", F.col("source"))
-    data = F.encode(F.col("text"), "UTF-8")
-    names = ["entry", "option", "description", "caption", "summary", "name"]
-    none = F.lit(None).cast("string")
-    cands = [none, none, none, caption, none, none]
-    chosen = TX.embedding_text(cands, data, mime)
-    return d.select("doc_id",
-                    TX.embedding_text_source(names, cands, data, mime).alias("chosen"),
-                    F.md5(chosen).alias("text_md5"),
-                    F.length(chosen).cast("bigint").alias("n_chars"))
+    meta = F.map_filter(F.create_map(F.lit("id"), F.col("doc_id").cast("string"), F.lit("caption"), caption),
+                        lambda k, v: v.isNotNull())
+    blobs = spread(d.select(F.encode("text", "UTF-8").alias("data"), mime.alias("content_type"), meta.alias("meta"), "doc_id",
+                            F.col("text"), mime.alias("mime"), caption.alias("caption")))
+    e = F.col("embedding")
+    assets = A.to_assets(blobs, A.asset_schema(), embed=True, now=FX.COMMIT_TIME)
+    return assets.select(F.col("id").cast("bigint").alias("doc_id"),
+                         F.when(e.isNotNull(), F.size(F.filter(e, lambda x: x != 0))).cast("bigint").alias("nonzero"),
+                         F.round(F.array_max(e), 6).alias("max_weight"))
 
 
 def _write_doc_tree(spark, sf_dir) -> str:
-    """Documents written as a folder tree of text files (one folder per
-    language), the input of the file-tree ingest."""
+    """Documents written as a folder tree, one text file per document (in a
+    folder per language and document), the input of the file-tree ingest."""
     root = scratch_path(spark, "doc_tree")
-    load(spark, sf_dir, "documents").select("lang", "text").write.partitionBy("lang").text(root)
+    spread(load(spark, sf_dir, "documents").select("lang", "doc_id", "text")).write.partitionBy("lang", "doc_id").text(root)
     return root
 
 
+def _tree_files(files: DataFrame) -> DataFrame:
+    at = r"^lang=([^/]+)/doc_id=([0-9]+)/"
+    return files.withColumns({"lang": F.regexp_extract("file_id", at, 1),
+                              "doc_id": F.regexp_extract("file_id", at, 2).cast("bigint")})
+
+
 def folder_ingest(spark, sf_dir):
     """Recursive folder read, MIME list and folder predicate filter, common
-    metadata, one commit; summary per folder."""
+    metadata, one commit; one row per file, with the number put in."""
     _prep(spark)
     root = _write_doc_tree(spark, sf_dir)
     blobs = SF.as_blobs(SF.read_files(spark, root, recursive=True), root)
     blobs = SF.mime_filter(blobs, ["text/plain"])
-    blobs = SF.mime_filter(blobs, F.element_at("meta", F.lit("folder")) != "lang=de")
+    blobs = SF.mime_filter(blobs, ~F.element_at("meta", F.lit("folder")).startswith("lang=de/"))
     t = _asset_table(spark, "folder_assets")
-    A.ingest(t, blobs, common_metadata={"ingestion_source": "folder"}, now=FX.COMMIT_TIME)
-    a = t.read()
-    return (a.groupBy(F.regexp_extract("file_id", r"^([^/]+)/", 1).alias("folder"), "mime_type")
-            .agg(F.sum("size").cast("bigint").alias("bytes"),
-                 F.max(F.get_json_object("metadata", "$.ingestion_source")).alias("ingestion_source")))
+    res = A.ingest(t, blobs, common_metadata={"ingestion_source": "folder"}, now=FX.COMMIT_TIME)
+    more = t.read().select("id", "data", "url", F.get_json_object("metadata", "$.ingestion_source").alias("ingestion_source"))
+    files = _tree_files(A.ingested(t, res).join(more, "id"))
+    return files.select("lang", "doc_id", "source_mime_type", "mime_type", "size", F.md5("data").alias("md5"),
+                        F.col("url").endswith(F.col("file_id")).alias("has_url"), "ingestion_source",
+                        F.lit(res["inserted"]).cast("bigint").alias("files"))
 
 
 # -------------------------------------------------------------- catalog
@@ -506,6 +575,8 @@ def _catalog(spark, sf_dir) -> Catalog:
     for name in CATALOG_TABLES:
         df = load(spark, sf_dir, name)
         cat.create(name, df.schema, data=df, now=FX.COMMIT_TIME)
+    staged = load(spark, sf_dir, "nation")
+    cat.create("_staging", staged.schema, data=staged, now=FX.COMMIT_TIME)
     return cat
 
 
@@ -532,6 +603,19 @@ def drop_table(spark, sf_dir):
     return cat.tables().select("table_name", "rows", "columns")
 
 
+def catalog_teardown(spark, sf_dir):
+    """Look-ups by name, then the catalog dropped with all its tables."""
+    _prep(spark)
+    cat = _catalog(spark, sf_dir)
+    names = [*cat.table_names(), "missing"]
+    found = {n: cat.table_by_name(n) is not None for n in names}
+    handles = {n: cat.table(n).name for n in names}
+    cat.drop_catalog()
+    rows = [(n, found[n], handles[n], cat.table_by_name(n) is not None) for n in names]
+    return spark.createDataFrame(rows, "table_name string, found boolean, handle string, left_over boolean").withColumn(
+        "catalog_exists", F.lit(cat.exists()))
+
+
 SQL_JOIN_AGG = """
 WITH rev AS (
   SELECT r.r_name AS region, n.n_name AS nation, o.o_orderkey AS orderkey,
@@ -577,26 +661,32 @@ def sql_join_agg(spark, sf_dir):
 
 # ------------------------------------------------------------ streaming
 def stream_merge(spark, sf_dir):
-    """The event change set arrives as a stream of files; each micro-batch
-    goes through the guarded merge (partial mode), replay-safe."""
+    """The event change set arrives as a stream of files, some keys twice (the
+    later change counts); each micro-batch goes through the guarded merge
+    (partial mode), replay-safe. The table's rows and the changes that
+    could not be applied."""
     _prep(spark)
-    from shoreline.streaming.writeback import stream_merge as run
+    from shoreline.streaming.writeback import read_conflicts, stream_merge as run
     t = _events_table(spark, sf_dir, "events_stream")
     src = scratch_path(spark, "change_stream")
-    changes = FX.event_changes(spark, sf_dir)
-    changes.repartition(4, "event_id").write.parquet(src)
+    changes = FX.event_changes(spark, sf_dir).withColumn("seq", F.lit(2))
+    older = changes.where("_action = 'UPDATE'").withColumns({"value": F.lit(-1.0), "seq": F.lit(1)})
+    changes = changes.unionByName(older)
+    changes.repartition("event_id").write.parquet(src)
     run(spark, src, changes.schema, t, scratch_path(spark, "stream_ckpt"), key="event_id",
-        version_col="ts", files_per_batch=2)
-    return t.read()
+        version_col="ts", order_col="seq", files_per_batch=8)
+    none = F.lit(None).cast("string")
+    return t.read().select("event_id", "event_type", "value", none.alias("action"), none.alias("reason")).unionByName(
+        read_conflicts(t).select("event_id", none.alias("event_type"), F.lit(None).cast("double").alias("value"),
+                                 F.col("_action").alias("action"), F.col("_reason").alias("reason")))
 
 
 def stream_assets(spark, sf_dir):
+    """New files of a folder tree appended by a stream, one row per file."""
     _prep(spark)
     from shoreline.streaming.assets import stream_assets as run
     root = _write_doc_tree(spark, sf_dir)
     t = _asset_table(spark, "stream_assets")
-    run(spark, root, t, scratch_path(spark, "asset_ckpt"), files_per_batch=8, glob="*.txt",
+    run(spark, root, t, scratch_path(spark, "asset_ckpt"), files_per_batch=5000, glob="*.txt",
         common_metadata={"ingestion_source": "stream"}, now=FX.COMMIT_TIME)
-    a = t.read()
-    return (a.groupBy(F.regexp_extract("file_id", r"^([^/]+)/", 1).alias("folder"), "mime_type")
-            .agg(F.sum("size").cast("bigint").alias("bytes")))
+    return _tree_files(t.read()).select("lang", "doc_id", "mime_type", "size", F.md5("data").alias("md5"))
