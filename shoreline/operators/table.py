@@ -506,14 +506,15 @@ class VersionedTable:
 
     def insert(self, df: DataFrame, *, on_null: str = "error", now: datetime | None = None,
                txn: dict | None = None, count_nulls: tuple[str, ...] = (),
-               count_where: dict[str, Column] | None = None) -> dict:
+               count_where: dict[str, Column] | None = None, helpers: tuple[str, ...] = ()) -> dict:
         """Append rows (aligned to the schema by name and cast).
 
         NOT NULL columns: ``on_null="error"`` writes nothing when any row
         breaks them (checked in the same pass as the write, files of the
         failed attempt are removed, no commit is made); ``"reject"`` writes the
         valid rows and reports how many were left out (``rejects(df)`` gives
-        them back)."""
+        them back). ``helpers`` names columns of ``df`` that only ``count_where``
+        reads; any other column the table does not have is an error."""
         schema = self.schema
         if on_null not in ("error", "reject"):
             raise ValueError("on_null must be 'error' or 'reject'")
@@ -522,7 +523,7 @@ class VersionedTable:
         # before the shuffle would also see the range-partitioner's sampling
         # pass and come out doubled.
         where = {f"_cw_{i}": c for i, c in enumerate((count_where or {}).values())}
-        rows = conform(df.withColumns(where) if where else df, schema, carry=list(where))
+        rows = conform((df.withColumns(where) if where else df).drop(*helpers), schema, carry=list(where))
         bad = null_violation(schema) | vector_violation(self.layout.vector_dims)
         flags = {"_bad": bad, **{f"_nl_{i}": F.col(f"`{c}`").isNull() for i, c in enumerate(count_nulls)}}
         rows = rows.withColumns(flags)
