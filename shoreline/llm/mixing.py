@@ -6,7 +6,7 @@ of each domain, the sum of rate * tokens * probability, match the targets in
 least squares: projected gradient descent from rate one, in the norm weighted
 by tokens and with each domain's step scaled by its tokens. (The scaled system
 is a matrix of non-negative rows that add up to one, so a step of one
-converges.) A document's rate is a fold over the steps taken so far, computed
+converges; longer steps follow Barzilai and Borwein, 1988.) A document's rate is a fold over the steps taken so far, computed
 from its own probabilities; a round is one aggregate over a narrow table, and
 only one number per domain comes back to the driver.
 
@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shoreline.llm.common import materialise
 from shoreline.llm.sampling import per_class
 
+#: Rounds without progress after which the fit ends; bound of the spectral step length.
+STALLED, LONGEST_STEP = 10, 50.0
 FEATURES = 4096
 BLOCK = 1 << 22
 
@@ -143,8 +145,9 @@ def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float],
     lowest is one (which keeps the domains' shares), so that every document
     stays; or the tokens there are if a domain that has some is to have none.
     Stops when no domain is off by more than
-    ``tolerance`` of the budget, when a round brings the residual down by less
-    than a hundredth (the targets can't be met), or after ``rounds``. A domain without tokens
+    ``tolerance`` of the budget, when ``STALLED`` rounds bring the residual down
+    by less than a hundredth (the targets can't be met), or after ``rounds``;
+    the best round counts. A domain without tokens
     can't be reached and is left out of the fit.
     """
     k = len(domains)
@@ -158,7 +161,7 @@ def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float],
 
     now, lowest = expected([])
     start = now
-    weight = np.array([max(0.0, targets.get(d, 0.0)) for d in domains]) * (start > 0)
+    weight = np.array([max(0.0, float(targets.get(d, 0.0))) for d in domains]) * (start > 0)
     steps: list[list[float]] = []
     if not weight.sum():
         return Rates(steps), dict(zip(domains, now.tolist()))
@@ -167,15 +170,23 @@ def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float],
     uncut = budget is None and bool((weight[some] > 0).all())
     if budget is None:
         budget = float((start[some] / weight[some]).max()) if uncut else float(start.sum())
-    last = np.inf
+    length, best = 1.0, (np.inf, 0, now, lowest)
     for _ in range(rounds):
         off = weight * budget - now
         far = float(np.linalg.norm(off))
-        if np.abs(off).max() <= tolerance * budget or far > 0.99 * last:
+        if far < 0.99 * best[0]:
+            best = (far, len(steps), now, lowest)
+        if np.abs(off).max() <= tolerance * budget or len(steps) - best[1] >= STALLED:
             break
-        last = far
-        steps.append((off / np.where(start > 0, start, np.inf)).tolist())
+        step = length * off / np.where(some, start, np.inf)
+        steps.append(step.tolist())
+        before = now
         now, lowest = expected(steps)
+        gained = now - before
+        square = float(gained @ (gained / np.where(some, start, np.inf)))
+        length = min(max(float(step @ gained) / square, 1.0), LONGEST_STEP) if square > 0 else 1.0
+    _, kept, now, lowest = best if np.linalg.norm(weight * budget - now) > best[0] else (0, len(steps), now, lowest)
+    steps = steps[:kept]
     scale = 1 / lowest if uncut and 0 < lowest < 1 else 1.0
     return Rates(steps, scale), dict(zip(domains, (now * scale).tolist()))
 
