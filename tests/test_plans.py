@@ -60,3 +60,21 @@ def test_merge_scan_gets_the_key_range(spark, scratch):
     keys = spark.createDataFrame([(40,), (45,)], "_k long")
     p = formatted(M.matched_rows(t, keys, key="event_id", key_range=(40, 45)))
     assert "GreaterThanOrEqual(event_id,40)" in p and "LessThanOrEqual(event_id,45)" in p
+
+
+def test_few_merge_keys_become_the_scan_filter(spark, scratch):
+    """No join, and on a table clustered by the key files without a key are skipped."""
+    from shoreline.operators import merge as M
+    df = spark.range(8000).selectExpr("id as event_id", "id * 2 as v")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        t = VersionedTable.create(spark, scratch("exact"), df.schema, cluster_by=["event_id"], data=df)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    keys = spark.createDataFrame([(40,), (45,)], "_k long")
+    m = M.matched_rows(t, keys, key="event_id", exact=[40, 45])
+    p = formatted(m)
+    assert "In(event_id, [40,45])" in p and "Join" not in p
+    assert sorted(r._tk for r in m.collect()) == [40, 45]
+    res = M.merge(t, spark.createDataFrame([(40, 1, "UPDATE"), (9000, 2, "INSERT")], "event_id long, v long, _action string"), key="event_id")
+    assert res.affected == 2 and t.read(where="event_id in (40, 9000)").count() == 2
