@@ -24,8 +24,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-#: Chunks a worker remembers before it starts anew, and the longest it keeps.
-REMEMBERED, LONGEST = 400_000, 256
+#: Chunks (and words) a worker remembers before it forgets those not in use, and the longest it keeps.
+REMEMBERED, LONGEST = 600_000, 256
 
 
 class TrieEncoder:
@@ -104,38 +104,60 @@ class TrieEncoder:
         for word in words:
             node = trie
             for symbol in word[:-1]:
-                node = node.setdefault(symbol, {})
-            node.setdefault(("end", word[-1]), None)
+                below = node.get(symbol)
+                if below is None:
+                    below = node[symbol] = {}
+                node = below
+            node["\n" + word[-1]] = None  # a final symbol is one of its own; no symbol is a line end
         out: dict[str, list[int]] = {}
-        # Depth-first with the path's last tokens; a depth's entry is overwritten by the next branch.
-        path, last, length = [], [], []
-        stack: list[tuple[int, object, object]] = [(0, s, n) for s, n in trie.items()]
-        inner, final, longest = self.inner, self.final, self.longest
+        # Depth-first; last[d] and length[d] are the state of the path's prefix of d + 1 symbols,
+        # overwritten when another branch comes to that depth.
+        deepest = max(map(len, words), default=0)
+        last, length = [0] * deepest, [0] * deepest
+        inner, final, longest, apart = self.inner, self.final, self.longest, self.apart
+        stack: list[tuple[int, str, dict | None]] = [(0, s, n) for s, n in trie.items()]
         while stack:
-            depth, symbol, below = stack.pop()
-            del path[depth:], last[depth:], length[depth:]
-            leaf = below is None
-            path.append(symbol[1] if leaf else symbol)
-            known = final if leaf else inner
+            depth, prefix, below = stack.pop()
+            known = inner
+            if below is None:
+                prefix, known = prefix[:-2] + prefix[-1], final
             for size in range(1, min(depth + 1, longest) + 1):
-                token = known.get("".join(path[depth + 1 - size:]))
-                if token is not None and (size == depth + 1 or self.compatible(last[depth - size], token)):
-                    break
+                token = known.get(prefix[depth + 1 - size:])
+                if token is not None:
+                    if size > depth:
+                        break
+                    pair = (last[depth - size], token)
+                    fits = apart.get(pair)
+                    if fits is None:
+                        fits = apart[pair] = self._compatible(*pair)
+                    if fits:
+                        break
             else:
-                raise ValueError(f"no token for {''.join(path)!r}")
-            last.append(token)
-            length.append(size)
-            if leaf:
+                raise ValueError(f"no token for {prefix!r}")
+            last[depth], length[depth] = token, size
+            if below is None:
                 ids, at = [], depth
                 while at >= 0:
                     ids.append(last[at])
                     at -= length[at]
-                out["".join(path)] = ids[::-1]
+                ids.reverse()
+                out[prefix] = ids
             else:
-                stack.extend((depth + 1, s, n) for s, n in below.items())
+                depth += 1
+                for symbol, node in below.items():
+                    stack.append((depth, prefix + symbol, node))
         return out
 
 
+#: Characters of Latin-1 outside white space and control codes: pieces of chunks made of these alone are
+#: found by the pattern below as by the file's own, once A-Z and the letters with accents are in lower case.
+LATIN = re.compile("[!-~\xa1-\xff]+")
+PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]"
+                    "|[^a-z0-9\xaa\xb2\xb3\xb5\xb9\xba\xbc-\xbe\xdf-\xf6\xf8-\xff]+")
+#: The split the file must ask for if that pattern is to stand in for it (fixed value of the vocabulary file).
+FILE_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
 class ChunkCoder:
     """Encodes whole texts, chunk by chunk, with a bounded memory of chunks.
     A remembered chunk is (ids as text, number of ids, tokens as text)."""
@@ -146,21 +168,35 @@ class ChunkCoder:
         self.normal, self.pieces = whole.normalizer, whole.pre_tokenizer
         self.encoder = TrieEncoder(path)
         self.known: dict[str, tuple[str, int, str]] = {"": ("", 0, "")}
+        self.spelt: dict[str, tuple[str, int, str]] = {}  # the same per word
         names = sorted(self.encoder.special, key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
+        self.latin = FILE_SPLIT in json.dumps(json.loads(whole.to_str()), ensure_ascii=False).replace("\\\\", "\\")
+        # how the library writes the bytes of each accented letter
+        self.spelled = {c: "".join(p for p, _ in self.pieces.pre_tokenize_str(chr(c))) for c in range(0xA1, 0x100)}
 
     def _pieces(self, chunk: str) -> list[str]:
+        if self.latin and LATIN.fullmatch(chunk):
+            found = PIECES.findall(chunk.lower())
+            return found if chunk.isascii() else [p.translate(self.spelled) for p in found]
         normal = self.normal.normalize_str(chunk) if self.normal else chunk
         return [p for p, _ in self.pieces.pre_tokenize_str(normal) if p]
 
     def learn(self, chunks: set[str]) -> dict[str, tuple[str, int, str]]:
         """Encodes the chunks not yet known; returns those too long to keep."""
         new = {c: self._pieces(c) for c in chunks}
-        words = self.encoder.encode_words({p for ps in new.values() for p in ps})
-        text, long = self.encoder.text, {}
+        text, long, spelt = self.encoder.text, {}, self.spelt
+        if len(spelt) > REMEMBERED:
+            spelt.clear()
+        words = self.encoder.encode_words({p for ps in new.values() for p in ps} - spelt.keys())
+        for p, ids in words.items():
+            spelt[p] = (" ".join(map(str, ids)), len(ids), " ".join([text[i] for i in ids]))
         for c, ps in new.items():
-            ids = [i for p in ps for i in words[p]]
-            entry = (" ".join(map(str, ids)), len(ids), " ".join(text[i] for i in ids))
+            if len(ps) == 1:
+                entry = spelt[ps[0]]
+            else:
+                parts = [spelt[p] for p in ps]
+                entry = (" ".join([p[0] for p in parts]), sum([p[1] for p in parts]), " ".join([p[2] for p in parts]))
             (self.known if len(c) <= LONGEST else long)[c] = entry
         return long
 
@@ -173,12 +209,13 @@ class ChunkCoder:
 
     def encode_batch(self, texts: list[str]) -> list[tuple[str, int, str]]:
         """(ids joined by blanks, number of ids, tokens joined by blanks)."""
-        if len(self.known) > REMEMBERED:
-            self.known = {"": ("", 0, "")}
         split = []
         for text in texts:
-            split.append([(p, None) if special else (p, re.split("[ \n]", p)) for p, special in self.split(text)])
-        unknown = {c for doc in split for _, chunks in doc if chunks is not None for c in chunks} - self.known.keys()
+            split.append([(p, None) if special else (p, p.replace("\n", " ").split(" ")) for p, special in self.split(text)])
+        used = {c for doc in split for _, chunks in doc if chunks is not None for c in chunks}
+        if len(self.known) > REMEMBERED:  # forget what these texts don't use
+            self.known = {"": ("", 0, "")} | {c: self.known[c] for c in used if c in self.known}
+        unknown = used - self.known.keys()
         long = self.learn(unknown) if unknown else {}
         out = []
         for doc in split:
@@ -191,7 +228,7 @@ class ChunkCoder:
                 else:
                     got += map(self.known.__getitem__, chunks)
             got = [g for g in got if g[1]]
-            out.append((" ".join(g[0] for g in got), sum(g[1] for g in got), " ".join(g[2] for g in got)))
+            out.append((" ".join([g[0] for g in got]), sum([g[1] for g in got]), " ".join([g[2] for g in got])))
         return out
 
 
