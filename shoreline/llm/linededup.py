@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BinaryType
 
 from shoreline.llm.common import ASCII_SPACE, materialise
@@ -164,7 +164,8 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id",
                       F.col("n_lines").alias("_n_lines"), F.col("n_dropped").alias("_n_dropped"))
 
 
-def sha256_hex(col) -> "F.Column":
+def sha256_hex(col) -> Column:
+    """Lowercase hex digest of a text column in UTF-8."""
     return F.sha2(F.encode(col, "UTF-8"), 256)
 
 

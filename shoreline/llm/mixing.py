@@ -83,8 +83,8 @@ def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
     id hashes) of the table ``labelled`` (``id_col``, ``domain_col``); None if
     no labelled document has a text."""
     domain = F.col(f"`{domain_col}`").cast("string")
-    chosen = per_class(labelled, id_col, domain, per_domain).select(F.col(f"`{id_col}`").alias("_id"), "label").distinct()
-    shares = {r["label"]: r["n"] for r in labelled.groupBy(domain.alias("label")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    chosen, shares = per_class(labelled, id_col, domain, per_domain)
+    chosen = chosen.select(F.col(f"`{id_col}`").alias("_id"), "label").distinct()
     # at most per_domain ids a domain: a bounded broadcast
     got = (docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text")).where("_text IS NOT NULL")
            .join(F.broadcast(chosen), "_id").select("label", "_text").collect())

@@ -142,8 +142,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     labelled twice enters twice."""
     label = F.col(f"`{label_col}`").cast("int")
     rows = labels.where(label.isin(0, 1)) if usable is None else labels.where(label.isin(0, 1) & usable)
-    chosen = per_class(rows, id_col, label, per_label).withColumnRenamed(id_col, "_id")
-    shares = {r["label"]: r["n"] for r in rows.groupBy(label.alias("label")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    chosen, shares = per_class(rows, id_col, label, per_label)
+    chosen = chosen.withColumnRenamed(id_col, "_id")
     # at most 2 * per_label ids: a bounded broadcast
     texts = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
     got = (texts.join(F.broadcast(chosen), "_id").select("label", "_text")

@@ -7,19 +7,28 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shoreline.llm.common import materialise
 
 
-#: Slices of a class ranked apart first: one task then gets at most so many times the sample.
-SLICES = 64
-
-
-def per_class(rows: DataFrame, id_col: str, label: Column, most: int) -> DataFrame:
-    """(``id_col``, ``label``) of up to ``most`` rows of each class. Only ids and
-    labels are ranked, in slices of each class first; what is left of the
-    slices, at most ``SLICES * most`` rows a class, is ranked again."""
-    order = ["_h", "_i"]
-    ranked = rows.select(F.col(f"`{id_col}`").alias("_i"), label.alias("label")).where("label IS NOT NULL").withColumn("_h", F.xxhash64("_i"))
-    for keys in (["label", F.shiftrightunsigned("_h", 3).bitwiseAND(F.lit(SLICES - 1))], ["label"]):
-        ranked = ranked.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_r") <= most)
-    return materialise(ranked.select(F.col("_i").alias(id_col), "label"))
+#: A class is ranked among so many times the sample (in expectation), whatever its size.
+SPARE = 4
+
+
+def per_class(rows: DataFrame, id_col: str, label: Column, most: int) -> tuple[DataFrame, dict]:
+    """((``id_col``, ``label``) of up to ``most`` rows of each class, rows by class).
+
+    Only ids and labels are read. A class's size gives a hash below which about
+    ``SPARE * most`` of its rows lie; only these are ranked, so no task ranks
+    more than that. (Should under ``most`` lie there, which has no practical
+    probability, the sample is that much smaller.) One count per class comes
+    to the driver: classes are few."""
+    hashed = (rows.select(F.col(f"`{id_col}`").alias("_i"), label.alias("label")).where("label IS NOT NULL")
+              .withColumn("_h", F.shiftrightunsigned(F.xxhash64("_i"), 1)))
+    sizes = {r["label"]: r["n"] for r in hashed.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    large = [(k, int((1 << 63) * (SPARE * most / n))) for k, n in sizes.items() if n > SPARE * most]
+    if large:
+        below = F.element_at(F.create_map(*[F.lit(x) for pair in large for x in pair]), F.col("label"))
+        hashed = hashed.where(below.isNull() | (F.col("_h") < below))
+    best = F.row_number().over(Window.partitionBy("label").orderBy("_h", "_i"))
+    chosen = hashed.withColumn("_r", best).where(F.col("_r") <= most)
+    return materialise(chosen.select(F.col("_i").alias(id_col), "label")), sizes
 
 
 def crc_mod(id_col: str, n: int) -> Column:

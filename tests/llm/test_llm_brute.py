@@ -216,6 +216,12 @@ def test_bpe_any_text(coder, library, text):
     check_encoding(coder, library, [text])
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.one_of(st.characters(min_codepoint=1, max_codepoint=0xFF), st.sampled_from(" \n'stdmrevl")), max_size=60))
+def test_bpe_latin_text(coder, library, text):
+    check_encoding(coder, library, [text])
+
+
 def test_bpe_special_tokens(coder, library):
     check_encoding(coder, library, ["a<|endoftext|>b <|startoftext|>", "<|endoftext|><|endoftext|>", "<|END|> <|endoftext |>", "x < y"])
 
@@ -378,3 +384,13 @@ def test_pipeline_stages_in_turn(spark, scratch):
     assert abs(totals["en"] / sum(totals.values()) - 0.4) < 0.1
     coded = stages["bpe"](spark, mixed, SF)
     assert coded.count() == mixed.count() == corpus_pipeline.run(spark, SF).count()
+
+
+def test_samples_are_the_smallest_hashes(spark):
+    from shoreline.llm.sampling import per_class
+    df = spark.range(6000).selectExpr("id", "CASE WHEN id % 100 = 7 THEN 'rare' WHEN id % 50 = 3 THEN NULL WHEN id % 3 = 0 THEN 'a' ELSE 'b' END AS kind")
+    got, sizes = per_class(df, "id", F.col("kind"), 80)
+    rows = df.select("id", "kind", F.shiftrightunsigned(F.xxhash64("id"), 1).alias("h")).where("kind IS NOT NULL").collect()
+    want = {k: sorted((r.h, r.id) for r in rows if r.kind == k)[:80] for k in ("a", "b", "rare")}
+    assert sizes == {k: sum(r.kind == k for r in rows) for k in want}
+    assert {(r.label, r.id) for r in got.collect()} == {(k, i) for k, v in want.items() for _, i in v}
