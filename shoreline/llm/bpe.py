@@ -9,9 +9,10 @@ compatible tokens, which makes the choice unique. Encodings are read back from
 the leaves. A word's final symbol carries the end-of-word suffix and is a
 symbol of its own, so leaves never serve as prefixes.
 
-Normalising and splitting into pieces is the tokenizers library's own, run
-once per distinct blank-separated chunk of text. Each Python worker keeps the
-chunks it has encoded in a table of bounded size; texts are never shuffled.
+Normalising and splitting into words follow the file: for Latin-1 texts by an
+equal pattern over the whole text, for others by the tokenizers library, once
+per distinct blank-separated chunk. Each Python worker keeps the words it has
+encoded in a table of bounded size; texts are never shuffled.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-#: Chunks (and words) a worker remembers before it forgets those not in use, and the longest it keeps.
+#: Words (and chunks) a worker remembers before it forgets those not in use, and the longest chunk it keeps.
 REMEMBERED, LONGEST = 600_000, 256
 
 
@@ -149,55 +150,59 @@ class TrieEncoder:
         return out
 
 
-#: Characters of Latin-1 outside white space and control codes: pieces of chunks made of these alone are
-#: found by the pattern below as by the file's own, once A-Z and the letters with accents are in lower case.
-LATIN = re.compile("[!-~\xa1-\xff]+")
+#: Texts of Latin-1 characters without other white space or control codes: once in lower case, the pattern
+#: below finds the pieces that the library's normaliser and the file's own pattern find.
+LATIN = re.compile("[\t\n\r -~\xa1-\xff]*")
 PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]"
-                    "|[^a-z0-9\xaa\xb2\xb3\xb5\xb9\xba\xbc-\xbe\xdf-\xf6\xf8-\xff]+")
+                    "|[^\t\n\r a-z0-9\xaa\xb2\xb3\xb5\xb9\xba\xbc-\xbe\xdf-\xf6\xf8-\xff]+")
 #: The split the file must ask for if that pattern is to stand in for it (fixed value of the vocabulary file).
 FILE_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
 
+#: (ids as text, number of ids, tokens as text)
+Entry = tuple[str, int, str]
+
+
 class ChunkCoder:
-    """Encodes whole texts, chunk by chunk, with a bounded memory of chunks.
-    A remembered chunk is (ids as text, number of ids, tokens as text)."""
+    """Encodes whole texts with a bounded memory of words. Texts in Latin-1 are
+    cut into words here, others by the library, one blank-separated chunk at a
+    time; chunks are remembered too."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         whole = Tokenizer.from_file(path)
         self.normal, self.pieces = whole.normalizer, whole.pre_tokenizer
         self.encoder = TrieEncoder(path)
-        self.known: dict[str, tuple[str, int, str]] = {"": ("", 0, "")}
-        self.spelt: dict[str, tuple[str, int, str]] = {}  # the same per word
+        self.words: dict[str, Entry] = {}  # by the library's spelling of a word's bytes
+        self.plain: dict[str, Entry] = {}  # by the word as it stands in a Latin-1 text
+        self.known: dict[str, Entry] = {}  # by chunk
         names = sorted(self.encoder.special, key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
         self.latin = FILE_SPLIT in json.dumps(json.loads(whole.to_str()), ensure_ascii=False).replace("\\\\", "\\")
         # how the library writes the bytes of each accented letter
         self.spelled = {c: "".join(p for p, _ in self.pieces.pre_tokenize_str(chr(c))) for c in range(0xA1, 0x100)}
 
-    def _pieces(self, chunk: str) -> list[str]:
-        if self.latin and LATIN.fullmatch(chunk):
-            found = PIECES.findall(chunk.lower())
-            return found if chunk.isascii() else [p.translate(self.spelled) for p in found]
-        normal = self.normal.normalize_str(chunk) if self.normal else chunk
-        return [p for p, _ in self.pieces.pre_tokenize_str(normal) if p]
-
-    def learn(self, chunks: set[str]) -> dict[str, tuple[str, int, str]]:
-        """Encodes the chunks not yet known; returns those too long to keep."""
-        new = {c: self._pieces(c) for c in chunks}
-        text, long, spelt = self.encoder.text, {}, self.spelt
-        if len(spelt) > REMEMBERED:
-            spelt.clear()
-        words = self.encoder.encode_words({p for ps in new.values() for p in ps} - spelt.keys())
-        for p, ids in words.items():
-            spelt[p] = (" ".join(map(str, ids)), len(ids), " ".join([text[i] for i in ids]))
-        for c, ps in new.items():
-            if len(ps) == 1:
-                entry = spelt[ps[0]]
-            else:
-                parts = [spelt[p] for p in ps]
-                entry = (" ".join([p[0] for p in parts]), sum([p[1] for p in parts]), " ".join([p[2] for p in parts]))
-            (self.known if len(c) <= LONGEST else long)[c] = entry
+    def _learn_words(self, spelled: set[str]) -> None:
+        text = self.encoder.text
+        for p, ids in self.encoder.encode_words(spelled - self.words.keys()).items():
+            self.words[p] = (" ".join(map(str, ids)), len(ids), " ".join([text[i] for i in ids]))
+
+    def learn(self, plain: set[str], chunks: set[str]) -> dict[str, Entry]:
+        """Encodes unknown words and chunks; returns the chunks too long to keep."""
+        if len(self.words) > REMEMBERED:
+            self.words = {}
+        cut: dict[str, list[str]] = {}
+        for c in chunks:
+            normal = self.normal.normalize_str(c) if self.normal else c
+            cut[c] = [p for p, _ in self.pieces.pre_tokenize_str(normal) if p]
+        spelled = {w: w if w.isascii() else w.translate(self.spelled) for w in plain}
+        self._learn_words({*spelled.values(), *(p for ps in cut.values() for p in ps)})
+        words, long = self.words, {}
+        for w, p in spelled.items():
+            self.plain[w] = words[p]
+        for c, ps in cut.items():
+            parts = [words[p] for p in ps]
+            (self.known if len(c) <= LONGEST else long)[c] = joined(parts)
         return long
 
     def split(self, text: str) -> list[tuple[str, bool]]:
@@ -207,31 +212,50 @@ class ChunkCoder:
         parts = self.special.split(text)
         return [(p, bool(k % 2)) for k, p in enumerate(parts) if p]
 
-    def encode_batch(self, texts: list[str]) -> list[tuple[str, int, str]]:
-        """(ids joined by blanks, number of ids, tokens joined by blanks)."""
-        split = []
+    def encode_batch(self, texts: list[str]) -> list[Entry]:
+        """An entry per text."""
+        split, plain, chunks = [], set(), set()
         for text in texts:
-            split.append([(p, None) if special else (p, p.replace("\n", " ").split(" ")) for p, special in self.split(text)])
-        used = {c for doc in split for _, chunks in doc if chunks is not None for c in chunks}
-        if len(self.known) > REMEMBERED:  # forget what these texts don't use
-            self.known = {"": ("", 0, "")} | {c: self.known[c] for c in used if c in self.known}
-        unknown = used - self.known.keys()
-        long = self.learn(unknown) if unknown else {}
+            doc = []
+            for part, special in self.split(text):
+                if special:
+                    doc.append((None, part))
+                elif self.latin and LATIN.fullmatch(part):
+                    found = PIECES.findall(part.lower())
+                    doc.append((True, found))
+                    plain.update(found)
+                else:
+                    found = [c for c in part.replace("\n", " ").split(" ") if c]
+                    doc.append((False, found))
+                    chunks.update(found)
+            split.append(doc)
+        # forget what these texts don't use
+        if len(self.plain) > REMEMBERED:
+            self.plain = {w: self.plain[w] for w in plain if w in self.plain}
+        if len(self.known) > REMEMBERED:
+            self.known = {c: self.known[c] for c in chunks if c in self.known}
+        long = self.learn(plain - self.plain.keys(), chunks - self.known.keys())
         out = []
         for doc in split:
-            got = []
-            for part, chunks in doc:
-                if chunks is None:
-                    got.append((str(self.encoder.special[part]), 1, part))
-                elif long:
-                    got += [self.known[c] if c in self.known else long[c] for c in chunks]
+            got: list[Entry] = []
+            for kind, found in doc:
+                if kind is None:
+                    got.append((str(self.encoder.special[found]), 1, found))
+                elif kind:
+                    got += map(self.plain.__getitem__, found)
                 else:
-                    got += map(self.known.__getitem__, chunks)
-            got = [g for g in got if g[1]]
-            out.append((" ".join([g[0] for g in got]), sum([g[1] for g in got]), " ".join([g[2] for g in got])))
+                    got += [self.known[c] if c in self.known else long[c] for c in found]
+            out.append(joined(got))
         return out
 
 
+def joined(entries: list[Entry]) -> Entry:
+    if len(entries) == 1:
+        return entries[0]
+    some = [e for e in entries if e[1]]
+    return " ".join([e[0] for e in some]), sum([e[1] for e in some]), " ".join([e[2] for e in some])
+
+
 def decode(encoder: TrieEncoder, ids: list[int]) -> str:
     """The library's decoding without a decoder set: token strings joined by a blank."""
     return " ".join(encoder.text[i] for i in ids)
@@ -239,7 +263,7 @@ def decode(encoder: TrieEncoder, ids: list[int]) -> str:
 
 _CODERS: dict[str, ChunkCoder] = {}
 #: Texts encoded together, by characters: bounds what a task holds beside its batch.
-GROUP_CHARS = 4_000_000
+GROUP_CHARS = 2_000_000
 
 
 def _encode(path: str, with_ids: bool):
