@@ -431,7 +431,7 @@ cnt AS (SELECT doc_id, CAST(CAST('0x' || substr(md5(t), 1, 8) AS BIGINT) % {DIM}
 agg AS (SELECT doc_id, count(*) AS n, max(c) / sqrt(sum(c * c)) AS mx FROM cnt GROUP BY 1)
 SELECT d.doc_id, agg.n AS nonzero, round(agg.mx, 6) AS max_weight FROM documents d LEFT JOIN agg ON d.doc_id = agg.doc_id""",
         "folder_ingest": """
-SELECT lang, doc_id, 'text/plain' AS source_mime_type, 'text/plain' AS mime_type, CAST(strlen(text) + 1 AS BIGINT) AS size,
+SELECT lang, 'text/plain' AS source_mime_type, 'text/plain' AS mime_type, CAST(strlen(text) + 1 AS BIGINT) AS size,
        md5(text || chr(10)) AS md5, true AS has_url, 'folder' AS ingestion_source, count(*) OVER () AS files
 FROM documents WHERE lang <> 'de'""",
         "catalog_tables": _catalog_rows(),
@@ -452,7 +452,7 @@ SELECT event_id, event_type, value, CAST(NULL AS VARCHAR) AS action, CAST(NULL A
 UNION ALL
 SELECT event_id, NULL, NULL, _action, _reason FROM conflicts""",
         "stream_assets": """
-SELECT lang, doc_id, 'text/plain' AS mime_type, CAST(strlen(text) + 1 AS BIGINT) AS size, md5(text || chr(10)) AS md5
+SELECT lang, 'text/plain' AS mime_type, CAST(strlen(text) + 1 AS BIGINT) AS size, md5(text || chr(10)) AS md5
 FROM documents""",
     }
 

@@ -537,16 +537,16 @@ def embed_source(spark, sf_dir):
 
 def _write_doc_tree(spark, sf_dir) -> str:
     """Documents written as a folder tree, one text file per document (in a
-    folder per language and document), the input of the file-tree ingest."""
+    folder per language), the input of the file-tree ingest."""
     root = scratch_path(spark, "doc_tree")
-    spread(load(spark, sf_dir, "documents").select("lang", "doc_id", "text")).write.partitionBy("lang", "doc_id").text(root)
+    # committer version 2: tasks move their many files themselves, not the driver
+    (spread(load(spark, sf_dir, "documents").select("lang", "text")).write.partitionBy("lang")
+     .option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(root))
     return root
 
 
 def _tree_files(files: DataFrame) -> DataFrame:
-    at = r"^lang=([^/]+)/doc_id=([0-9]+)/"
-    return files.withColumns({"lang": F.regexp_extract("file_id", at, 1),
-                              "doc_id": F.regexp_extract("file_id", at, 2).cast("bigint")})
+    return files.withColumn("lang", F.regexp_extract("file_id", r"^lang=([^/]+)/", 1))
 
 
 def folder_ingest(spark, sf_dir):
@@ -556,12 +556,12 @@ def folder_ingest(spark, sf_dir):
     root = _write_doc_tree(spark, sf_dir)
     blobs = SF.as_blobs(SF.read_files(spark, root, recursive=True), root)
     blobs = SF.mime_filter(blobs, ["text/plain"])
-    blobs = SF.mime_filter(blobs, ~F.element_at("meta", F.lit("folder")).startswith("lang=de/"))
+    blobs = SF.mime_filter(blobs, ~(F.element_at("meta", F.lit("folder")) == "lang=de"))
     t = _asset_table(spark, "folder_assets")
     res = A.ingest(t, blobs, common_metadata={"ingestion_source": "folder"}, now=FX.COMMIT_TIME)
     more = t.read().select("id", "data", "url", F.get_json_object("metadata", "$.ingestion_source").alias("ingestion_source"))
     files = _tree_files(A.ingested(t, res).join(more, "id"))
-    return files.select("lang", "doc_id", "source_mime_type", "mime_type", "size", F.md5("data").alias("md5"),
+    return files.select("lang", "source_mime_type", "mime_type", "size", F.md5("data").alias("md5"),
                         F.col("url").endswith(F.col("file_id")).alias("has_url"), "ingestion_source",
                         F.lit(res["inserted"]).cast("bigint").alias("files"))
 
@@ -689,4 +689,4 @@ def stream_assets(spark, sf_dir):
     t = _asset_table(spark, "stream_assets")
     run(spark, root, t, scratch_path(spark, "asset_ckpt"), files_per_batch=5000, glob="*.txt",
         common_metadata={"ingestion_source": "stream"}, now=FX.COMMIT_TIME)
-    return _tree_files(t.read()).select("lang", "doc_id", "mime_type", "size", F.md5("data").alias("md5"))
+    return _tree_files(t.read()).select("lang", "mime_type", "size", F.md5("data").alias("md5"))
