@@ -10,12 +10,16 @@ converges; longer steps follow Barzilai and Borwein, 1988.) A document's rate is
 from its own probabilities; a round is one aggregate over a narrow table, and
 only one number per domain comes back to the driver.
 
-By default the budget is the smallest total at which no domain must be cut, and
-rates are raised until the lowest is one: documents are repeated, not dropped.
+By default no rate may fall below one: documents are repeated, not dropped. The
+descent projects on ``x >= 1`` then, and the budget begins at the smallest total
+at which no domain must be cut. Documents that belong to several domains can
+make that too small, so every few rounds it rises to what the fullest domain
+holds, by a tenth at most. What the targets still miss is reported.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +31,10 @@ from shoreline.llm.sampling import per_class
 
 #: Rounds without progress after which the fit ends; bound of the spectral step length.
 STALLED, LONGEST_STEP = 10, 50.0
+#: Without a budget: rounds between two rises of it, and by how much at most.
+RISE_AFTER, RISE = 5, 1.1
+#: Share of all expected tokens by which a target may be missed unreported.
+NOTABLE = 1e-3
 FEATURES = 4096
 BLOCK = 1 << 22
 
@@ -115,24 +123,25 @@ def memberships(docs: DataFrame, model: Softmax, id_col: str = "doc_id", text_co
 
 
 class Rates:
-    """A document's rate: the fold over the descent's ``steps``, times ``scale``."""
+    """A document's rate: the fold over the descent's ``steps``, never under
+    ``least``. ``missed``: by domain, the target less the expected share."""
 
-    def __init__(self, steps: list[list[float]], scale: float = 1.0):
-        self.steps, self.scale = steps, scale
+    def __init__(self, steps: list[list[float]], least: float = 0.0, missed: dict[str, float] | None = None):
+        self.steps, self.least, self.missed = steps, least, missed or {}
 
     def of(self, p: np.ndarray) -> float:
         x = 1.0
         for s in self.steps:
-            x = max(0.0, x + float(p @ np.asarray(s)))
-        return x * self.scale
+            x = max(self.least, x + float(p @ np.asarray(s)))
+        return x
 
     def column(self, p: Column, k: int) -> Column:
         """``of`` as a column over the array ``p`` of ``k`` probabilities."""
         if not self.steps:
-            return F.lit(self.scale)
+            return F.lit(1.0)
         history = F.array(*[F.array(*[F.lit(float(v)) for v in s]) for s in self.steps])
         return F.aggregate(history, F.lit(1.0), lambda x, s: F.greatest(
-            F.lit(0.0), x + sum((p[i] * s[i] for i in range(1, k)), p[0] * s[0]))) * F.lit(self.scale)
+            F.lit(self.least), x + sum((p[i] * s[i] for i in range(1, k)), p[0] * s[0])))
 
 
 def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float], budget: float | None = None,
@@ -140,26 +149,25 @@ def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float],
     """(rates, expected tokens per domain) of the fit.
 
     ``targets`` are weights (normalised here; domains not named get 0). The
-    ``budget`` is the total of tokens to expect; by default the smallest at
-    which no domain must be cut, with all rates then raised alike until the
-    lowest is one (which keeps the domains' shares), so that every document
-    stays; or the tokens there are if a domain that has some is to have none.
+    ``budget`` is the total of tokens to expect. Without one, no rate is under
+    one, so that every document stays, and the budget begins at the smallest at
+    which no domain must be cut and rises (see above) while that is too small;
+    or it is the tokens there are if a domain that has some is to have none.
     Stops when no domain is off by more than
     ``tolerance`` of the budget, when ``STALLED`` rounds bring the residual down
     by less than a hundredth (the targets can't be met), or after ``rounds``;
-    the best round counts. A domain without tokens
-    can't be reached and is left out of the fit.
+    the best round counts. Shares missed by more than ``NOTABLE`` are warned of.
+    A domain without tokens can't be reached and is left out of the fit.
     """
     k = len(domains)
     p = F.col("p")
 
-    def expected(steps: list[list[float]]) -> tuple[np.ndarray, float]:
-        x = members.select("n_tokens", "p", Rates(steps).column(p, k).alias("x"))
-        row = x.agg(*[F.sum(F.col("n_tokens") * F.col("x") * p[i]).alias(f"e{i}") for i in range(k)],
-                    F.min("x").alias("lowest")).first()
-        return np.array([v or 0.0 for v in row[:k]]), row["lowest"]
+    def expected(rates: Rates) -> np.ndarray:
+        x = members.select("n_tokens", "p", rates.column(p, k).alias("x"))
+        row = x.agg(*[F.sum(F.col("n_tokens") * F.col("x") * p[i]).alias(f"e{i}") for i in range(k)]).first()
+        return np.array([v or 0.0 for v in row])
 
-    now, lowest = expected([])
+    now = expected(Rates([]))
     start = now
     weight = np.array([max(0.0, float(targets.get(d, 0.0))) for d in domains]) * (start > 0)
     steps: list[list[float]] = []
@@ -168,27 +176,34 @@ def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float],
     weight /= weight.sum()
     some = start > 0
     uncut = budget is None and bool((weight[some] > 0).all())
+    least = 1.0 if uncut else 0.0
     if budget is None:
         budget = float((start[some] / weight[some]).max()) if uncut else float(start.sum())
-    length, best = 1.0, (np.inf, 0, now, lowest)
-    for _ in range(rounds):
+    length, best = 1.0, (np.inf, 0, now)
+    for number in range(rounds + 1):
+        if uncut and number and number % RISE_AFTER == 0:
+            budget = max(budget, min(float((now[some] / weight[some]).max()), RISE * budget))
         off = weight * budget - now
-        far = float(np.linalg.norm(off))
+        far = float(np.linalg.norm(off)) / budget
         if far < 0.99 * best[0]:
-            best = (far, len(steps), now, lowest)
-        if np.abs(off).max() <= tolerance * budget or len(steps) - best[1] >= STALLED:
+            best = (far, len(steps), now)
+        if np.abs(off).max() <= tolerance * budget or len(steps) - best[1] >= STALLED or number == rounds:
             break
         step = length * off / np.where(some, start, np.inf)
         steps.append(step.tolist())
         before = now
-        now, lowest = expected(steps)
+        now = expected(Rates(steps, least))
         gained = now - before
         square = float(gained @ (gained / np.where(some, start, np.inf)))
         length = min(max(float(step @ gained) / square, 1.0), LONGEST_STEP) if square > 0 else 1.0
-    _, kept, now, lowest = best if np.linalg.norm(weight * budget - now) > best[0] else (0, len(steps), now, lowest)
-    steps = steps[:kept]
-    scale = 1 / lowest if uncut and 0 < lowest < 1 else 1.0
-    return Rates(steps, scale), dict(zip(domains, (now * scale).tolist()))
+    if far > best[0]:
+        _, kept, now = best
+        steps = steps[:kept]
+    missed = dict(zip(domains, (weight - now / max(1.0, now.sum())).tolist()))
+    if max(map(abs, missed.values())) > NOTABLE:
+        warnings.warn("mixing: expected shares miss their targets by "
+                      + ", ".join(f"{d} {v:+.4f}" for d, v in missed.items()), stacklevel=2)
+    return Rates(steps, least, missed), dict(zip(domains, now.tolist()))
 
 
 def copies(rate: Column, *key: Column) -> Column:
@@ -238,8 +253,6 @@ def resample(docs: DataFrame, model: Softmax | None, rates: Rates, id_col: str =
         m, r = shared.value
         for batch in batches:
             x = np.array([r.of(m.posterior(t.as_py())) for t in batch.column("text")])
-            # a rate that is one but for rounding stays one
-            x = np.maximum(x, 1.0) if r.scale != 1.0 else x
             times = np.floor(x) + (batch.column("u").to_numpy() < x - np.floor(x))
             at = pa.array(np.repeat(np.arange(batch.num_rows), times.astype(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column("row").take(at)], ["row"])

@@ -351,6 +351,29 @@ def test_rates_meet_targets(spark):
     assert mixing.fit_rates(df.limit(0), ["a"], {"a": 1})[0].of(np.array([1.0])) == 1.0
 
 
+@pytest.mark.parametrize("sharp", [3, 6, 12])
+def test_skewed_shares_lose_no_document(spark, sharp):
+    """Domains of 96.5, 3, 0.4 and 0.1 %, told apart badly, well and very well."""
+    rng = np.random.default_rng(0)
+    y = np.repeat(np.arange(4), [3860, 120, 16, 4])
+    z = rng.normal(0, 1, (len(y), 4))
+    z[np.arange(len(y)), y] += sharp
+    p = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
+    n = rng.integers(20, 600, len(y))
+    df = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(n, p)], "n_tokens long, p array<double>").coalesce(2).cache()
+    targets = {"de": 0.2, "en": 0.4, "es": 0.2, "fr": 0.2}
+    names = ["en", "de", "es", "fr"]
+    rates, expected = mixing.fit_rates(df, names, targets)
+    x = np.array([rates.of(q) for q in p])
+    assert x.min() >= 1.0 and df.select(mixing.copies(rates.column(F.col("p"), 4), F.col("n_tokens")).alias("c")).where("c < 1").count() == 0
+    got = (n * x) @ p
+    assert np.allclose(got, [expected[d] for d in names], rtol=1e-6)
+    smallest = max((n @ p)[i] / targets[d] for i, d in enumerate(names))
+    assert got.sum() < 3 * smallest
+    assert np.allclose([rates.missed[d] for d in names], [targets[d] - g / got.sum() for d, g in zip(names, got)])
+    assert max(map(abs, rates.missed.values())) < 0.01
+
+
 # ------------------------------------------------------------ pipeline
 def test_pipeline_stages_in_turn(spark, scratch):
     """Every stage against a plain form of what it decides."""
