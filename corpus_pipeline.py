@@ -46,9 +46,10 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats documents until the languages' expected words match the targets;
-    the budget is the smallest at which none is cut, so every document stays."""
+    no rate is under one, so every document stays. Languages without a target
+    keep their present share; targets without documents are warned of."""
     labelled = queries.labelled_domains(docs, table(spark, sf_dir, "labels"))
-    _, model, rates = mixing.mix(docs, labelled, queries.TARGETS)
+    _, model, rates = mixing.mix(docs, labelled, queries.TARGETS, keep=True)
     return mixing.resample(docs, model, rates)
 
 

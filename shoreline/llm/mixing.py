@@ -145,7 +145,7 @@ class Rates:
 
 
 def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float], budget: float | None = None,
-              tolerance: float = 1e-6, rounds: int = 60) -> tuple[Rates, dict[str, float]]:
+              tolerance: float = 1e-6, rounds: int = 60, keep: bool = False) -> tuple[Rates, dict[str, float]]:
     """(rates, expected tokens per domain) of the fit.
 
     ``targets`` are weights (normalised here; domains not named get 0). The
@@ -153,12 +153,18 @@ def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float],
     one, so that every document stays, and the budget begins at the smallest at
     which no domain must be cut and rises (see above) while that is too small;
     or it is the tokens there are if a domain that has some is to have none.
+    With ``keep`` every document stays also then: domains not named keep their
+    present share (the targets divide the rest), no rate is under one, and
+    ``budget`` must be None.
     Stops when no domain is off by more than
     ``tolerance`` of the budget, when ``STALLED`` rounds bring the residual down
     by less than a hundredth (the targets can't be met), or after ``rounds``;
     the best round counts. Shares missed by more than ``NOTABLE`` are warned of.
-    A domain without tokens can't be reached and is left out of the fit.
+    A domain without tokens can't be reached and is left out of the fit, which
+    is warned of if it has a target; ``missed`` is against the targets as given.
     """
+    if keep and budget is not None:
+        raise ValueError("a budget can cut documents: give either budget or keep")
     k = len(domains)
     p = F.col("p")
 
@@ -169,20 +175,26 @@ def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float],
 
     now = expected(Rates([]))
     start = now
-    weight = np.array([max(0.0, float(targets.get(d, 0.0))) for d in domains]) * (start > 0)
+    some = start > 0
+    asked = {d: max(0.0, float(v)) for d, v in targets.items()}
+    lacking = sorted(d for d, v in asked.items() if v > 0 and d not in set(np.array(domains, dtype=object)[some]))
+    if lacking:
+        warnings.warn(f"mixing: targets without any tokens of their domain: {', '.join(lacking)}", stacklevel=2)
+    weight = np.array([asked.get(d, 0.0) for d in domains]) * some
     steps: list[list[float]] = []
     if not weight.sum():
-        return Rates(steps), dict(zip(domains, now.tolist()))
-    weight /= weight.sum()
-    some = start > 0
-    uncut = budget is None and bool((weight[some] > 0).all())
+        return Rates(steps, missed=_missed(asked, domains, now)), dict(zip(domains, now.tolist()))
+    other = np.array([d not in asked for d in domains]) * start / start.sum() * keep
+    weight = weight / weight.sum() * (1 - other.sum()) + other
+    uncut = keep or budget is None and bool((weight[some] > 0).all())
     least = 1.0 if uncut else 0.0
     if budget is None:
-        budget = float((start[some] / weight[some]).max()) if uncut else float(start.sum())
+        meant = weight > 0
+        budget = float((start[meant] / weight[meant]).max()) if uncut else float(start.sum())
     length, best = 1.0, (np.inf, 0, now)
     for number in range(rounds + 1):
         if uncut and number and number % RISE_AFTER == 0:
-            budget = max(budget, min(float((now[some] / weight[some]).max()), RISE * budget))
+            budget = max(budget, min(float((now[meant] / weight[meant]).max()), RISE * budget))
         off = weight * budget - now
         far = float(np.linalg.norm(off)) / budget
         if far < 0.99 * best[0]:
@@ -199,13 +211,23 @@ def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float],
     if far > best[0]:
         _, kept, now = best
         steps = steps[:kept]
-    missed = dict(zip(domains, (weight - now / max(1.0, now.sum())).tolist()))
+    missed = _missed(asked, domains, now, dict(zip(domains, other.tolist())))
     if max(map(abs, missed.values())) > NOTABLE:
         warnings.warn("mixing: expected shares miss their targets by "
                       + ", ".join(f"{d} {v:+.4f}" for d, v in missed.items()), stacklevel=2)
     return Rates(steps, least, missed), dict(zip(domains, now.tolist()))
 
 
+def _missed(asked: dict[str, float], domains: list[str], now: np.ndarray, other: dict[str, float] | None = None) -> dict[str, float]:
+    """By domain, the share asked for less that of the tokens ``now``; ``other``
+    has the shares to keep of domains that ``asked`` does not name."""
+    total, kept = sum(asked.values()) or 1.0, other or {}
+    rest = 1 - sum(kept.values())
+    has = dict(zip(domains, (now / max(1.0, now.sum())).tolist()))
+    return {d: (asked[d] / total * rest if d in asked else kept.get(d, 0.0)) - has.get(d, 0.0)
+            for d in [*domains, *(d for d in asked if d not in has)]}
+
+
 def copies(rate: Column, *key: Column) -> Column:
     """Whole copies for a rate: its integer part, and one more with the
     probability of the rest, decided by a hash of ``key``."""
@@ -214,13 +236,14 @@ def copies(rate: Column, *key: Column) -> Column:
 
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text",
-        domain_col: str = "domain", budget: float | None = None) -> tuple[DataFrame, Softmax | None, Rates]:
+        domain_col: str = "domain", budget: float | None = None, keep: bool = False) -> tuple[DataFrame, Softmax | None, Rates]:
     """((``id_col``, n_tokens, domain, posterior, rate, copies) per row, the
     classifier, the fitted rates).
 
     ``domain`` is the likeliest domain. Null and empty texts have no tokens and
     get a rate like any other. Ids may be null or repeated: each row has its
-    own rate, equal rows equal ones. Without any labelled text every rate is
+    own rate, equal rows equal ones. ``budget`` and ``keep`` as for ``fit_rates``:
+    with ``keep`` no rate is under one, whatever domains there are. Without any labelled text every rate is
     one and the domain null. An empty table gives no rows, other columns are
     not read.
     """
@@ -231,7 +254,7 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col:
         return (out.withColumn("domain", F.lit(None).cast("string")).withColumn("posterior", F.lit(None).cast("double"))
                 .withColumn("rate", F.lit(1.0)).withColumn("copies", F.lit(1).cast("long"))), None, Rates([])
     members = materialise(memberships(docs, model, id_col, text_col))
-    rates, _ = fit_rates(members, model.domains, targets, budget)
+    rates, _ = fit_rates(members, model.domains, targets, budget, keep=keep)
     p = F.col("p")
     names = F.array(*[F.lit(d) for d in model.domains])
     return (members.withColumn("rate", rates.column(p, len(model.domains)))

@@ -374,6 +374,31 @@ def test_skewed_shares_lose_no_document(spark, sharp):
     assert max(map(abs, rates.missed.values())) < 0.01
 
 
+def test_languages_without_target_lose_no_document(spark):
+    rng = np.random.default_rng(3)
+    names = ["de", "en", "es", "fr", "it"]
+    p = rng.dirichlet([0.1, 0.6, 0.1, 0.1, 0.1], 400)
+    n = rng.integers(1, 900, 400)
+    df = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(n, p)], "n_tokens long, p array<double>").coalesce(2).cache()
+    rates, expected = mixing.fit_rates(df, names, {"en": 0.4, "de": 0.2, "es": 0.2, "fr": 0.2}, keep=True)
+    now = (n @ p) / n.sum()
+    assert min(rates.of(q) for q in p) >= 1.0
+    total = sum(expected.values())
+    assert abs(expected["it"] / total - now[4]) < 0.01 and abs(expected["en"] / total - 0.4 * (1 - now[4])) < 0.01
+    with pytest.warns(UserWarning, match="without any tokens of their domain: pt"):
+        rates, _ = mixing.fit_rates(df, names, {"en": 0.5, "pt": 0.5}, keep=True)
+    assert min(rates.of(q) for q in p) >= 1.0 and abs(rates.missed["pt"] - 0.5 * (now[1])) < 0.01
+    with pytest.raises(ValueError):
+        mixing.fit_rates(df, names, {"en": 1}, 100.0, keep=True)
+
+
+def test_mixing_stage_keeps_a_fifth_language(spark, scratch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("lang", F.expr("CASE WHEN doc_id % 7 = 3 THEN 'it' ELSE lang END"))
+    docs = docs.limit(300).cache()
+    out = dict(corpus_pipeline.STAGES)["mixing"](spark, docs, SF)
+    assert {r.doc_id for r in out.select("doc_id").collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
+
+
 # ------------------------------------------------------------ pipeline
 def test_pipeline_stages_in_turn(spark, scratch):
     """Every stage against a plain form of what it decides."""
