@@ -20,7 +20,8 @@ from shoreline.session import checkpoint_root
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the quality classifier scores under 0.7."""
+    """Drops the documents that the quality classifier scores under 0.7; without
+    a usable label there is no classifier and all stay."""
     model = quality.train(docs, table(spark, sf_dir, "labels"), usable=crc_mod("doc_id", 4) != 2)
     return quality.keep_good(docs, model)
 

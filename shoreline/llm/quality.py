@@ -181,12 +181,15 @@ def score(docs: DataFrame, model: NbSvm | None, id_col: str = "doc_id", text_col
 
 
 def keep_good(docs: DataFrame, model: NbSvm | None, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs``, all columns, whose score reaches ``threshold``."""
+    """The rows of ``docs``, all columns, whose score reaches ``threshold``;
+    without a model nothing has been judged, and all rows stay."""
+    if model is None:
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            good = [bool(m) and m.score(ngrams(t.as_py())) >= threshold for t in batch.column(text_col)]
+            good = [m.score(ngrams(t.as_py())) >= threshold for t in batch.column(text_col)]
             yield batch.filter(pa.array(good, pa.bool_()))
     return docs.mapInArrow(run, docs.schema)

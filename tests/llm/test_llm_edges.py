@@ -168,6 +168,15 @@ def test_stages(spark, nasty, scratch, name):
     assert stage(spark, docs.limit(0), "/root/testdata/sf0.001").count() == 0
 
 
+def test_quality_stage_without_labels_keeps_all(spark, nasty, labels, scratch):
+    docs = nasty.select("doc_id", "text", "lang", "source", "n_chars")
+    for name, some in (("empty", labels.limit(0)), ("strange", labels.where("doc_id = 99")), ("null", labels.where("quality IS NULL"))):
+        sf = scratch(f"labels_{name}")
+        some.write.parquet(f"{sf}/labels.parquet")
+        out = corpus_pipeline.quality_stage(spark, docs, sf)
+        assert out.columns == docs.columns and ids(out) == ids(docs)
+
+
 def test_near_duplicate_stage_keeps_one_of_each_group(spark, nasty):
     docs = nasty.select("doc_id", "text", "lang", "source", "n_chars")
     out = corpus_pipeline.near_duplicate_stage(spark, docs, "")
