@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shoreline.llm import attribution, bpe, chat, langid, linededup, mixing, quality, rules, simhash, vectors
+from shoreline.llm import attribution, bpe, bytebpe, chat, langid, linededup, mixing, quality, rules, simhash, vectors
 from shoreline.llm.common import only, table
 from shoreline.llm.sampling import crc_mod
 
@@ -73,6 +73,11 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(only(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text"))
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = only(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return bytebpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -80,7 +85,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_line_dedup, op3_embedding_near_dup, op4_simhash_near_dup, op5_source_mixing,
-    op6_quality_classifier, op7_bpe, op8_token_counts, op9_quality_rules, op10_chat_formatting, pipeline)}
+    op6_quality_classifier, op7_bpe, op8_token_counts, op9_quality_rules, op10_chat_formatting, op13_byte_bpe, pipeline)}
 
 WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
