@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shoreline.llm import attribution, bpe, bytebpe, chat, langid, linededup, mixing, quality, rules, simhash, vectors
+from shoreline.llm import attribution, bpe, bytebpe, chat, langid, linededup, merkle, mixing, quality, rules, simhash, vectors
 from shoreline.llm.common import only, table
 from shoreline.llm.sampling import crc_mod
 
@@ -73,6 +73,16 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(only(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose id's crc32 is even are checked with the line ends of their text lost."""
+    docs = only(table(spark, sf_dir, "documents"), "doc_id", "source", "lang", "n_chars", "text")
+    found = F.when(crc_mod("doc_id", 2) == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    out = merkle.verify(docs, found)
+    return out.select("doc_id", *[merkle.hexed(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")],
+                      F.sha2(merkle.hexed(F.col("proof")), 256).alias("proof_sha256"),
+                      merkle.hexed(F.col("folded")).alias("folded_root"), "verified")
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = only(table(spark, sf_dir, "documents"), "doc_id", "text")
     return bytebpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -85,11 +95,27 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_line_dedup, op3_embedding_near_dup, op4_simhash_near_dup, op5_source_mixing,
-    op6_quality_classifier, op7_bpe, op8_token_counts, op9_quality_rules, op10_chat_formatting, op13_byte_bpe, pipeline)}
+    op6_quality_classifier, op7_bpe, op8_token_counts, op9_quality_rules, op10_chat_formatting,
+    op12_merkle_manifest, op13_byte_bpe, pipeline)}
 
 WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+
+
+def crc32_sql(text: str) -> str:
+    """Unsigned crc32 of ASCII ``text`` in DuckDB: bit by bit, eight steps a character."""
+    return (f"xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split({text}, ''), lambda c: ascii(c)::UBIGINT)), "
+            "lambda s, b: list_reduce([xor(s, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384::UBIGINT * (x & 1)))), "
+            "4294967295::UBIGINT)")
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}::VARCHAR, '-')"
+
+
+_FIELDS = " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+
 ORACLE: dict[str, str] = {
     "op2_line_dedup": f"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
@@ -132,6 +158,32 @@ b AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(text, '[
   FROM d LEFT JOIN u ON u.doc_id = d.doc_id LEFT JOIN o ON o.doc_id = d.doc_id LEFT JOIN r ON r.doc_id = d.doc_id),
 q AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM b)
 SELECT *, NOT base_failed AND word_chars - removed_chars >= 0.5 * word_chars AS kept FROM q""",
+    "op12_merkle_manifest": f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, source, sha256({_FIELDS} || {_field("text")}) AS leaf,
+    CASE WHEN {crc32_sql("doc_id::VARCHAR")} % 2 = 0 THEN sha256({_FIELDS} || {_field("replace(text, chr(10), '')")}) END AS bad FROM documents),
+s AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM (SELECT DISTINCT source FROM d)),
+l AS (SELECT rid, doc_id, tree, leaf, coalesce(bad, leaf) AS found,
+    row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx
+  FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
+u AS (SELECT tree, 0 AS lvl, idx, leaf AS digest FROM l
+  UNION ALL SELECT tree, lvl + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx))
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM u) WHERE n > 1 GROUP BY tree, lvl + 1, idx // 3),
+r AS (SELECT tree, arg_max(digest, lvl) AS subroot, max(lvl) AS height FROM u GROUP BY tree),
+t AS (SELECT 0 AS lvl, tree AS idx, subroot AS digest FROM r
+  UNION ALL SELECT lvl + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx))
+  FROM (SELECT *, count(*) OVER () AS n FROM t) WHERE n > 1 GROUP BY lvl + 1, idx // 3),
+a AS (SELECT u.*, lvl = height AS top FROM u JOIN r USING (tree)
+  UNION ALL SELECT -1, lvl, idx, digest, lvl = (SELECT max(lvl) FROM t) FROM t),
+n AS (SELECT *, coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lft,
+    coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rgt
+  FROM a WINDOW w AS (PARTITION BY tree, lvl, idx // 3 ORDER BY idx)),
+c AS (SELECT rid, tree, 0 AS lvl, idx, found AS folded, '' AS proof FROM l
+  UNION ALL SELECT rid, CASE WHEN top THEN -1 ELSE c.tree END, CASE WHEN top THEN 0 ELSE c.lvl + 1 END,
+    CASE WHEN top THEN c.tree ELSE c.idx // 3 END, CASE WHEN top THEN folded ELSE sha256(lft || folded || rgt) END,
+    CASE WHEN top THEN proof ELSE proof || lft || rgt END
+  FROM c JOIN n ON c.tree = n.tree AND c.lvl = n.lvl AND c.idx = n.idx WHERE NOT (top AND c.tree = -1))
+SELECT l.doc_id, l.leaf, r.subroot, n.digest AS root, sha256(c.proof) AS proof_sha256, c.folded AS folded_root, c.folded = n.digest AS verified
+FROM c JOIN n ON c.tree = -1 AND n.tree = -1 AND n.top AND c.lvl = n.lvl JOIN l USING (rid) JOIN r ON r.tree = l.tree""",
     "op10_chat_formatting": r"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text FROM conversations),
 p AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> 'system'),
