@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shoreline.llm import attribution, bpe, bytebpe, chat, langid, linededup, merkle, mixing, quality, rules, simhash, vectors
+from shoreline.llm import attribution, bpe, bytebpe, chat, convtrie, langid, linededup, merkle, mixing, quality, rules, simhash, vectors
 from shoreline.llm.common import only, table
 from shoreline.llm.sampling import crc_mod
 
@@ -73,6 +73,13 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(only(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations share openings: the first few turns of each hundred's first one."""
+    own = convtrie.ordered_turns(only(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text"))
+    convs, turns = convtrie.shared_openings(own, F.col("c") - F.col("c") % 100, crc_mod("c", 6))
+    return convtrie.trie(convs, turns)
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows whose id's crc32 is even are checked with the line ends of their text lost."""
     docs = only(table(spark, sf_dir, "documents"), "doc_id", "source", "lang", "n_chars", "text")
@@ -96,7 +103,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_line_dedup, op3_embedding_near_dup, op4_simhash_near_dup, op5_source_mixing,
     op6_quality_classifier, op7_bpe, op8_token_counts, op9_quality_rules, op10_chat_formatting,
-    op12_merkle_manifest, op13_byte_bpe, pipeline)}
+    op11_conversation_trie, op12_merkle_manifest, op13_byte_bpe, pipeline)}
 
 WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -158,6 +165,24 @@ b AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(text, '[
   FROM d LEFT JOIN u ON u.doc_id = d.doc_id LEFT JOIN o ON o.doc_id = d.doc_id LEFT JOIN r ON r.doc_id = d.doc_id),
 q AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM b)
 SELECT *, NOT base_failed AND word_chars - removed_chars >= 0.5 * word_chars AS kept FROM q""",
+    "op11_conversation_trie": f"""
+WITH t AS (SELECT conv_id AS c, length(coalesce(text, '')) AS chars, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS g,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), g) - 1 AS pos FROM conversations WHERE conv_id IS NOT NULL),
+v AS (SELECT DISTINCT c, c - c % 100 AS base, {crc32_sql("c::VARCHAR")} % 6 AS h FROM t),
+o AS (SELECT v.c, pos, g, chars FROM v JOIN t ON t.c = v.base AND pos < h),
+k AS (SELECT c, count(*) AS n FROM o GROUP BY c),
+b AS (SELECT * FROM o UNION ALL SELECT v.c, coalesce(k.n, 0) + pos - h, g, chars FROM v JOIN t ON t.c = v.c AND pos >= h LEFT JOIN k ON k.c = v.c),
+p AS (SELECT c, pos + 1 AS depth, string_agg(g, '') OVER (PARTITION BY c ORDER BY pos) AS prefix, chars FROM b UNION ALL SELECT c, 0, '', 0 FROM v),
+q AS (SELECT *, min(c) OVER w AS m, count(*) OVER w AS n_convs FROM p WINDOW w AS (PARTITION BY depth, prefix)),
+n AS (SELECT q.m, q.depth, u.m AS up, q.n_convs, (q.n_convs - 1) * q.chars AS saved FROM q LEFT JOIN q u ON u.c = q.c AND u.depth = q.depth - 1 WHERE q.c = q.m),
+f AS (SELECT up AS m, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+x AS (SELECT q.m, q.depth, count(*) FILTER (f.m IS NULL) AS n_leaves, sum(n.saved) AS saved_tokens
+  FROM n JOIN q ON q.c = n.m AND q.depth <= n.depth LEFT JOIN f ON f.m = n.m AND f.depth = n.depth GROUP BY q.m, q.depth),
+e AS (SELECT m, depth, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS ends FROM q
+  WHERE depth = (SELECT max(z.depth) FROM p z WHERE z.c = q.c) GROUP BY m, depth)
+SELECT n.m AS conv_id, n.depth, n.up AS parent_conv_id, n.n_convs, coalesce(f.n_children, 0) AS n_children, x.n_leaves::BIGINT AS n_leaves,
+  x.saved_tokens::BIGINT AS saved_tokens, coalesce(e.ends, sha256('')) AS ends_sha256
+FROM n JOIN x ON x.m = n.m AND x.depth = n.depth LEFT JOIN f ON f.m = n.m AND f.depth = n.depth LEFT JOIN e ON e.m = n.m AND e.depth = n.depth""",
     "op12_merkle_manifest": f"""
 WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, source, sha256({_FIELDS} || {_field("text")}) AS leaf,
     CASE WHEN {crc32_sql("doc_id::VARCHAR")} % 2 = 0 THEN sha256({_FIELDS} || {_field("replace(text, chr(10), '')")}) END AS bad FROM documents),
