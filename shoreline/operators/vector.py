@@ -5,12 +5,10 @@ with NumPy and keeps a local top-k; ``orderBy(distance, key).limit(k)`` over
 those rows plans as ``TakeOrderedAndProject``; no full sort, no shuffle of
 the corpus. ``search_expr`` does the same with a JVM expression distance.
 
-Many queries: the query matrix (size checked) is broadcast; each corpus
-partition computes a distance matrix per Arrow batch with NumPy and keeps
-only its local top-k per query (plus ties within the rounding margin), so the
-shuffle carries at most ``queries × k × partitions`` rows; a per-query
-``row_number`` then picks the global top-k. Query × corpus pairs are never
-materialised as rows.
+Many queries: ``vector_blocks`` joins blocks of queries with blocks of the
+corpus; each task keeps only its top-k per query (plus ties within the
+rounding margin) and a per-query ``row_number`` picks the global top-k. Pairs
+of vectors are never rows.
 """
 
 from __future__ import annotations
@@ -19,23 +17,21 @@ from typing import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoreline.functions import embed as E
 from shoreline.functions import vectors as V
 from shoreline.operators import read as R
+from shoreline.operators import vector_blocks
 from shoreline.operators.partitioning import spread
-from shoreline.operators.stage import materialize
 
 # Default projection of an asset search and the k rule.
 DEFAULT_COLUMNS = ("id", "file_id", "name", "mime_type", "size", "updated_at")
 DEFAULT_K = 5
 DISTANCE_DIGITS = 6
 SIMILARITY_DIGITS = 4
-# Upper bound on the broadcast query matrix (queries × dim doubles).
-MAX_QUERY_MATRIX_BYTES = 64 * 1024 * 1024
 # Upper bound on one tile of a task's distance matrix.
 TILE_BYTES = 16 * 1024 * 1024
 
@@ -216,70 +212,15 @@ def _trim(cur: pd.DataFrame, k: int, margin: float, key: str) -> pd.DataFrame:
 def search_batch(corpus: DataFrame, queries: DataFrame, k=DEFAULT_K, embedding_col: str = "embedding",
                  key: str = "id", query_id: str = "query_id", query_vector_col: str = "vector",
                  columns=None, where=None, metric: str = V.COSINE) -> DataFrame:
-    """Top-k per query for a batch of queries (``query_id``, vector).
+    """Top-k per query for a batch of queries (``query_id``, vector): query_id,
+    key, ``columns``, distance, similarity and rank.
 
-    The query side must fit the broadcast bound (checked before it is
-    collected); larger query sets are split into groups that each fit, and
-    each group scans the corpus once."""
-    n = top_k(k)
-    m = (metric or V.COSINE).upper()
+    Any number of queries: they are a DataFrame, which meets the corpus by a
+    join of blocks (``vector_blocks``). Query ids must be unique and the
+    vectors of one length; NULL query vectors are left out, one that is zero
+    or holds NULL or NaN has no rows (by cosine; zero has a euclidean distance)."""
     emb = embedding_col.replace("`", "")
     payload = [c for c in (columns or []) if c not in (key, emb)]
-    qsel = queries.select(F.col(query_id).alias("query_id"),
-                          F.col(query_vector_col).cast("array<double>").alias("v")).where(F.col("v").isNotNull())
-    dims = qsel.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("dim"),
-                    F.min(F.size("v")).alias("min_dim")).first()
-    if not dims["n"]:
-        raise ValueError("no query vectors")
-    if dims["min_dim"] != dims["dim"]:
-        raise ValueError(f"query vectors differ in length ({dims['min_dim']} to {dims['dim']}); "
-                         "every query needs the corpus vector length")
-    per_group = max(1, MAX_QUERY_MATRIX_BYTES // (8 * max(1, dims["dim"])))
-    base = corpus.where(F.col(R.quote(emb)).isNotNull())
     cond = R.predicate(where)
-    if cond is not None:
-        base = base.where(cond)
-    base = spread(base.select(F.col(R.quote(key)), *[F.col(R.quote(c)) for c in payload],
-                              F.col(R.quote(emb)).cast("array<double>").alias("_emb")))
-    key_type = corpus.schema[key].dataType
-    qid_type = qsel.schema["query_id"].dataType
-    out_schema = T.StructType([T.StructField("query_id", qid_type), T.StructField(key, key_type)]
-                              + [corpus.schema[c] for c in payload]
-                              + [T.StructField("_d", T.DoubleType())])
-    sc = corpus.sparkSession.sparkContext
-    groups = 1 if dims["n"] <= per_group else 2 * -(-dims["n"] // per_group)
-    results = []
-    if groups > 1:
-        # Several collects follow: compute the query vectors once. Groups come
-        # from a hash of the query id; their sizes are counted (one row per
-        # group) and the group count doubles until every group fits the bound.
-        qsel, _ = materialize(qsel, "query_vectors")
-        while True:
-            qgrouped = qsel.withColumn("_g", F.pmod(F.xxhash64("query_id"), F.lit(groups)))
-            largest = qgrouped.groupBy("_g").count().agg(F.max("count")).first()[0]
-            if largest <= per_group:
-                break
-            if groups > 64 * dims["n"]:  # only repeated query ids can share every split
-                raise ValueError("query ids must be unique in a batch search")
-            groups *= 2
-    else:
-        qgrouped = qsel
-    for g in range(groups):
-        part = qgrouped.where(F.col("_g") == g) if groups > 1 else qgrouped
-        rows = part.select("query_id", "v").collect()  # bounded by MAX_QUERY_MATRIX_BYTES
-        if not rows:
-            continue
-        qids = np.array([r["query_id"] for r in rows], dtype=object)
-        bc = sc.broadcast(np.array([r["v"] for r in rows], dtype=np.float64))
-        fn = _local_topk("_emb", key, payload, qids, bc, m, n, 10.0 ** -DISTANCE_DIGITS)
-        results.append(base.mapInPandas(fn, out_schema))
-    local = results[0]
-    for r in results[1:]:
-        local = local.unionByName(r)
-    w = Window.partitionBy("query_id").orderBy(F.col("distance").asc(), F.col(R.quote(key)).asc())
-    ranked = (local.withColumn("distance", F.round("_d", DISTANCE_DIGITS))
-              .withColumn("similarity", F.round(F.lit(1.0) - F.col("_d"), SIMILARITY_DIGITS))
-              .withColumn("rank", F.row_number().over(w))
-              .where(F.col("rank") <= n))
-    return ranked.select("query_id", F.col(R.quote(key)), *[F.col(R.quote(c)) for c in payload],
-                         "distance", "similarity", "rank")
+    return vector_blocks.search_batch(corpus if cond is None else corpus.where(cond), queries, top_k(k), emb, key, query_id,
+                                      query_vector_col, payload, metric, DISTANCE_DIGITS, SIMILARITY_DIGITS)

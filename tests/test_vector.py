@@ -7,6 +7,7 @@ import pytest
 
 from shoreline.functions import embed as E
 from shoreline.operators import vector as VS
+from shoreline.operators import vector_blocks as VB
 
 
 @pytest.fixture
@@ -120,12 +121,39 @@ def test_vectors_with_null_or_nan_elements_get_no_distance(spark):
         assert sorted(r.vec_id for r in batch) == [3, 4]
 
 
-def test_batch_in_several_query_groups(spark, vectors, monkeypatch):
-    # a query-matrix bound of one query per group: every group scans the
-    # corpus once and the union equals the single-group result
-    queries = spark.createDataFrame([(10, [1.0, 0.0, 0.0]), (11, [0.2, 0.3, 0.9]), (12, [0.0, 1.0, 0.0])],
-                                    "query_id long, vector array<double>")
-    one = sorted(tuple(r) for r in VS.search_batch(vectors, queries, k=3, key="vec_id").collect())
-    monkeypatch.setattr(VS, "MAX_QUERY_MATRIX_BYTES", 24)
-    many = sorted(tuple(r) for r in VS.search_batch(vectors, queries, k=3, key="vec_id").collect())
-    assert many == one and len(one) == 9
+@pytest.mark.parametrize("broadcast", [True, False])
+@pytest.mark.parametrize("metric", ["COSINE", "EUCLIDEAN"])
+def test_every_vector_as_a_query(spark, monkeypatch, metric, broadcast):
+    """Blocks of a few vectors, the query side broadcast or shuffled: equal to
+    brute force over all pairs, with ties, zero, null and short vectors."""
+    monkeypatch.setattr(VB, "BLOCK_BYTES", 3 * 8 * 7)
+    monkeypatch.setattr(VB, "GROUP_BLOCKS", 4)
+    if not broadcast:
+        monkeypatch.setattr(VB, "BROADCAST_BYTES", 100)
+    rnd = np.random.default_rng(5)
+    rows = [(i, [0.5, 0.5, 0.5] if i % 3 == 0 else rnd.normal(size=3).round(2).tolist(), f"t{i}") for i in range(90)]
+    rows += [(900, None, "n"), (901, [0.0, 0.0, 0.0], "z"), (902, [1.0, 2.0], "s"), (903, [None, 1.0, 0.0], "e")]
+    corpus = spark.createDataFrame(rows, "vec_id long, embedding array<double>, tag string").repartition(6)
+    queries = corpus.where("size(embedding) = 3 AND vec_id <> 903").select(corpus.vec_id.alias("query_id"), corpus.embedding.alias("vector"))
+    out = VS.search_batch(corpus, queries, k=4, key="vec_id", columns=["tag"], metric=metric)
+    got = {}
+    for r in sorted(out.collect(), key=lambda r: r["rank"]):
+        assert r.tag == dict((a, c) for a, _, c in rows)[r.vec_id]
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    plain = [r for r in rows if r[0] != 903]
+    want = {i: brute(plain, v, metric)[:4] for i, v, _ in plain if v is not None and len(v) == 3}
+    assert got == {i: w for i, w in want.items() if w}
+
+
+def test_batch_plan_has_no_vector_pairs(spark, vectors, monkeypatch):
+    queries = spark.createDataFrame([(10, [1.0, 0.0, 0.0]), (11, [0.2, 0.3, 0.9])], "query_id long, vector array<double>")
+    plan = VS.search_batch(vectors, queries, k=3, key="vec_id")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_batch_refuses_repeated_ids_and_no_queries(spark, vectors):
+    queries = spark.createDataFrame([(10, [1.0, 0.0, 0.0]), (10, [0.2, 0.3, 0.9])], "query_id long, vector array<double>")
+    with pytest.raises(ValueError, match="unique"):
+        VS.search_batch(vectors, queries, k=3, key="vec_id")
+    with pytest.raises(ValueError, match="no query"):
+        VS.search_batch(vectors, queries.limit(0), k=3, key="vec_id")
