@@ -661,20 +661,21 @@ def sql_join_agg(spark, sf_dir):
 
 # ------------------------------------------------------------ streaming
 def stream_merge(spark, sf_dir):
-    """The event change set arrives as a stream of files, some keys twice (the
-    later change counts); each micro-batch goes through the guarded merge
-    (partial mode), replay-safe. The table's rows and the changes that
-    could not be applied."""
+    """The event change set arrives as a stream of files, one per micro-batch;
+    older changes of some keys come after the newer ones, in later files, and
+    don't count. Each micro-batch goes through the guarded merge (partial
+    mode), replay-safe. The table's rows and the changes that could not be
+    applied."""
     _prep(spark)
     from shoreline.streaming.writeback import read_conflicts, stream_merge as run
     t = _events_table(spark, sf_dir, "events_stream")
     src = scratch_path(spark, "change_stream")
     changes = FX.event_changes(spark, sf_dir).withColumn("seq", F.lit(2))
     older = changes.where("_action = 'UPDATE'").withColumns({"value": F.lit(-1.0), "seq": F.lit(1)})
-    changes = changes.unionByName(older)
-    changes.repartition("event_id").write.parquet(src)
+    for part in (changes, older):  # files are read in the order of their times
+        part.repartition(2, "event_id").write.mode("append").parquet(src)
     run(spark, src, changes.schema, t, scratch_path(spark, "stream_ckpt"), key="event_id",
-        version_col="ts", order_col="seq", files_per_batch=8)
+        version_col="ts", order_col="seq", files_per_batch=1)
     none = F.lit(None).cast("string")
     return t.read().select("event_id", "event_type", "value", none.alias("action"), none.alias("reason")).unionByName(
         read_conflicts(t).select("event_id", none.alias("event_type"), F.lit(None).cast("double").alias("value"),

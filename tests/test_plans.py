@@ -35,7 +35,7 @@ def test_batch_search_limits_per_query_before_shuffle(spark):
     emb = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
     qs = emb.where("vec_id < 3").selectExpr("vec_id as query_id", "embedding as vector")
     p = formatted(VS.search_batch(emb, qs, k=5, key="vec_id"))
-    assert "MapInPandas" in p and "WindowGroupLimit" in p
+    assert "MapInArrow" in p and "WindowGroupLimit" in p
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
