@@ -17,6 +17,7 @@ from shoreline.sources.tables import load
 # Fixed values shared with the SQL oracles.
 COMMIT_TIME = datetime(2024, 2, 1, 12, 0, 0)
 COMMIT_TIME_2 = datetime(2024, 2, 2, 8, 30, 0)
+HOT_TIME = "2024-01-15 12:00:00"
 PRODUCT_EPOCH = "2024-01-01 00:00:00"
 EDIT_MOD = 50
 NEW_KEY_OFFSET = 1_000_000_000

@@ -314,6 +314,7 @@ def _catalog_rows(skip: tuple = ()) -> str:
 
 
 def _oracle_batch_two() -> dict[str, str]:
+    from shoreline.plans import fixtures as FX
     from shoreline.plans.queries import EXTERNAL_TEST_THRESHOLD as EXT, SQL_JOIN_AGG
     merge_final = ORACLE["merge_occ"]
     return {
@@ -451,6 +452,16 @@ FROM information_schema.columns WHERE table_name = 'lineitem'""",
 SELECT event_id, event_type, value, CAST(NULL AS VARCHAR) AS action, CAST(NULL AS VARCHAR) AS reason FROM rows
 UNION ALL
 SELECT event_id, NULL, NULL, _action, _reason FROM conflicts""",
+        "range_join": f"""
+WITH e AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN TIMESTAMP '{FX.HOT_TIME}' + to_seconds(event_id % 600) ELSE ts END AS at FROM events),
+w AS (SELECT o_orderkey, TIMESTAMP '{FX.PRODUCT_EPOCH}' + to_seconds(o_orderkey * 173 % 2592000) AS opens,
+  60 + o_custkey % 600 + CASE WHEN o_orderkey % 2000 = 0 THEN 86400 ELSE 0 END AS size FROM orders)
+SELECT event_id, o_orderkey FROM e JOIN w ON e.at >= w.opens AND e.at < w.opens + to_seconds(size)""",
+        "asof_join": """
+WITH e AS (SELECT *, CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END AS u FROM events),
+v AS (SELECT u, ts, max(event_id) AS view_id FROM e WHERE event_type = 'view' GROUP BY u, ts)
+SELECT a.event_id, a.u AS "user", a.event_type, v.view_id, date_sub('second', v.ts, a.ts) AS seconds
+FROM (SELECT * FROM e WHERE event_type IN ('purchase', 'error')) a ASOF LEFT JOIN v ON a.u = v.u AND a.ts >= v.ts""",
         "stream_assets": """
 SELECT lang, 'text/plain' AS mime_type, CAST(strlen(text) + 1 AS BIGINT) AS size, md5(text || chr(10)) AS md5
 FROM documents""",

@@ -17,6 +17,7 @@ from shoreline.functions import vectors as VF
 from shoreline.operators import assets as A
 from shoreline.operators import cdc
 from shoreline.operators import export as X
+from shoreline.operators import joins as J
 from shoreline.operators import merge as M
 from shoreline.operators import quality as Q
 from shoreline.operators import read as R
@@ -462,8 +463,7 @@ def asset_externalize(spark, sf_dir):
     assets = A.to_assets(blobs, A.asset_schema(), now=FX.COMMIT_TIME)
     store = scratch_path(spark, "object_store")
     out = A.externalize(assets, store, threshold=EXTERNAL_TEST_THRESHOLD)
-    stored = A.read_external(spark, store).select(A.object_url(store, F.col("object_key")).alias("url"),
-                                                  F.md5("data").alias("stored_md5"))
+    stored = A.read_external(spark, store).select("url", F.md5("data").alias("stored_md5"))
     return out.join(stored, "url", "left").select(
         "id", "size", F.col("_route").alias("route"), F.col("_object_key").alias("object_key"),
         F.col("data").isNotNull().alias("has_data"), "stored_md5")
@@ -659,6 +659,33 @@ def sql_join_agg(spark, sf_dir):
     return spark.sql(SQL_JOIN_AGG)
 
 
+# ---------------------------------------------------------------- joins
+def range_join(spark, sf_dir):
+    """Events inside order windows of minutes, some of a day; a third of the
+    events fall into ten minutes."""
+    _prep(spark)
+    hot = F.timestamp_add("SECOND", (F.col("event_id") % 600).cast("int"), F.lit(FX.HOT_TIME).cast("timestamp_ntz"))
+    events = load(spark, sf_dir, "events").select(
+        "event_id", F.when(F.col("event_id") % 3 == 0, hot).otherwise(F.col("ts")).alias("at"))
+    opens = F.timestamp_add("SECOND", (F.col("o_orderkey") * 173 % 2_592_000).cast("int"), F.lit(FX.PRODUCT_EPOCH).cast("timestamp_ntz"))
+    size = 60 + F.col("o_custkey") % 600 + F.when(F.col("o_orderkey") % 2000 == 0, 86_400).otherwise(0)
+    windows = (load(spark, sf_dir, "orders").select("o_orderkey", opens.alias("opens"), size.cast("int").alias("size"))
+               .select("o_orderkey", "opens", F.timestamp_add("SECOND", F.col("size"), F.col("opens")).alias("closes")))
+    return J.range_join(events, windows, "at", ("opens", "closes"), closed="left").select("event_id", "o_orderkey")
+
+
+def asof_join(spark, sf_dir):
+    """Each purchase or error with its user's last view before; one user has a
+    third of all events."""
+    _prep(spark)
+    user = F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id"))
+    e = load(spark, sf_dir, "events").withColumn("user", user)
+    acts = e.where("event_type IN ('purchase', 'error')").select("event_id", "user", "event_type", "ts")
+    views = e.where("event_type = 'view'").select("user", F.col("event_id").alias("view_id"), F.col("ts").alias("viewed_at"))
+    out = J.asof_join(acts, views, ("ts", "viewed_at"), on="user", order="view_id")
+    return out.select("event_id", "user", "event_type", "view_id", TM.whole_seconds_between(F.col("ts"), F.col("viewed_at")).alias("seconds"))
+
+
 # ------------------------------------------------------------ streaming
 def stream_merge(spark, sf_dir):
     """The event change set arrives as a stream of files, one per micro-batch;
