@@ -78,12 +78,15 @@ class Layout:
     ``_p<i>`` used as a directory level) and up to four clustering columns
     (range-partitioned and sorted inside files for min/max skipping; with
     ``local_sort`` rows are only sorted in the task that read them, so wide
-    rows such as blobs are never shuffled)."""
+    rows such as blobs are never shuffled). Columns in ``bloom_by`` get
+    Parquet's own Bloom filters, so a look-up by keys skips row groups also
+    where the keys lie scattered."""
 
     partition_by: list[str] = field(default_factory=list)
     cluster_by: list[str] = field(default_factory=list)
     vector_dims: dict[str, int] = field(default_factory=dict)
     local_sort: bool = False
+    bloom_by: list[str] = field(default_factory=list)
 
     def partition_columns(self) -> list[str]:
         return [f"_p{i}" for i in range(len(self.partition_by))]
@@ -95,7 +98,14 @@ class Layout:
 
     def to_json(self) -> dict:
         return {"partition_by": self.partition_by, "cluster_by": self.cluster_by,
-                "vector_dims": self.vector_dims, "local_sort": self.local_sort}
+                "vector_dims": self.vector_dims, "local_sort": self.local_sort, "bloom_by": self.bloom_by}
+
+    def write_options(self) -> dict[str, str]:
+        """Parquet options of a data write: filters sized to what a row group holds."""
+        out = {}
+        for c in self.bloom_by:
+            out |= {f"parquet.bloom.filter.enabled#{c}": "true", f"parquet.bloom.filter.adaptive.enabled#{c}": "true"}
+        return out
 
 
 _DATE_FN = re.compile(r"^\s*DATE\s*\((.+)\)\s*$", re.IGNORECASE)

@@ -191,7 +191,7 @@ class VersionedTable:
     def layout(self) -> Layout:
         d = self._commit_at(self.version).layout
         return Layout(list(d.get("partition_by", [])), list(d.get("cluster_by", [])),
-                      dict(d.get("vector_dims", {})), bool(d.get("local_sort", False)))
+                      dict(d.get("vector_dims", {})), bool(d.get("local_sort", False)), list(d.get("bloom_by", [])))
 
     @property
     def columns(self) -> list[str]:
@@ -215,11 +215,12 @@ class VersionedTable:
     def create(cls, spark: SparkSession, path: str, schema, *, partition_by=None,
                cluster_by=None, name: str | None = None, data: DataFrame | None = None,
                now: datetime | None = None, vector_dims: dict[str, int] | None = None,
-               local_sort: bool = False) -> "VersionedTable":
+               local_sort: bool = False, bloom_by=()) -> "VersionedTable":
         """Create-or-replace: an existing table at ``path`` gets a new base
         version with the new schema; its history stays readable by version.
         ``vector_dims`` fixes the length of array columns (checked at write);
-        ``local_sort`` clusters without a shuffle (see ``Layout``)."""
+        ``local_sort`` clusters without a shuffle and ``bloom_by`` names columns
+        with Bloom filters (see ``Layout``)."""
         struct = to_struct(schema)
         layout = normalize_layout(struct, partition_by, cluster_by)
         for c in (vector_dims or {}):
@@ -227,6 +228,10 @@ class VersionedTable:
                 raise SchemaError(f"vector column '{c}' must be an array column of the table")
         layout.vector_dims = {c: int(n) for c, n in (vector_dims or {}).items()}
         layout.local_sort = local_sort
+        layout.bloom_by = [bloom_by] if isinstance(bloom_by, str) else list(bloom_by)
+        for c in layout.bloom_by:
+            if c not in struct.fieldNames():
+                raise SchemaError(f"Bloom filter column '{c}' must be a column of the table")
         probe = layout.with_partition_columns(spark.createDataFrame([], struct))
         ptypes = {c: probe.schema[c].dataType.simpleString() for c in layout.partition_columns()}
         table = cls(spark, path, name)
@@ -458,7 +463,7 @@ class VersionedTable:
                     rows = rows.where(kept)
                 if carry:
                     rows = rows.drop(*carry)
-                (rows.write.mode("errorifexists")
+                (rows.write.mode("errorifexists").options(**layout.write_options())
                  .partitionBy(*layout.partition_columns()).parquet(data_path))
                 got = obs.get
                 added = int(got["n"] or 0)
