@@ -22,6 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from shoreline.llm.bytebpe import Splitter
+
 RULES = ("start", "end", "majority")
 
 
@@ -36,11 +38,30 @@ def load_encoding(path: str, pattern: str):
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), lengths
 
 
+_SPLITTERS: dict[str, Splitter] = {}
+
+
+def _encode_pieces(text: str, encoding) -> np.ndarray:
+    pattern = encoding._pat_str
+    cut = _SPLITTERS.get(pattern) or _SPLITTERS.setdefault(pattern, Splitter(pattern))
+    known: dict[str, list[int]] = {}
+    out = []
+    for piece in cut.split(text):
+        if piece not in known:
+            known[piece] = encoding._encode_single_piece(piece)
+        out.append(np.array(known[piece], dtype=np.int64))
+    return np.concatenate(out) if out else np.zeros(0, dtype=np.int64)
+
+
 def token_spans(text: str, encoding, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Character spans [start, end) of the tokens of ``text``; a token that
     holds a part of a character spans that character."""
     raw = text.encode("utf-8", "surrogatepass")
-    ends = np.cumsum(lengths[encoding.encode_to_numpy(text, allowed_special=set(), disallowed_special=()).astype(np.int64)])
+    try:
+        ids = encoding.encode_to_numpy(text, allowed_special=set(), disallowed_special=()).astype(np.int64)
+    except ValueError:  # a run of blanks too long for the library's matcher: cut elsewhere, each piece encoded by the library
+        ids = _encode_pieces(text, encoding)
+    ends = np.cumsum(lengths[ids])
     if not len(ends):
         return ends, ends
     char = np.cumsum((np.frombuffer(raw, dtype=np.uint8) & 0xC0) != 0x80) - 1
@@ -135,7 +156,8 @@ def token_counts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id
     The fields are joined by ``sep`` and encoded as one text with the tiktoken
     ranks at ``path``; ``n_crossing`` counts a section's tokens that also lie in
     another one. Null fields give no row, a document of null fields none at
-    all; an empty text is one empty section without tokens. Ids may be null or
+    all; an empty text is one empty section without tokens. Runs of blanks,
+    line ends or letters may have any length. Ids may be null or
     repeated; an empty table gives no rows; other columns are not read.
     """
     if rule not in RULES:
