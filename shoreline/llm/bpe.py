@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame, functions as F
 
 #: Words (and chunks) a worker remembers before it forgets those not in use, and the longest chunk it keeps.
 REMEMBERED, LONGEST = 600_000, 256
+#: A longer word shares no prefix worth a trie node per symbol; it is encoded along its own path.
+TRIE_SYMBOLS = 10_000
 
 
 class TrieEncoder:
@@ -102,28 +104,31 @@ class TrieEncoder:
     def encode_words(self, words) -> dict[str, list[int]]:
         """Token ids of each distinct word of symbols (no special tokens)."""
         trie: dict = {}
+        long = [w for w in words if len(w) > TRIE_SYMBOLS]
         for word in words:
+            if len(word) > TRIE_SYMBOLS:
+                continue
             node = trie
             for symbol in word[:-1]:
                 below = node.get(symbol)
                 if below is None:
                     below = node[symbol] = {}
                 node = below
-            node["\n" + word[-1]] = None  # a final symbol is one of its own; no symbol is a line end
-        out: dict[str, list[int]] = {}
+            node["\n" + word[-1]] = word  # a final symbol is one of its own; no symbol is a line end
+        out: dict[str, list[int]] = {w: self._along(w) for w in long}
         # Depth-first; last[d] and length[d] are the state of the path's prefix of d + 1 symbols,
         # overwritten when another branch comes to that depth.
-        deepest = max(map(len, words), default=0)
+        deepest = min(max(map(len, words), default=0), TRIE_SYMBOLS)
         last, length = [0] * deepest, [0] * deepest
         inner, final, longest, apart = self.inner, self.final, self.longest, self.apart
-        stack: list[tuple[int, str, dict | None]] = [(0, s, n) for s, n in trie.items()]
+        stack: list[tuple[int, str, dict | str]] = [(0, s, n) for s, n in trie.items()]
         while stack:
             depth, prefix, below = stack.pop()
             known = inner
-            if below is None:
+            if type(below) is str:
                 prefix, known = prefix[:-2] + prefix[-1], final
             for size in range(1, min(depth + 1, longest) + 1):
-                token = known.get(prefix[depth + 1 - size:])
+                token = known.get(prefix[-size:])
                 if token is not None:
                     if size > depth:
                         break
@@ -136,19 +141,48 @@ class TrieEncoder:
             else:
                 raise ValueError(f"no token for {prefix!r}")
             last[depth], length[depth] = token, size
-            if below is None:
-                ids, at = [], depth
-                while at >= 0:
-                    ids.append(last[at])
-                    at -= length[at]
-                ids.reverse()
-                out[prefix] = ids
+            if type(below) is str:
+                out[below] = _read_back(last, length, depth)
             else:
                 depth += 1
+                if depth > longest:  # what lies further back is never looked up
+                    prefix = prefix[-longest:]
                 for symbol, node in below.items():
                     stack.append((depth, prefix + symbol, node))
         return out
 
+    def _along(self, word: str) -> list[int]:
+        """``encode_words`` for one word too long for the trie: its one path, state by state."""
+        n, longest, apart = len(word), self.longest, self.apart
+        last, length = [0] * n, [0] * n
+        for depth in range(n):
+            known = self.final if depth == n - 1 else self.inner
+            for size in range(1, min(depth + 1, longest) + 1):
+                token = known.get(word[depth + 1 - size:depth + 1])
+                if token is not None:
+                    if size > depth:
+                        break
+                    pair = (last[depth - size], token)
+                    fits = apart.get(pair)
+                    if fits is None:
+                        fits = apart[pair] = self._compatible(*pair)
+                    if fits:
+                        break
+            else:
+                raise ValueError(f"no token for {word[:depth + 1][-80:]!r}")
+            last[depth], length[depth] = token, size
+        return _read_back(last, length, n - 1)
+
+
+def _read_back(last: list[int], length: list[int], at: int) -> list[int]:
+    """The tokens that end at symbol ``at``, first to last."""
+    ids = []
+    while at >= 0:
+        ids.append(last[at])
+        at -= length[at]
+    ids.reverse()
+    return ids
+
 
 #: Texts of Latin-1 characters without other white space or control codes: once in lower case, the pattern
 #: below finds the pieces that the library's normaliser and the file's own pattern find.
