@@ -30,6 +30,16 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def column(name: str) -> Column:
+    """The column of exactly this name, whatever characters it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct ``row``: it travels where no name can clash."""
+    return F.struct(*[column(c) for c in df.columns]).alias("row")
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once per row. Catalyst would
     otherwise inline it into every lambda call that refers to it."""

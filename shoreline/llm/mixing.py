@@ -24,10 +24,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shoreline.llm.common import materialise
-from shoreline.llm.sampling import per_class
+from shoreline.llm.common import materialise, whole_row
+from shoreline.llm.sampling import one_each, per_class
 
 #: Rounds without progress after which the fit ends; bound of the spectral step length.
 STALLED, LONGEST_STEP = 10, 50.0
@@ -89,17 +90,28 @@ def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
           domain_col: str = "domain", per_domain: int = 400) -> Softmax | None:
     """Classifier from up to ``per_domain`` documents of each domain (smallest
     id hashes) of the table ``labelled`` (``id_col``, ``domain_col``); None if
-    no labelled document has a text."""
+    no labelled document has a text. Of rows that share an id one is learnt
+    from; features are made where the texts lie, one vector of fixed length a
+    row reaches the driver."""
     domain = F.col(f"`{domain_col}`").cast("string")
     chosen, shares = per_class(labelled, id_col, domain, per_domain)
     chosen = chosen.select(F.col(f"`{id_col}`").alias("_id"), "label").distinct()
     # at most per_domain ids a domain: a bounded broadcast
-    got = (docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text")).where("_text IS NOT NULL")
-           .join(F.broadcast(chosen), "_id").select("label", "_text").collect())
-    rows = sorted((r["label"], r["_text"]) for r in got)
+    texts = (docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text")).where("_text IS NOT NULL")
+             .join(F.broadcast(chosen), "_id").withColumn("_h", F.xxhash64("_text")))
+    kind = dict(texts.dtypes)["_id"]
+    made = texts.select("_id", "label", "_h", "_text").mapInArrow(_made, f"_id {kind}, label string, _h long, x array<double>")
+    rows = sorted((r["label"], r["x"]) for r in one_each(made, "_id", "label").select("label", "x").collect())
     if not rows:
         return None
-    return fit_softmax(np.stack([features(t) for _, t in rows]), [k for k, _ in rows], shares)
+    return fit_softmax(np.array([x for _, x in rows]), [k for k, _ in rows], shares)
+
+
+def _made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        made = [features(t.as_py()) for t in batch.column("_text")]
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("_id", "label", "_h")), pa.array(made, pa.list_(pa.float64()))],
+                                         ["_id", "label", "_h", "x"])
 
 
 def _members(shared):
@@ -262,6 +274,10 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col:
                     F.array_max(p).alias("posterior"), "rate", copies(F.col("rate"), F.col(f"`{id_col}`")).alias("copies"))), model, rates
 
 
+#: Text bytes of the copies that a task sends on at once.
+SLICE_BYTES = 64_000_000
+
+
 def resample(docs: DataFrame, model: Softmax | None, rates: Rates, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """``docs``, all columns, each row as often as its rate says (``copies``).
@@ -277,9 +293,12 @@ def resample(docs: DataFrame, model: Softmax | None, rates: Rates, id_col: str =
         for batch in batches:
             x = np.array([r.of(m.posterior(t.as_py())) for t in batch.column("text")])
             times = np.floor(x) + (batch.column("u").to_numpy() < x - np.floor(x))
-            at = pa.array(np.repeat(np.arange(batch.num_rows), times.astype(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("row").take(at)], ["row"])
+            at = np.repeat(np.arange(batch.num_rows), times.astype(np.int64))
+            # copies of long texts go out in slices of about SLICE_BYTES
+            held = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)[at])
+            for rows in np.split(at, np.searchsorted(held, np.arange(SLICE_BYTES, held[-1], SLICE_BYTES)) + 1 if len(at) else []):
+                if len(rows):
+                    yield pa.RecordBatch.from_arrays([batch.column("row").take(pa.array(rows))], ["row"])
     # the row travels as one struct, so that no name can clash
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                         F.col(f"`{text_col}`").alias("text"), u.alias("u"))
+    packed = docs.select(whole_row(docs), F.col(f"`{text_col}`").alias("text"), u.alias("u"))
     return packed.mapInArrow(run, packed.select("row").schema).select("row.*")

@@ -18,7 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shoreline.llm.sampling import per_class
+from shoreline.llm.common import whole_row
+from shoreline.llm.sampling import one_each, per_class
 
 BITS = 18
 SIZE = 1 << BITS
@@ -131,7 +132,8 @@ def _platt(margins: np.ndarray, sign: np.ndarray, prior: float) -> tuple[float,
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         grams = [ngrams(t.as_py()).astype(np.int32) for t in batch.column("_text")]
-        yield pa.RecordBatch.from_pydict({"label": batch.column("label"), "grams": pa.array(grams, pa.list_(pa.int32()))})
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("_id", "label", "_h")), pa.array(grams, pa.list_(pa.int32()))],
+                                         ["_id", "label", "_h", "grams"])
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -139,15 +141,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Model from up to ``per_label`` labelled documents of each class (smallest
     id hashes) among the rows of ``labels`` where ``usable`` holds; None if no
     such document exists. Labels that are null or not 0 or 1 are not used; an id
-    labelled twice enters twice."""
+    enters once per class, with one of its rows if it has several."""
     label = F.col(f"`{label_col}`").cast("int")
     rows = labels.where(label.isin(0, 1)) if usable is None else labels.where(label.isin(0, 1) & usable)
     chosen, shares = per_class(rows, id_col, label, per_label)
     chosen = chosen.withColumnRenamed(id_col, "_id")
     # at most 2 * per_label ids: a bounded broadcast
     texts = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
-    got = (texts.join(F.broadcast(chosen), "_id").select("label", "_text")
-           .mapInArrow(_grams, "label int, grams array<int>").toArrow())
+    kind = dict(texts.dtypes)["_id"]
+    made = (texts.join(F.broadcast(chosen), "_id").select("_id", "label", F.xxhash64("_text").alias("_h"), "_text")
+            .mapInArrow(_grams, f"_id {kind}, label int, _h long, grams array<int>"))
+    got = one_each(made, "_id", "label").select("label", "grams").toArrow()
     if not got.num_rows:
         return None
     y = got.column("label").to_numpy()
@@ -190,6 +194,8 @@ def keep_good(docs: DataFrame, model: NbSvm | None, text_col: str = "text", thre
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            good = [m.score(ngrams(t.as_py())) >= threshold for t in batch.column(text_col)]
-            yield batch.filter(pa.array(good, pa.bool_()))
-    return docs.mapInArrow(run, docs.schema)
+            good = [m.score(ngrams(t.as_py())) >= threshold for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("row").filter(pa.array(good, pa.bool_()))], ["row"])
+    # the row travels as one struct, so that no name can clash
+    packed = docs.select(whole_row(docs), F.col(f"`{text_col}`").alias("text"))
+    return packed.mapInArrow(run, packed.select("row").schema).select("row.*")
