@@ -80,13 +80,16 @@ class Layout:
     ``local_sort`` rows are only sorted in the task that read them, so wide
     rows such as blobs are never shuffled). Columns in ``bloom_by`` get
     Parquet's own Bloom filters, so a look-up by keys skips row groups also
-    where the keys lie scattered."""
+    where the keys lie scattered. With ``curve`` rows lie along a
+    space-filling curve through the quantiles of all clustering columns, so
+    that a filter on any one of them skips row groups, not only on the first."""
 
     partition_by: list[str] = field(default_factory=list)
     cluster_by: list[str] = field(default_factory=list)
     vector_dims: dict[str, int] = field(default_factory=dict)
     local_sort: bool = False
     bloom_by: list[str] = field(default_factory=list)
+    curve: bool = False
 
     def partition_columns(self) -> list[str]:
         return [f"_p{i}" for i in range(len(self.partition_by))]
@@ -98,7 +101,8 @@ class Layout:
 
     def to_json(self) -> dict:
         return {"partition_by": self.partition_by, "cluster_by": self.cluster_by,
-                "vector_dims": self.vector_dims, "local_sort": self.local_sort, "bloom_by": self.bloom_by}
+                "vector_dims": self.vector_dims, "local_sort": self.local_sort, "bloom_by": self.bloom_by,
+                "curve": self.curve}
 
     def write_options(self) -> dict[str, str]:
         """Parquet options of a data write: filters sized to what a row group holds."""

@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from shoreline import fs
 from shoreline.operators import read as R
+from shoreline.operators.curve import curve_position
 from shoreline.operators.schema import (Layout, SchemaError, conform, normalize_layout,
                                         null_violation, to_struct, vector_violation)
 
@@ -191,7 +192,8 @@ class VersionedTable:
     def layout(self) -> Layout:
         d = self._commit_at(self.version).layout
         return Layout(list(d.get("partition_by", [])), list(d.get("cluster_by", [])),
-                      dict(d.get("vector_dims", {})), bool(d.get("local_sort", False)), list(d.get("bloom_by", [])))
+                      dict(d.get("vector_dims", {})), bool(d.get("local_sort", False)), list(d.get("bloom_by", [])),
+                      bool(d.get("curve", False)))
 
     @property
     def columns(self) -> list[str]:
@@ -215,19 +217,19 @@ class VersionedTable:
     def create(cls, spark: SparkSession, path: str, schema, *, partition_by=None,
                cluster_by=None, name: str | None = None, data: DataFrame | None = None,
                now: datetime | None = None, vector_dims: dict[str, int] | None = None,
-               local_sort: bool = False, bloom_by=()) -> "VersionedTable":
+               local_sort: bool = False, bloom_by=(), curve: bool = False) -> "VersionedTable":
         """Create-or-replace: an existing table at ``path`` gets a new base
         version with the new schema; its history stays readable by version.
         ``vector_dims`` fixes the length of array columns (checked at write);
-        ``local_sort`` clusters without a shuffle and ``bloom_by`` names columns
-        with Bloom filters (see ``Layout``)."""
+        ``local_sort`` clusters without a shuffle, ``bloom_by`` names columns
+        with Bloom filters, ``curve`` clusters by all columns alike (see ``Layout``)."""
         struct = to_struct(schema)
         layout = normalize_layout(struct, partition_by, cluster_by)
         for c in (vector_dims or {}):
             if c not in struct.fieldNames() or not isinstance(struct[c].dataType, T.ArrayType):
                 raise SchemaError(f"vector column '{c}' must be an array column of the table")
         layout.vector_dims = {c: int(n) for c, n in (vector_dims or {}).items()}
-        layout.local_sort = local_sort
+        layout.local_sort, layout.curve = local_sort, curve
         layout.bloom_by = [bloom_by] if isinstance(bloom_by, str) else list(bloom_by)
         for c in layout.bloom_by:
             if c not in struct.fieldNames():
@@ -402,9 +404,12 @@ class VersionedTable:
             # so a single hot cluster value is split over several tasks; AQE
             # joins small ranges by their bytes. Partition columns come first:
             # a task writes few of them.
+            if layout.curve and len(keys) > 1:
+                out = out.withColumn("_curve", curve_position(out, layout.cluster_by))
+                keys = ["_curve", *keys]
             hashable = [R.quote(f.name) for f in out.schema.fields if "map<" not in f.dataType.simpleString()]
             out = out.repartitionByRange(*pcols, *keys, F.xxhash64(*hashable))
-            out = out.sortWithinPartitions(*pcols, *keys)
+            out = out.sortWithinPartitions(*pcols, *keys).drop("_curve")
         elif pcols:
             # Rows of a partition value meet in one task, AQE splits large ones
             # and joins small ones by their bytes: few files per value.

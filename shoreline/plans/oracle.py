@@ -315,7 +315,7 @@ def _catalog_rows(skip: tuple = ()) -> str:
 
 def _oracle_batch_two() -> dict[str, str]:
     from shoreline.plans import fixtures as FX
-    from shoreline.plans.queries import EXTERNAL_TEST_THRESHOLD as EXT, SQL_JOIN_AGG
+    from shoreline.plans.queries import EXTERNAL_TEST_THRESHOLD as EXT, PAGES, SQL_CUBE, SQL_JOIN_AGG
     merge_final = ORACLE["merge_occ"]
     return {
         "vector_topk_cosine": _vector_topk("list_cosine_distance"),
@@ -437,8 +437,11 @@ SELECT lang, 'text/plain' AS source_mime_type, 'text/plain' AS mime_type, CAST(s
 FROM documents WHERE lang <> 'de'""",
         "catalog_tables": _catalog_rows(),
         "catalog_teardown": "\nUNION ALL\n".join(
-            f"SELECT '{t}' AS table_name, {str(t != 'missing').lower()} AS found, '{t}' AS handle, false AS left_over, "
-            "false AS catalog_exists" for t in (*CATALOG_SQL, "_staging", "missing")),
+            f"SELECT '{t}' AS table_name, true AS found, '{t}' AS handle, false AS left_over, false AS catalog_exists, count(*) AS rows, "
+            f"CAST(sum({key}) AS BIGINT) AS key_sum FROM {source}"
+            for t, source, key in (("region", "region", "r_regionkey"), ("nation", "nation", "n_nationkey"), ("supplier", "supplier", "s_suppkey"),
+                                   ("customer", "customer", "c_custkey"), ("_staging", "nation", "n_nationkey")))
+        + "\nUNION ALL\nSELECT 'missing', false, NULL, false, false, NULL, NULL",
         "table_columns": """
 SELECT CAST(ordinal_position AS INTEGER) AS position, column_name,
        CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
@@ -452,6 +455,29 @@ FROM information_schema.columns WHERE table_name = 'lineitem'""",
 SELECT event_id, event_type, value, CAST(NULL AS VARCHAR) AS action, CAST(NULL AS VARCHAR) AS reason FROM rows
 UNION ALL
 SELECT event_id, NULL, NULL, _action, _reason FROM conflicts""",
+        "cube_agg": SQL_CUBE,
+        "sketch_rollup": f"""
+WITH e AS (SELECT *, date_diff('day', DATE '{FX.PRODUCT_EPOCH[:10]}', CAST(ts AS DATE)) // 7 AS week FROM events),
+s AS (SELECT week AS span, user_id FROM e UNION ALL SELECT -1, user_id FROM e)
+SELECT CAST(span AS BIGINT) AS span, count(*) AS n, count(DISTINCT user_id) AS distinct_exact, true AS distinct_ok, true AS median_ok
+FROM s GROUP BY span""",
+        "cluster_curve": "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem WHERE l_partkey BETWEEN 20 AND 59",
+        "page_rows": f"""
+SELECT o_orderkey, o_totalprice,
+  (row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) - 1) // ((SELECT count(*) FROM orders) // {PAGES} + 1) AS page FROM orders""",
+        "diff_ranges": f"""
+WITH p AS (SELECT p_partkey AS id, p_partkey % {FX.EDIT_MOD} AS m FROM part WHERE p_partkey >= (SELECT max(p_partkey) * 9 // 10 FROM part))
+SELECT id, CASE WHEN m = 0 THEN 'DELETE' ELSE 'UPDATE' END AS action, true AS compared_less FROM p WHERE m IN (0, 1, 4, 5)
+UNION ALL SELECT id + {FX.NEW_KEY_OFFSET}, 'INSERT', true FROM p WHERE m = 6""",
+        "insert_grid": "SELECT *, (SELECT count(*) FROM supplier) AS inserted FROM supplier",
+        "single_file": """
+WITH t AS (SELECT string_agg(text || chr(10), '' ORDER BY item_id) AS text FROM benchmark)
+SELECT 'text/plain' AS mime_type, 'text/plain' AS source_mime_type, CAST(strlen(text) AS BIGINT) AS size, md5(text) AS md5,
+  true AS named, CAST(1 AS BIGINT) AS files FROM t""",
+        "predicate_guard": "\nUNION ALL\n".join(
+            [f"SELECT '{c}' AS \"case\", false AS refused, count(*) AS rows FROM part WHERE p_size > 10" for c in ("plain", "quoted", "keyword")]
+            + [f"SELECT '{c}', true, 0" for c in ("second statement", "line end", "order", "negative limit", "delete", "update", "no predicate",
+                                                  "schema without a type", "schema with a name twice", "empty schema")]),
         "range_join": f"""
 WITH e AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN TIMESTAMP '{FX.HOT_TIME}' + to_seconds(event_id % 600) ELSE ts END AS at FROM events),
 w AS (SELECT o_orderkey, TIMESTAMP '{FX.PRODUCT_EPOCH}' + to_seconds(o_orderkey * 173 % 2592000) AS opens,
@@ -469,3 +495,4 @@ FROM documents""",
 
 
 ORACLE.update(_oracle_batch_two())
+ORACLE["vector_pivot_topk"] = ORACLE["vector_topk_euclidean"]

@@ -15,12 +15,17 @@ from shoreline.functions import text as TX
 from shoreline.functions import times as TM
 from shoreline.functions import vectors as VF
 from shoreline.operators import assets as A
+from shoreline import fs
 from shoreline.operators import cdc
+from shoreline.operators import digests as DG
 from shoreline.operators import export as X
 from shoreline.operators import joins as J
 from shoreline.operators import merge as M
+from shoreline.operators import paging as PG
+from shoreline.operators import pivots as PV
 from shoreline.operators import quality as Q
 from shoreline.operators import read as R
+from shoreline.operators import sketches as SK
 from shoreline.operators import vector as VS
 from shoreline.operators.catalog import Catalog
 from shoreline.operators.partitioning import spread
@@ -604,16 +609,24 @@ def drop_table(spark, sf_dir):
 
 
 def catalog_teardown(spark, sf_dir):
-    """Look-ups by name, then the catalog dropped with all its tables."""
+    """Look-ups by name and what each handle reads (rows and the sum of the
+    first column), then the catalog dropped with all its tables."""
     _prep(spark)
     cat = _catalog(spark, sf_dir)
+    read = None
+    for n in cat.table_names():
+        handle = cat.table_by_name(n)
+        rows = handle.read()
+        one = rows.agg(F.count(F.lit(1)).alias("rows"), F.sum(rows.columns[0]).cast("bigint").alias("key_sum")).withColumn(
+            "table_name", F.lit(n)).withColumn("handle", F.lit(handle.name))
+        read = one if read is None else read.unionByName(one)
+    read = read.checkpoint()  # the tables are gone afterwards
     names = [*cat.table_names(), "missing"]
     found = {n: cat.table_by_name(n) is not None for n in names}
-    handles = {n: cat.table(n).name for n in names}
     cat.drop_catalog()
-    rows = [(n, found[n], handles[n], cat.table_by_name(n) is not None) for n in names]
-    return spark.createDataFrame(rows, "table_name string, found boolean, handle string, left_over boolean").withColumn(
-        "catalog_exists", F.lit(cat.exists()))
+    gone = spark.createDataFrame([(n, found[n], cat.table_by_name(n) is not None) for n in names],
+                                 "table_name string, found boolean, left_over boolean")
+    return gone.join(read, "table_name", "left").withColumn("catalog_exists", F.lit(cat.exists()))
 
 
 SQL_JOIN_AGG = """
@@ -686,6 +699,159 @@ def asof_join(spark, sf_dir):
     return out.select("event_id", "user", "event_type", "view_id", TM.whole_seconds_between(F.col("ts"), F.col("viewed_at")).alias("seconds"))
 
 
+# The same text runs on both engines: cube, grouping sets, set operations.
+SQL_CUBE = """
+WITH s AS (
+  SELECT l_returnflag AS flag, l_linestatus AS status, CAST(EXTRACT(YEAR FROM l_shipdate) AS BIGINT) AS y,
+         l_quantity AS quantity, l_orderkey AS orderkey
+  FROM lineitem)
+SELECT 'cube' AS part, flag, status, CAST(NULL AS BIGINT) AS y, CAST(2 * GROUPING(flag) + GROUPING(status) AS BIGINT) AS grp,
+       COUNT(*) AS n, COUNT(DISTINCT orderkey) AS orders, CAST(SUM(quantity) AS DOUBLE) AS quantity
+FROM s GROUP BY CUBE (flag, status)
+UNION ALL
+SELECT 'sets', flag, NULL, y, CAST(2 * GROUPING(flag) + GROUPING(y) AS BIGINT), COUNT(*), COUNT(DISTINCT orderkey),
+       CAST(SUM(quantity) AS DOUBLE)
+FROM s GROUP BY GROUPING SETS ((flag, y), (y), ())
+UNION ALL
+SELECT 'intersect', CONCAT('', k), NULL, NULL, NULL, COUNT(*), NULL, NULL
+FROM (SELECT c_nationkey AS k FROM customer INTERSECT SELECT s_nationkey FROM supplier) i GROUP BY k
+UNION ALL
+SELECT 'union', CONCAT('', k), NULL, NULL, NULL, COUNT(*), NULL, NULL
+FROM (SELECT c_nationkey AS k FROM customer UNION SELECT s_nationkey FROM supplier) u GROUP BY k
+"""
+
+
+def cube_agg(spark, sf_dir):
+    """Raw SQL over registered views: CUBE, GROUPING SETS, INTERSECT, UNION DISTINCT."""
+    _prep(spark)
+    cat = Catalog(spark, scratch_path(spark, "warehouse"), "cubes").ensure()
+    for name in ("supplier", "customer", "lineitem"):
+        df = load(spark, sf_dir, name)
+        cat.create(name, df.schema, data=df, now=FX.COMMIT_TIME)
+    cat.register_views()
+    return spark.sql(SQL_CUBE)
+
+
+def sketch_rollup(spark, sf_dir):
+    """Daily sketches of the events, kept as a table and merged per week and
+    over all days (span -1), beside the exact answers: is the distinct count
+    within its stated error, and the median's rank within its own?"""
+    _prep(spark)
+    events = load(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    daily = SK.summarize(events, ["day"], "user_id", "value")
+    kept = _table_from(spark, "daily_sketches", daily)
+    week = F.floor(F.datediff("day", F.lit(FX.PRODUCT_EPOCH[:10]).cast("date")) / 7).cast("bigint")
+    spans = F.explode(F.array(week, F.lit(-1).cast("bigint")))
+    merged = SK.estimate(SK.combine(kept.read().withColumn("span", spans), ["span"]), {"median": 0.5}, ["span"])
+    exact = events.withColumn("span", spans).join(F.broadcast(merged.select("span", "median")), "span").groupBy("span").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("user_id").alias("distinct_exact"),
+        F.avg((F.col("value") < F.col("median")).cast("double")).alias("below"),
+        F.avg((F.col("value") <= F.col("median")).cast("double")).alias("upto"))
+    off = F.abs(F.col("distinct_estimate") - F.col("distinct_exact"))
+    return merged.join(exact, "span").select(
+        "span", "n", "distinct_exact", (off <= SK.distinct_error() * F.col("distinct_exact")).alias("distinct_ok"),
+        ((F.col("below") - SK.rank_error() <= 0.5) & (F.col("upto") + SK.rank_error() >= 0.5)).alias("median_ok"))
+
+
+def cluster_curve(spark, sf_dir):
+    """A table along a curve through two columns, filtered by the second alone."""
+    _prep(spark)
+    t = _table_from(spark, "lineitem_curve", load(spark, sf_dir, "lineitem"), cluster_by=["l_shipdate", "l_partkey"], curve=True)
+    return t.get_values(columns=["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"], where="l_partkey BETWEEN 20 AND 59")
+
+
+def vector_pivot_topk(spark, sf_dir):
+    """The ten nearest by euclidean distance, through a pivot index."""
+    _prep(spark)
+    index = PV.build(load(spark, sf_dir, "embeddings"), scratch_path(spark, "pivots"), "vec_id", columns=["label"], now=FX.COMMIT_TIME)
+    return PV.search(index, _first_vector(spark, sf_dir), k=10, columns=["vec_id", "label"])
+
+
+PAGES = 7
+
+
+def page_rows(spark, sf_dir):
+    """All orders in pages, by price and key, while another writer adds rows."""
+    _prep(spark)
+    t = _table_from(spark, "orders_paged", load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"))
+    size, out = t.row_count() // PAGES + 1, None
+    for number, page in enumerate(PG.all_pages(t, ["o_totalprice DESC", "o_orderkey"], size)):
+        rows = page.rows.withColumn("page", F.lit(number).cast("bigint"))
+        out = rows if out is None else out.unionByName(rows)
+        VersionedTable(spark, t.path).insert(
+            load(spark, sf_dir, "orders").where("o_orderkey % 100 = 0").select(
+                (F.col("o_orderkey") + FX.NEW_KEY_OFFSET).alias("o_orderkey"), "o_custkey", "o_totalprice"))
+    return out.select("o_orderkey", "o_totalprice", "page")
+
+
+def diff_ranges(spark, sf_dir):
+    """A copy edited in the last tenth of its keys, found by digests of key ranges."""
+    _prep(spark)
+    base = FX.products(spark, sf_dir)
+    cut = base.agg(F.max("id")).first()[0] * 9 // 10
+    edited = base.where(F.col("id") < cut).unionByName(FX.edited_products(base.where(F.col("id") >= cut)))
+    changes, info = DG.diff_ranges(base, edited, now=FX.COMMIT_TIME)
+    return changes.select("id", F.col("_action").alias("action"), F.lit(info["compared"] < base.count()).alias("compared_less"))
+
+
+def insert_grid(spark, sf_dir):
+    """Suppliers as a grid of values (a header row, then rows; under the cell guard), inserted and read."""
+    _prep(spark)
+    sup = load(spark, sf_dir, "supplier")
+    if not X.check_cells(sup)["allowed"]:
+        raise X.ExportTooLarge("suppliers do not fit a grid")
+    values = [sup.columns, *[list(r) for r in X.iter_rows(sup)]]
+    t = VersionedTable.create(spark, scratch_path(spark, "suppliers_grid"), sup.schema, now=FX.COMMIT_TIME)
+    res = t.insert_values(values)
+    return t.read().withColumn("inserted", F.lit(res["inserted"]).cast("bigint"))
+
+
+def single_file(spark, sf_dir):
+    """One file, given by its path: all benchmark passages, a line each."""
+    _prep(spark)
+    folder = scratch_path(spark, "passages")
+    load(spark, sf_dir, "benchmark").repartition(1).sortWithinPartitions("item_id").select("text").write.text(folder)
+    path = f"{folder}/{next(n for n in fs.list_names(spark, folder) if n.startswith('part-'))}"
+    t = _asset_table(spark, "one_file")
+    res = A.ingest(t, SF.as_blobs(SF.read_files(spark, path, recursive=False), folder), now=FX.COMMIT_TIME)
+    return t.read().select("mime_type", "source_mime_type", "size", F.md5("data").alias("md5"),
+                           (F.col("name") == F.lit(path.rsplit("/", 1)[1])).alias("named"), F.lit(res["inserted"]).cast("bigint").alias("files"))
+
+
+#: (case, kind, text): what is refused, and what only looks like it.
+GUARDED = (("plain", "where", "p_size > 10"), ("quoted", "where", "p_name <> 'a;b' AND p_size > 10"), ("second statement", "where", "p_size > 10; DROP TABLE x"),
+           ("line end", "where", "p_size > 10;"), ("order", "order_by", "p_partkey; DROP TABLE x"), ("keyword", "where", "WHERE p_size > 10"),
+           ("negative limit", "limit", "-1"), ("delete", "delete", "1 = 1; DROP TABLE x"), ("update", "update", "p_size > 10; --"), ("no predicate", "update", " "))
+
+
+def predicate_guard(spark, sf_dir):
+    """Each text as a read, delete or update of the part table: refused, or the rows it gives."""
+    _prep(spark)
+    t = _table_from(spark, "part_guarded", load(spark, sf_dir, "part"))
+    out = None
+    for case, kind, text in GUARDED:
+        try:
+            if kind == "delete":
+                t.delete(text)
+            elif kind == "update":
+                t.update({"p_size": "0"}, text)
+            rows = t.get_values(**{kind: int(text) if kind == "limit" else text}) if kind in ("where", "order_by", "limit") else t.read()
+            refused = False
+        except ValueError:
+            rows, refused = t.read().limit(0), True
+        one = rows.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(case).alias("case"), F.lit(refused).alias("refused"), "rows")
+        out = one if out is None else out.unionByName(one)
+    for case, schema in (("schema without a type", [{"name": "a"}]), ("schema with a name twice", [{"name": "a", "type": "INT64"}, {"name": "A", "type": "STRING"}]),
+                         ("empty schema", [])):
+        try:
+            VersionedTable.create(spark, scratch_path(spark, "never"), schema)
+            refused = False
+        except ValueError:
+            refused = True
+        out = out.unionByName(t.read().limit(0).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(case).alias("case"), F.lit(refused).alias("refused"), "rows"))
+    return out
+
+
 # ------------------------------------------------------------ streaming
 def stream_merge(spark, sf_dir):
     """The event change set arrives as a stream of files, one per micro-batch;

@@ -33,6 +33,15 @@ def test_entry_without_the_optional_part(tmp_path):
     assert "OK True []" in out.stdout, out.stderr[-2000:]
 
 
+def test_entry_without_a_package_of_the_optional_part(tmp_path):
+    """A package that only the optional part needs is absent: the core queries stay, with a warning."""
+    code = (f"import sys; sys.path.insert(0, {ROOT!r}); sys.modules['xxhash'] = None\n"
+            "import warnings; warnings.simplefilter('always')\n"
+            "import __spark_entry__ as e; q = e.queries(); print('OK', len(q) > 40, [k for k in q if k.startswith('op')])")
+    out = run(code, tmp_path)
+    assert "OK True []" in out.stdout and "training-data operators left out" in out.stderr, out.stderr[-2000:]
+
+
 def test_checkpoint_folder_is_required_on_a_cluster():
     from shoreline import session
 
