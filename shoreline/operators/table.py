@@ -624,11 +624,6 @@ class VersionedTable:
                                     replace=True, now=now, expected_version=base + 1, keep_identity=True)
         return {"version": commit.version, "rows": commit.added}
 
-    def tombstones_since_base(self) -> int:
-        """Tombstones the read path still has to join."""
-        self._fresh()
-        return self._tombstone_rows(self.version)
-
     def committed_txn(self, app: str, batch: int) -> bool:
         """True when a commit already carries ``(app, batch)`` (replay check)."""
         return any(c.txn and c.txn.get("app") == app and c.txn.get("batch") == batch
@@ -661,9 +656,5 @@ def _parse_time(value) -> datetime:
     raise ValueError(f"invalid snapshot time {value!r}")
 
 
-def open_table(spark: SparkSession, path: str) -> VersionedTable:
-    return VersionedTable(spark, path)
-
-
-__all__ = ["VersionedTable", "Commit", "CommitConflict", "NotNullViolation", "open_table",
+__all__ = ["VersionedTable", "Commit", "CommitConflict", "NotNullViolation",
            "TOMBSTONE_BROADCAST_ROWS"]
