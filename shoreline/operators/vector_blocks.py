@@ -3,7 +3,7 @@
 Both sides are packed where they lie into block rows: a block holds a list of
 keys (and carried columns) and one matrix, so a pair of blocks is one row of a
 DataFrame join and never one row per vector pair. Queries are dealt by hash
-into cells of bounded size; every corpus block is joined with the query blocks
+into cells of about ``BROADCAST_BYTES``; every corpus block is joined with the query blocks
 of every cell.
 
 While all query blocks together stay under ``BROADCAST_BYTES`` (their counted
@@ -174,7 +174,7 @@ def top_k_pairs(corpus: DataFrame, queries: DataFrame, k: int, key: str, payload
         raise ValueError("query ids must be unique in a batch search")
     dim = stats["dim"]
     size = stats["n"] * dim * 8
-    cells = max(1, -(-size // BLOCK_BYTES))
+    cells = max(1, -(-size // BROADCAST_BYTES))  # the corpus is repeated once per cell
     q = (queries.withColumn("cell", F.pmod(F.xxhash64("id"), F.lit(cells)).cast("int")).repartition(min(cells, 10_000), "cell")
          .sortWithinPartitions("cell"))
     q = _packed_by_cell(q, dim)
