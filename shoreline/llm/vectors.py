@@ -5,8 +5,10 @@ Each class gets a sign key in several tables; vectors of one table's key are
 compared in double precision, block by block, inside a task. A key held by
 more than ``BLOCK`` classes is cut into blocks by a hash of the class, and each
 pair of blocks is a group of its own, so no task ever holds more than two
-blocks. A pair found in several tables is emitted by the first only. Links go
-to the distributed connected components.
+blocks. A pair found in several tables counts in the first only. Pairs are no
+rows: a group gives, per class, how many rows it links with there and the
+smallest class it reaches there, so a dense group of any size gives as many
+rows as it has classes. The latter go to the distributed connected components.
 
 The number of tables follows from the bits per key, so that a pair exactly at
 the threshold is missed in all of them with a probability of at most
@@ -40,21 +42,23 @@ def table_shape(n_classes: int, threshold: float) -> tuple[int, int]:
     return bits, math.ceil(math.log(MISS) / math.log(1 - agree**bits))
 
 
-def _canonical(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _canonical(stored: str):
     """Each vector's bytes (as stored: float or double) and their hash; null
     where the vector links with nothing."""
-    for batch in batches:
-        data, digest = [], []
-        for v in batch.column("_v").to_pylist():
-            x = None if v is None or any(c is None for c in v) else np.asarray(v, dtype=np.float64)
-            if x is None or not len(x) or not np.isfinite(x).all() or not x.any():
-                data.append(None)
-                digest.append(None)
-            else:
-                data.append((x + 0.0).tobytes())
-                digest.append(xxhash.xxh3_128_digest(data[-1]))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("_id"), pa.array(digest, pa.binary()), pa.array(data, pa.binary())], ["_id", "h", "v"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, digest = [], []
+            for v in batch.column("_v").to_pylist():
+                x = None if v is None or any(c is None for c in v) else np.asarray(v, dtype=stored)
+                if x is None or not len(x) or not np.isfinite(x).all() or not x.any():
+                    data.append(None)
+                    digest.append(None)
+                else:
+                    data.append((x + x.dtype.type(0)).tobytes())
+                    digest.append(xxhash.xxh3_128_digest(data[-1]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_id"), pa.array(digest, pa.binary()), pa.array(data, pa.binary())], ["_id", "h", "v"])
+    return run
 
 
 def _planes(dim: int, count: int) -> np.ndarray:
@@ -66,7 +70,8 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _signatures(bits: int, tables: int):
+def _signatures(bits: int, tables: int, stored: str):
+    item = np.dtype(stored).itemsize
     weights = 1 << np.arange(bits, dtype=np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,33 +79,43 @@ def _signatures(bits: int, tables: int):
         for batch in batches:
             raw = batch.column("v").to_pylist()
             keys = np.empty((len(raw), tables), dtype=np.int64)
-            sizes = np.array([len(r) // 8 for r in raw])
+            sizes = np.array([len(r) // item for r in raw])
             for dim in np.unique(sizes):
                 at = np.flatnonzero(sizes == dim)
-                x = _unit(np.frombuffer(b"".join(raw[i] for i in at)).reshape(-1, dim))
+                x = _unit(np.frombuffer(b"".join(raw[i] for i in at), dtype=stored).astype(np.float64).reshape(-1, dim))
                 p = planes.setdefault(dim, _planes(dim, bits * tables))
                 keys[at] = ((x @ p) > 0).reshape(len(at), tables, bits) @ weights
-            # vectors of another length never share a key
-            keys = keys * 65_536 + (sizes % 65_536)[:, None]
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(raw) + 1, dtype=np.int32) * tables),
-                                            pa.array(keys.ravel()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("cid", "n", "v")), flat],
-                                             ["cid", "n", "v", "keys"])
+                                            pa.array(keys.ravel().astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("cid", "n", "v")), pa.array(sizes % 65_536), flat],
+                                             ["cid", "n", "v", "dim", "keys"])
     return run
 
 
-def _verify(threshold: float):
-    def pairs(g: pd.DataFrame) -> pd.DataFrame | None:
+def _least_reachable(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest position that each of ``n`` reaches by the links (i, j)."""
+    low = np.arange(n)
+    while True:
+        before = low.copy()
+        np.minimum.at(low, i, low[j])
+        np.minimum.at(low, j, low[i])
+        low = low[low]
+        if (low == before).all():
+            return low
+
+
+def _verify(threshold: float, stored: str):
+    def linked(g: pd.DataFrame) -> pd.DataFrame | None:
         t, bi, bj = int(g["t"].iloc[0]), int(g["bi"].iloc[0]), int(g["bj"].iloc[0])
         if len(g) < 2:
             return None
         cid, n = g["cid"].to_numpy(), g["n"].to_numpy()
         sizes = g["v"].map(len)
         if sizes.nunique() > 1:  # lengths that clash modulo 65,536
-            found = [pairs(part) for _, part in g.groupby(sizes)]
+            found = [linked(part) for _, part in g.groupby(sizes)]
             found = [f for f in found if f is not None]
             return pd.concat(found) if found else None
-        x = _unit(np.frombuffer(b"".join(g["v"])).reshape(len(g), -1))
+        x = _unit(np.frombuffer(b"".join(g["v"]), dtype=stored).astype(np.float64).reshape(len(g), -1))
         keys = np.stack(g["keys"].to_numpy())
         side = g["b"].to_numpy()
         a, b = (np.arange(len(g)),) * 2 if bi == bj else (np.flatnonzero(side == bi), np.flatnonzero(side == bj))
@@ -109,11 +124,15 @@ def _verify(threshold: float):
         ok = i < j if bi == bj else np.ones(len(i), dtype=bool)
         ok[ok] = np.argmax(keys[i[ok]] == keys[j[ok]], axis=1) == t
         i, j = i[ok], j[ok]
-        return pd.DataFrame({"a": cid[i], "b": cid[j], "na": n[i], "nb": n[j]}) if len(i) else None
+        if not len(i):
+            return None
+        others = np.bincount(i, n[j], len(g)) + np.bincount(j, n[i], len(g))
+        at = np.flatnonzero(others)
+        return pd.DataFrame({"cid": cid[at], "others": others[at].astype(np.int64), "root": cid[_least_reachable(len(g), i, j)[at]]})
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in groups(frames, ["t", "key", "bi", "bj"]):
-            if (found := pairs(g)) is not None:
+            if (found := linked(g)) is not None:
                 yield found
     return run
 
@@ -135,34 +154,38 @@ def _blocked(keyed: DataFrame) -> DataFrame:
 
 def near_duplicate_vectors(vecs: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                            threshold: float = 0.95) -> tuple[DataFrame, DataFrame]:
-    """(per-vector result, links between distinct vectors).
+    """(per-vector result, links that keep the components together).
 
     The result has ``id_col``, ``n_links`` (other rows linked directly),
     ``component_id`` (smallest id reachable, its own included) and ``kept``
-    (the id is that smallest one). Links are (a, b, na, nb): class
-    representatives and how many rows each stands for; copies are not expanded.
+    (the id is that smallest one). Links are (a, b): a class and the smallest
+    one it reaches in one group of compared classes; neither copies nor the
+    pairs within a group are expanded.
     Vectors that are null, empty, zero or hold a null or non-finite component
     link with nothing, nor do vectors of different lengths. Rows that repeat an
     id are rows of their own; a null id links as usual but never names a
     component. An empty table gives no rows, other columns are not read.
     """
     kind = dict(vecs.dtypes)[id_col]
+    narrow = dict(vecs.dtypes)[vector_col] == "array<float>"  # kept as such: half the bytes to shuffle
+    stored = "float32" if narrow else "float64"
     rows = materialise(vecs.select(F.col(f"`{id_col}`").alias("_id"),
-                                   F.col(f"`{vector_col}`").cast("array<double>").alias("_v"))
-                       .mapInArrow(_canonical, f"_id {kind}, h binary, v binary"))
+                                   F.col(f"`{vector_col}`").cast("array<float>" if narrow else "array<double>").alias("_v"))
+                       .mapInArrow(_canonical(stored), f"_id {kind}, h binary, v binary"))
     classes = materialise(rows.where("h IS NOT NULL").groupBy("h").agg(
         F.first("v").alias("v"), F.count(F.lit(1)).alias("n"), F.min("_id").alias("first"))
         .withColumn("cid", F.monotonically_increasing_id()))
     bits, tables = table_shape(classes.count(), threshold)
     keyed = (classes.select("cid", "n", "v")
-             .mapInArrow(_signatures(bits, tables), "cid long, n long, v binary, keys array<long>")
-             .select("cid", "n", "v", "keys", F.posexplode("keys").alias("t", "key")))
+             .mapInArrow(_signatures(bits, tables, stored), "cid long, n long, v binary, dim long, keys array<int>")
+             .select("cid", "n", "v", "dim", "keys", F.posexplode("keys").alias("t", "sign"))
+             # vectors of another length never share a key
+             .select("cid", "n", "v", "keys", "t", (F.col("sign").cast("long") * 65_536 + F.col("dim")).alias("key")))
     parts = ["t", "key", "bi", "bj"]
-    links = materialise(_blocked(keyed).repartition(*parts).sortWithinPartitions(*parts)
-                        .mapInPandas(_verify(threshold), "a long, b long, na long, nb long"))
-    linked = (links.select(F.col("a").alias("cid"), F.col("nb").alias("k"))
-              .unionByName(links.select(F.col("b").alias("cid"), F.col("na").alias("k")))
-              .groupBy("cid").agg(F.sum("k").alias("others")))
+    found = materialise(_blocked(keyed).repartition(*parts).sortWithinPartitions(*parts)
+                        .mapInPandas(_verify(threshold, stored), "cid long, others long, root long"))
+    linked = found.groupBy("cid").agg(F.sum("others").alias("others"))
+    links = found.where("cid <> root").select(F.col("cid").alias("a"), F.col("root").alias("b")).distinct()
     found = connected_components(links).withColumnRenamed("node", "cid")
     named = (classes.select("h", "cid", "n", "first").join(found, "cid", "left").join(linked, "cid", "left")
              .withColumn("component", F.coalesce("component", "cid")))
