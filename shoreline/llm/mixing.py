@@ -100,17 +100,20 @@ def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
     texts = (docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text")).where("_text IS NOT NULL")
              .join(F.broadcast(chosen), "_id").withColumn("_h", F.xxhash64("_text")))
     kind = dict(texts.dtypes)["_id"]
-    made = texts.select("_id", "label", "_h", "_text").mapInArrow(_made, f"_id {kind}, label string, _h long, x array<double>")
-    rows = sorted((r["label"], r["x"]) for r in one_each(made, "_id", "label").select("label", "x").collect())
-    if not rows:
+    made = texts.select("_id", "label", "_h", "_text").mapInArrow(_made, f"_id {kind}, label string, _h long, x binary")
+    got = one_each(made, "_id", "label").select("label", "x").toArrow()
+    if not got.num_rows:
         return None
-    return fit_softmax(np.array([x for _, x in rows]), [k for k, _ in rows], shares)
+    # collected in no fixed order: sort, so that the fit is repeatable
+    rows = sorted(zip(got.column("label").to_pylist(), got.column("x").to_pylist()))
+    del got
+    return fit_softmax(np.frombuffer(b"".join(x for _, x in rows)).reshape(len(rows), -1), [k for k, _ in rows], shares)
 
 
 def _made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        made = [features(t.as_py()) for t in batch.column("_text")]
-        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("_id", "label", "_h")), pa.array(made, pa.list_(pa.float64()))],
+        made = [features(t.as_py()).tobytes() for t in batch.column("_text")]
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("_id", "label", "_h")), pa.array(made, pa.binary())],
                                          ["_id", "label", "_h", "x"])
 
 
