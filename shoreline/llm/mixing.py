@@ -100,21 +100,29 @@ def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
     texts = (docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text")).where("_text IS NOT NULL")
              .join(F.broadcast(chosen), "_id").withColumn("_h", F.xxhash64("_text")))
     kind = dict(texts.dtypes)["_id"]
-    made = texts.select("_id", "label", "_h", "_text").mapInArrow(_made, f"_id {kind}, label string, _h long, x binary")
-    got = one_each(made, "_id", "label").select("label", "x").toArrow()
+    made = texts.select("_id", "label", "_h", "_text").mapInArrow(_made, f"_id {kind}, label string, _h long, at binary, x binary")
+    got = one_each(made, "_id", "label").select("label", "at", "x").toArrow()
     if not got.num_rows:
         return None
     # collected in no fixed order: sort, so that the fit is repeatable
-    rows = sorted(zip(got.column("label").to_pylist(), got.column("x").to_pylist()))
+    rows = sorted(zip(*(got.column(n).to_pylist() for n in ("label", "at", "x"))))
     del got
-    return fit_softmax(np.frombuffer(b"".join(x for _, x in rows)).reshape(len(rows), -1), [k for k, _ in rows], shares)
+    dense = np.zeros((len(rows), FEATURES))
+    for i, (_, at, x) in enumerate(rows):
+        dense[i, np.frombuffer(at, dtype=np.uint16)] = np.frombuffer(x)
+    return fit_softmax(dense, [r[0] for r in rows], shares)
 
 
 def _made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        made = [features(t.as_py()).tobytes() for t in batch.column("_text")]
-        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("_id", "label", "_h")), pa.array(made, pa.binary())],
-                                         ["_id", "label", "_h", "x"])
+        at, values = [], []
+        for t in batch.column("_text"):  # only what is not zero: positions and values
+            x = features(t.as_py())
+            found = np.flatnonzero(x)
+            at.append(found.astype(np.uint16).tobytes())
+            values.append(x[found].tobytes())
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("_id", "label", "_h")), pa.array(at, pa.binary()),
+                                          pa.array(values, pa.binary())], ["_id", "label", "_h", "at", "x"])
 
 
 def _members(shared):
