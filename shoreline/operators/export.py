@@ -8,6 +8,9 @@ writer task is bounded; ``cell_guard`` reports the same check per table.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import islice
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,6 +81,18 @@ def iter_rows(df: DataFrame):
     return df.toLocalIterator()
 
 
+def grids(df: DataFrame, max_cells: int = MAX_CELLS) -> Iterator[list[list]]:
+    """All rows as grids of values, one after another: each a header row and as
+    many rows as the cell guard allows. One grid is held at a time."""
+    check = check_cells(df, max_cells)
+    size = check["rows"] if check["allowed"] else max_cells // check["columns"]
+    if check["rows"] and not size:
+        raise ExportTooLarge(f"a row of {check['columns']} cells exceeds {max_cells}")
+    rows = iter_rows(df)
+    while part := [list(r) for r in islice(rows, size)]:
+        yield [list(df.columns), *part]
+
+
 def to_values(df: DataFrame, order_by=None) -> list[list]:
     """The grid as a header row + all rows of text, read page by page."""
     grid = to_grid(df.orderBy(*([order_by] if isinstance(order_by, str) else order_by)) if order_by else df)
