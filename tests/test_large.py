@@ -3,8 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
+from shoreline.operators import assets as A
 from shoreline.operators import export as X
+from shoreline.operators import partitioning as P
+from shoreline.operators.schema import conform
+from shoreline.operators.table import _null_guarded
 from shoreline.plans import queries as Q
+from shoreline.sources import files as SF
 
 
 def _table(spark, folder, name, df):
@@ -29,3 +34,39 @@ def test_grids_hold_what_the_guard_allows(spark):
     assert next(X.grids(df))[0] == ["id", "t"] and not list(X.grids(df.limit(0)))
     with pytest.raises(X.ExportTooLarge):
         list(X.grids(df, max_cells=1))
+
+
+def test_tree_files_equal_the_text_writers(spark, scratch):
+    rows = [("de", "one"), ("de", "two\nlines"), (None, "three"), ("", None), ("a/b=c%[x] \xe9", "\xe9\n"), ("de", "one")] * 20
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    ours, theirs = scratch("ours"), scratch("theirs")
+    assert SF.write_texts(df, "lang", "text", ours) == 120
+    df.write.partitionBy("lang").option("maxRecordsPerFile", 1).text(theirs)
+
+    def found(root):
+        files = SF.as_blobs(SF.read_files(spark, root), root).select(F.element_at("meta", F.lit("folder")), F.col("data").cast("string"), "content_type")
+        return sorted(map(tuple, files.collect()))
+    assert found(ours) == found(theirs) and len(found(ours)) == 120
+    assert SF.read_files(spark, ours).rdd.getNumPartitions() <= P.ROUNDS * spark.sparkContext.defaultParallelism
+
+
+def test_required_columns_are_worked_out_once(spark, scratch):
+    """The check of required columns stays above the columns it reads: no filter repeats their expressions."""
+    t = A.create_asset_table(spark, scratch("once"))
+    blobs = spark.range(3).select(F.encode(F.col("id").cast("string"), "UTF-8").alias("data"), F.concat("id", F.lit(".txt")).alias("name"),
+                                  F.create_map(F.lit("url"), F.col("id").cast("string")).alias("meta"))
+    rows = _null_guarded(conform(A.to_assets(A.harmonize(blobs), t.schema), t.schema), t.schema, "once")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.split("Filter ", 1)[1].split("\n", 1)[0].count("element_at") == 0
+    with pytest.raises(Exception, match="NOT NULL violated"):
+        _null_guarded(rows.select(*[F.when(F.col("name") != "1.txt", F.col(c)).alias(c) if c == "id" else F.col(c) for c in rows.columns]),
+                      t.schema, "once").count()
+
+
+def test_stream_keeps_the_sessions_settings(spark, scratch):
+    n, key = 40, "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    rows = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"),
+                                 F.when(F.col("id") % 2 == 0, "de").otherwise("en").alias("lang"))
+    got = Q.stream_assets(spark, _table(spark, scratch("docs"), "documents", rows)).collect()
+    assert len(got) == n == len({r.md5 for r in got}) and {r.lang for r in got} == {"de", "en"} and spark.conf.get(key) == before
