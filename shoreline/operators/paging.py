@@ -5,6 +5,10 @@ which paging began: no page is skipped or shown twice while others write, no
 page costs more than another, and nobody keeps a cursor open. The filter's
 first comparison reaches the Parquet scan, so on a table clustered by the sort
 key later pages do not read earlier ones.
+
+A top-k brings each task's first rows into one task. That is right for small
+pages; the border of a large one is found among the sorted keys alone, spread
+by ranges, and the page is the rows between two borders.
 """
 
 from __future__ import annotations
@@ -20,8 +24,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoreline.operators import read as R
+from shoreline.operators.stage import materialize
 from shoreline.operators.table import VersionedTable
 
+#: Rows of a page up to which one task takes the first rows of all others.
+TOP_K_ROWS = 1_000
+
 
 @dataclass
 class Page:
@@ -113,6 +121,10 @@ def page_rows(table: VersionedTable, order_by, size: int, token: str | None = No
         df = df.where(after(order, values, at.schema))
     keys = [F.col(R.quote(n)).desc_nulls_last() if down else F.col(R.quote(n)).asc_nulls_first() for n, down in order]
     shown = [c for c in at.columns if not columns or c in columns]
+    if int(size) > TOP_K_ROWS:
+        rows, border = _large_page(df, order, keys, int(size), at.schema)
+        following = None if border is None else encode_token(at.version, order, border)
+        return Page(rows.select(*[F.col(R.quote(c)) for c in shown]), following)
     rows = df.orderBy(*keys).limit(int(size))
     # the page's last key and whether it is full: one row
     flip = [F.col(R.quote(n)).asc_nulls_first() if down else F.col(R.quote(n)).desc_nulls_last() for n, down in order]
@@ -122,6 +134,38 @@ def page_rows(table: VersionedTable, order_by, size: int, token: str | None = No
     return Page(rows.select(*[F.col(R.quote(c)) for c in shown]), following)
 
 
+def _large_page(df: DataFrame, order: list[tuple[str, bool]], keys: list[Column], size: int,
+                schema: T.StructType) -> tuple[DataFrame, list | None]:
+    """The first ``size`` rows of ``df`` in order, and the key of the last one
+    (None if there are fewer). Only keys are moved to find it, to tasks by ranges."""
+    names = [n for n, _ in order]
+    keyed = df.select(*[F.col(R.quote(n)) for n in names])
+    placed, seen = materialize(keyed.repartitionByRange(*keys).sortWithinPartitions(*keys), "page_keys", [F.count(F.lit(1)).alias("n")])
+    if (seen["n"] or 0) < size:
+        return df.orderBy(*keys), None
+    part, ahead = F.spark_partition_id(), 0
+    for number, n in sorted(placed.groupBy(part.alias("part")).count().collect()):  # a number per task
+        if ahead + n >= size:
+            break
+        ahead += n
+    # a row's place in its task is the lower part of its id
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    last = (placed.select("*", part.alias("_part"), place.alias("_place"))
+            .where((F.col("_part") == number) & (F.col("_place") == size - ahead - 1)).first())
+    border = [last[n] for n in names]
+    # as a token's reader gets it
+    values = decode_token(encode_token(0, order, border))["k"]
+    beyond = after(order, values, schema)
+    same = F.lit(True)
+    for n, v in zip(names, values):
+        same = same & F.col(R.quote(n)).eqNullSafe(_value(v, schema[n].dataType))
+    few = placed.agg(F.count_if(~beyond & ~same).alias("less"), F.count_if(same).alias("same")).first()
+    page = df.where(~beyond)
+    if few["less"] + few["same"] > size:  # the border runs through rows of one key
+        page = df.where(~beyond & ~same).unionByName(df.where(same).limit(size - few["less"]))
+    return page.orderBy(*keys), border
+
+
 def all_pages(table: VersionedTable, order_by, size: int, **options):
     """The pages one after another."""
     token = None
