@@ -15,7 +15,7 @@ Another model can be plugged in as a function over a list of texts, or as a
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -26,6 +26,8 @@ from pyspark.sql import types as T
 
 # Embedding length of the asset tables and the token pattern.
 DEFAULT_DIM = 768
+#: Texts embedded together; an Arrow batch holds many more, whose vectors would be held at once.
+EMBED_ROWS = 256
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 _SPLIT = regex.compile(TOKEN_SPLIT)
 
@@ -69,14 +71,13 @@ def embed_text(text: str, dim: int = DEFAULT_DIM) -> list[float] | None:
 
 def model_udf(model: Callable[[list[str | None]], list]):
     """A model over a batch of texts as a ``pandas_udf`` returning
-    ``array<double>``. If a batch fails its texts are tried one by one, and
-    those that fail alone get NULL; the others go on."""
+    ``array<double>``, ``EMBED_ROWS`` texts at a time. If a batch fails its
+    texts are tried one by one, and those that fail alone get NULL; the others
+    go on."""
 
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def _embed(texts: pd.Series) -> pd.Series:
-        batch = texts.tolist()
+    def embedded(batch: list[str | None]) -> list:
         try:
-            vectors = list(model(batch))
+            return list(model(batch))
         except Exception:
             vectors = []
             for text in batch:
@@ -84,7 +85,13 @@ def model_udf(model: Callable[[list[str | None]], list]):
                     vectors.append(list(model([text]))[0])
                 except Exception:
                     vectors.append(None)
-        return pd.Series(vectors, dtype=object)
+            return vectors
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def _embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            for at in range(0, len(texts), EMBED_ROWS):
+                yield pd.Series(embedded(texts.iloc[at:at + EMBED_ROWS].tolist()), dtype=object)
 
     # Flagged non-deterministic so Catalyst never copies the call into a
     # pushed-down filter (``embedding IS NOT NULL``) and evaluates the model

@@ -34,6 +34,8 @@ DISTANCE_DIGITS = 6
 SIMILARITY_DIGITS = 4
 # Upper bound on one tile of a task's distance matrix.
 TILE_BYTES = 16 * 1024 * 1024
+# Rows of an Arrow batch whose vectors are copied into a matrix at once.
+MATRIX_ROWS = 1024
 
 
 def top_k(k) -> int:
@@ -135,7 +137,8 @@ def _local_topk(emb_col: str, key: str, payload: list[str], qids: np.ndarray, qm
     """mapInPandas body: running top-k per query over one partition.
 
     Distances are computed in tiles of at most ``TILE_BYTES`` (queries x rows),
-    so memory does not grow with the query matrix or the batch; candidates are
+    of ``MATRIX_ROWS`` rows of a batch at a time, so memory does not grow with
+    the query matrix, and little with the batch; candidates are
     flat arrays of (query, row, distance), trimmed together."""
 
     def distances(Q, qn, X, xn):
@@ -154,9 +157,7 @@ def _local_topk(emb_col: str, key: str, payload: list[str], qids: np.ndarray, qm
         width = max(1, TILE_BYTES // (8 * 2048))  # queries in a tile
         bound = np.full(n_q, np.inf)  # the k-th distance of each query so far
         best: pd.DataFrame | None = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
+        for pdf in (b.iloc[at:at + MATRIX_ROWS] for b in batches for at in range(0, len(b), MATRIX_ROWS)):
             vecs = pdf[emb_col]
             # Rows without a usable vector (NULL, another length, a NULL or
             # NaN element) get no distance; the checks run on whole arrays.

@@ -1,14 +1,26 @@
 """Queries whose tables outgrow a bound that small tables keep."""
 
+from types import SimpleNamespace
+
+import numpy as np
+import pandas as pd
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from shoreline import fs
+from shoreline.functions import embed as E
 from shoreline.operators import assets as A
 from shoreline.operators import export as X
+from shoreline.operators import joins as J
+from shoreline.operators import objects as O
+from shoreline.operators import paging as PG
 from shoreline.operators import partitioning as P
+from shoreline.operators import vector as VS
 from shoreline.operators.schema import conform
-from shoreline.operators.table import _null_guarded
+from shoreline.operators.table import VersionedTable, _null_guarded
 from shoreline.plans import queries as Q
+from shoreline.session import local_path
 from shoreline.sources import files as SF
 
 
@@ -70,3 +82,79 @@ def test_stream_keeps_the_sessions_settings(spark, scratch):
                                  F.when(F.col("id") % 2 == 0, "de").otherwise("en").alias("lang"))
     got = Q.stream_assets(spark, _table(spark, scratch("docs"), "documents", rows)).collect()
     assert len(got) == n == len({r.md5 for r in got}) and {r.lang for r in got} == {"de", "en"} and spark.conf.get(key) == before
+
+
+def test_a_row_group_holds_few_packs(spark, scratch):
+    store, size = scratch("groups"), 1_000_000
+    n = 3 * O.GROUP_PACKS
+    data = spark.range(0, n, 1, 1).select(F.repeat(F.format_string("%010d", "id"), size // 10).cast("binary").alias("data"))
+    before, O.PACK_BYTES = O.PACK_BYTES, size
+    try:
+        assert O.put(data.select(F.md5("data").alias("object_key"), "data"), store).count() == n
+    finally:
+        O.PACK_BYTES = before
+    meta = [pq.ParquetFile(f"{local_path(store)}/{x}").metadata for x in fs.list_names(spark, store) if x.endswith(".parquet")]
+    groups = [m.row_group(i).num_rows for m in meta for i in range(m.num_row_groups)]
+    assert sum(groups) == n and max(groups) <= O.GROUP_PACKS
+    assert O.read_all(spark, store).where(F.md5("data") == F.col("object_key")).count() == n
+
+
+def test_inline_assets_do_not_meet_in_one_task(spark, scratch):
+    pages = spark.range(0, 2000, 1, 4).select(F.col("id").alias("page_id"), F.concat(F.lit("u"), "id").alias("url"), F.concat(
+        F.repeat(F.lit("p"), F.when(F.col("id") % 50 == 0, 9000).otherwise(10).cast("int")), "id").alias("html"))
+    got = Q.asset_externalize(spark, _table(spark, scratch("pages"), "pages", pages))
+    assert got.count() == 2000 and got.where("route = 'external' AND stored_md5 = object_key AND NOT has_data").count() == 40
+    assert got.where("route = 'inline' AND stored_md5 IS NULL AND object_key IS NULL AND has_data").count() == 1960
+    sizes = got.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in sizes) < 1500
+
+
+@pytest.mark.parametrize("large", [0, 1_000])
+def test_large_pages_equal_top_k(spark, scratch, monkeypatch, large):
+    monkeypatch.setattr(PG, "TOP_K_ROWS", large)
+    df = spark.range(300).select("id", F.when(F.col("id") % 7 > 0, F.col("id") % 5 * 1.5).alias("a"), F.to_date(F.lit("2024-01-01")).alias("d"))
+    t = VersionedTable.create(spark, scratch("paged"), df.schema, data=df.repartition(5))
+    for order, size in ((["a DESC", "id"], 71), (["a", "id DESC"], 100), (["d", "a", "id"], 299), (["id"], 301)):
+        pages = [[r.id for r in p.rows.collect()] for p in PG.all_pages(t, order, size)]
+        rows = sorted(df.collect(), key=lambda r: (r.id if order[-1] == "id" else -r.id))
+        if order[0] != "id":
+            down = order[0] == "a DESC"
+            rows.sort(key=lambda r: (r.a is None, -(r.a or 0)) if down else (r.a is not None, r.a or 0))
+        ids = [r.id for r in rows]
+        assert pages == [ids[i:i + size] for i in range(0, 300, size)] + ([[]] if 300 % size == 0 else [])
+
+
+def test_large_page_through_one_key(spark, scratch, monkeypatch):
+    monkeypatch.setattr(PG, "TOP_K_ROWS", 0)
+    df = spark.range(90).select("id", (F.col("id") % 3).alias("k"))
+    t = VersionedTable.create(spark, scratch("ties"), df.schema, data=df.repartition(4))
+    page = PG.page_rows(t, "k", 40)
+    assert sorted(r.k for r in page.rows.collect()) == [0] * 30 + [1] * 10
+    assert [r.k for r in PG.page_rows(t, "k", 40, page.token).rows.collect()] == [2] * 30  # rows that share the border's key
+
+
+def test_hot_bins_give_few_copies(spark, monkeypatch):
+    """Cells are shares of all rows: with more rows a row is not copied more often."""
+    seen = []
+    kept = J._split_hot
+    monkeypatch.setattr(J, "HOT_ROWS", 1)
+    monkeypatch.setattr(J, "_split_hot", lambda a, b, keys: seen.append(kept(a, b, keys)) or seen[-1])
+    for n in (3_000, 12_000):
+        points = spark.range(n).select("id", (F.col("id") % 10).cast("double").alias("t"))
+        spans = spark.range(n // 10).select(F.col("id").alias("w"), (F.col("id") % 10).cast("double").alias("s"), (F.col("id") % 10 + 1.0).alias("e"))
+        want = n // 10 * (n // 100) * 19  # two of ten values for each span, one for the last
+        assert J.range_join(points, spans, "t", ("s", "e")).count() == want
+    copies = [a.count() + b.count() for a, b in seen]
+    assert copies[1] < 5.5 * copies[0]
+
+
+def test_vectors_of_a_batch_are_cut(spark, monkeypatch):
+    out = list(VS._local_topk("v", "id", [], np.array([0], dtype=object), SimpleNamespace(value=np.array([[1.0, 0.0]])), "COSINE", 3, 1e-6)(
+        iter([pd.DataFrame({"id": range(5000), "v": [np.array([1.0, i / 50]) for i in range(5000)]})])))
+    assert out[0].sort_values("_d")["id"].tolist() == [0, 1, 2]
+
+    def model(texts):
+        return [[float(len(texts))] for _ in texts]
+    docs = spark.range(0, 1000, 1, 1).select("id", F.col("id").cast("string").alias("text"))
+    most = docs.select(E.embed_column(F.col("text"), model=model)[0].alias("n"), "id").agg(F.max("n"), F.count("id"), F.count("n")).first()
+    assert most[0] <= E.EMBED_ROWS and most[1] == most[2] == 1000
