@@ -1,5 +1,7 @@
 """Queries whose tables outgrow a bound that small tables keep."""
 
+import json
+import os
 from types import SimpleNamespace
 
 import numpy as np
@@ -22,6 +24,7 @@ from shoreline.operators.table import VersionedTable, _null_guarded
 from shoreline.plans import queries as Q
 from shoreline.session import local_path
 from shoreline.sources import files as SF
+from shoreline.streaming import assets as SA
 
 
 def _table(spark, folder, name, df):
@@ -84,6 +87,81 @@ def test_stream_keeps_the_sessions_settings(spark, scratch):
     assert len(got) == n == len({r.md5 for r in got}) and {r.lang for r in got} == {"de", "en"} and spark.conf.get(key) == before
 
 
+def _tree(root, names):
+    for name in names:
+        path = f"{local_path(root)}/{name}"
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "wb") as f:
+            f.write(b"" if "empty" in name else name.encode() * 3)
+
+
+ODD_FILES = ["top.txt", "a/b/c/deep.txt", "a/empty.txt", "a/x.md", "_skip/x.txt", "a/.h.txt", "a/_h.txt", "_k=v/y.txt", "a/_metadata", "a/_metadata.txt",
+             "sp ace/\xe9 [1]*{2}%20#.txt", "a/z.txt._COPYING_", "t.TXT"]
+
+
+@pytest.mark.parametrize("glob", [None, "*.txt", "*.{txt,md}", "[!t]*"])
+def test_listed_files_equal_the_readers(spark, scratch, glob):
+    root = scratch("odd_tree")
+    _tree(root, ODD_FILES)
+    ours = SF.read_listed(SF.list_files(spark, root, glob))
+    theirs = SF.read_files(spark, root, glob=glob)
+    assert ours.columns == theirs.columns
+    found = sorted(map(tuple, theirs.collect()))
+    assert sorted(map(tuple, ours.collect())) == found and len(found) > 3
+    os.remove(f"{local_path(root)}/_k=v/y.txt")
+    listed = spark.createDataFrame([(f"file:{local_path(root)}/{n}",) for n in ("_k=v/y.txt", "a/empty.txt", "top.txt")], "path string")
+    assert [r.path.rsplit("/", 1)[1] for r in SF.read_listed(listed).collect()] == ["top.txt"]  # gone or empty: no row
+
+
+def test_stream_leaves_no_file_names_with_the_driver(spark, scratch):
+    """The stream follows lists of files; how many there are does not reach the driver. A later run takes only what is new."""
+    root, at = scratch("many"), scratch("many_ckpt")
+    _tree(root, [f"k={i % 3}/{i}.txt" for i in range(95)] + ODD_FILES)
+    t = A.create_asset_table(spark, scratch("many_assets"))
+
+    def run(**options):
+        SA.stream_assets(spark, root, t, at, files_per_batch=10, glob="*.txt", **options)
+        log = f"{local_path(at)}/sources/0"
+        lines = [x for n in os.listdir(log) if not n.startswith(".") for x in open(f"{log}/{n}").read().split("\n")[1:] if x]
+        return t.read().select("file_id").collect(), {json.loads(x)["path"] for x in lines}
+    rows, named = run()
+    want = {r.file_id for r in SF.as_blobs(SF.read_files(spark, root, glob="*.txt"), root).select(F.element_at("meta", F.lit("file_id")).alias("file_id")).collect()}
+    assert sorted(r.file_id for r in rows) == sorted(want) and len(want) == 95 + 4
+    assert len(named) == 10 and sum(c.operation == "INSERT" for c in t.latest().log()) == 10  # 100 files, one of them empty
+    _tree(root, ["k=0/new.txt", "k=9/new.txt"])
+    _tree(root, ["top.txt"])  # written again: seen
+    rows, named = run()
+    assert sorted(r.file_id for r in rows) == sorted(want | {"k=0/new.txt", "k=9/new.txt"}) and len(named) == 11
+    os.utime(f"{local_path(root)}/k=1/1.txt", (1, 1))
+    _tree(root, ["old.txt"])
+    os.utime(f"{local_path(root)}/old.txt", (1, 1))  # older by more than a week than the newest one seen
+    assert run()[0] == rows
+
+
+def test_stream_takes_the_oldest_files_first(spark, scratch):
+    root, at = scratch("aged"), scratch("aged_ckpt")
+    _tree(root, [f"{i}.txt" for i in range(30)])
+    for i in range(30):
+        os.utime(f"{local_path(root)}/{i}.txt", (1_700_000_000 - i * 1_000_000, 1_700_000_000 - i * 1_000_000))
+    t = A.create_asset_table(spark, scratch("aged_assets"))
+    SA.stream_assets(spark, root, t, at, files_per_batch=8)
+    got = sorted((r._version, int(r.name.split(".")[0])) for r in t.read(with_version=True).select("_version", "name").collect())
+    assert [len([1 for v, _ in got if v == n]) for n in (2, 3, 4, 5)] == [8, 8, 8, 6]
+    assert all(29 - i in range(8 * (v - 2), 8 * (v - 1)) for v, i in got)
+
+
+def test_stream_goes_on_from_the_readers_own_checkpoint(spark, scratch, monkeypatch):
+    root, at = scratch("plain"), scratch("plain_ckpt")
+    _tree(root, [f"{i}.txt" for i in range(12)])
+    t = A.create_asset_table(spark, scratch("plain_assets"))
+    with monkeypatch.context() as m:
+        m.setattr(fs, "is_local", lambda *_: False)
+        SA.stream_assets(spark, root, t, at)
+    _tree(root, ["new.txt"])
+    SA.stream_assets(spark, root, t, at)
+    assert t.read().count() == 13 and not fs.exists(spark, f"{at}/lists")
+
+
 def test_a_row_group_holds_few_packs(spark, scratch):
     store, size = scratch("groups"), 1_000_000
     n = 3 * O.GROUP_PACKS
